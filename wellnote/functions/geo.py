@@ -44,38 +44,73 @@ def radii(lat: Column) -> tuple[Column, Column]:
     return m, nn
 
 
-def local_xy(lon: Column, lat: Column, lon_r: Column, lat_r: Column) -> tuple[Column, Column]:
-    """Metres east / north of (lon_r, lat_r) in the tangent plane at lat_r."""
+def plane_scale(lat_r: Column) -> tuple[Column, Column]:
+    """Metres per degree of longitude and of latitude in the tangent plane at
+    ``lat_r``: (N·cos(lat_r)·pi/180, M·pi/180)."""
     m, nn = radii(lat_r)
-    x = F.radians(lon - lon_r) * nn * F.cos(F.radians(lat_r))
-    y = F.radians(lat - lat_r) * m
-    return x, y
+    rad = lit(math.pi / 180.0)
+    return nn * F.cos(F.radians(lat_r)) * rad, m * rad
+
+
+def local_xy(lon: Column, lat: Column, lon_r: Column, lat_r: Column,
+             scale: tuple[Column, Column] | None = None) -> tuple[Column, Column]:
+    """Metres east / north of (lon_r, lat_r) in the tangent plane at lat_r."""
+    kx, ky = scale if scale is not None else plane_scale(lat_r)
+    return (lon - lon_r) * kx, (lat - lat_r) * ky
 
 
-def point_segment_distance(px, py, ax, ay, bx, by) -> Column:
-    dx, dy = bx - ax, by - ay
-    l2 = dx * dx + dy * dy
-    t = F.when(l2 > 0, F.greatest(lit(0.0), F.least(lit(1.0), ((px - ax) * dx + (py - ay) * dy) / l2))
-               ).otherwise(lit(0.0))
-    ex, ey = px - (ax + t * dx), py - (ay + t * dy)
-    return F.sqrt(ex * ex + ey * ey)
+def _clamp01(x: Column) -> Column:
+    return F.greatest(lit(0.0), F.least(lit(1.0), x))
 
 
 def _orient(ax, ay, bx, by, cx, cy) -> Column:
     return (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
 
 
-def segment_distance(ax, ay, bx, by, cx, cy, dx, dy) -> Column:
-    """Planar distance between segments AB and CD: 0 when they cross, else the
-    smallest endpoint-to-segment distance (covers touching and collinear)."""
-    o1, o2 = _orient(ax, ay, bx, by, cx, cy), _orient(ax, ay, bx, by, dx, dy)
-    o3, o4 = _orient(cx, cy, dx, dy, ax, ay), _orient(cx, cy, dx, dy, bx, by)
-    cross = ((o1 * o2) < 0) & ((o3 * o4) < 0)
-    d = F.least(point_segment_distance(cx, cy, ax, ay, bx, by),
-                point_segment_distance(dx, dy, ax, ay, bx, by),
-                point_segment_distance(ax, ay, cx, cy, dx, dy),
-                point_segment_distance(bx, by, cx, cy, dx, dy))
-    return F.when(cross, lit(0.0)).otherwise(d)
+def segment_distance_stages(df, a, b, c, d, out: str):
+    """Planar distance between segments AB and CD (columns named by the
+    ``(x, y)`` name pairs a, b, c, d) added as ``out``: 0 when they cross,
+    else the smallest endpoint-to-segment distance (covers touching and
+    collinear cases).
+
+    Computed in small staged projections (differences, clamp parameters,
+    squared distances, one square root) so every generated method stays
+    small enough for the JIT and no subexpression is evaluated twice.
+    """
+    (ax, ay), (bx, by), (cx, cy), (dx, dy) = [(F.col(x), F.col(y)) for x, y in (a, b, c, d)]
+    keep = [c_ for c_ in df.columns]
+    s1 = df.select(
+        *keep,
+        (bx - ax).alias("__ux"), (by - ay).alias("__uy"), (dx - cx).alias("__vx"),
+        (dy - cy).alias("__vy"),
+        ((_orient(ax, ay, bx, by, cx, cy) * _orient(ax, ay, bx, by, dx, dy)) < 0).alias("__c1"),
+        ((_orient(cx, cy, dx, dy, ax, ay) * _orient(cx, cy, dx, dy, bx, by)) < 0).alias("__c2"))
+    ux, uy, vx, vy = F.col("__ux"), F.col("__uy"), F.col("__vx"), F.col("__vy")
+    s2 = s1.select(*keep, "__ux", "__uy", "__vx", "__vy", "__c1", "__c2",
+                   (ux * ux + uy * uy).alias("__lu"), (vx * vx + vy * vy).alias("__lv"))
+    lu, lv = F.col("__lu"), F.col("__lv")
+
+    def t(px, py, ox, oy, wx, wy, l2):
+        return F.when(l2 > 0, _clamp01(((px - ox) * wx + (py - oy) * wy) / l2)).otherwise(lit(0.0))
+
+    s3 = s2.select(*keep, "__ux", "__uy", "__vx", "__vy", "__c1", "__c2",
+                   t(cx, cy, ax, ay, ux, uy, lu).alias("__t1"),
+                   t(dx, dy, ax, ay, ux, uy, lu).alias("__t2"),
+                   t(ax, ay, cx, cy, vx, vy, lv).alias("__t3"),
+                   t(bx, by, cx, cy, vx, vy, lv).alias("__t4"))
+
+    def sq(px, py, ox, oy, wx, wy, tt):
+        ex, ey = px - (ox + tt * wx), py - (oy + tt * wy)
+        return ex * ex + ey * ey
+
+    s4 = s3.select(*keep, "__c1", "__c2",
+                   sq(cx, cy, ax, ay, ux, uy, F.col("__t1")).alias("__e1"),
+                   sq(dx, dy, ax, ay, ux, uy, F.col("__t2")).alias("__e2"),
+                   sq(ax, ay, cx, cy, vx, vy, F.col("__t3")).alias("__e3"),
+                   sq(bx, by, cx, cy, vx, vy, F.col("__t4")).alias("__e4"))
+    d2 = F.when(F.col("__c1") & F.col("__c2"), lit(0.0)).otherwise(
+        F.least(F.col("__e1"), F.col("__e2"), F.col("__e3"), F.col("__e4")))
+    return s4.select(*keep, d2.alias(out))
 
 
 def ecef(lon: Column, lat: Column) -> tuple[Column, Column, Column]:

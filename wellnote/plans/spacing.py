@@ -106,15 +106,27 @@ def near_pairs(geo_seg: DataFrame, radius_m: float = 1500.0,
                       F.explode(geo.neighbour_cells(F.col("cell"))).alias("cell_2"))
     cand = left.join(right, (F.col("cell_1") == F.col("cell_2"))
                      & (F.col("well_id_1") < F.col("well_id_2")))
+    keys = [c + "_1" for c in ENTITY] + [c + "_2" for c in ENTITY]
+    coords = [f"{c}_{i}" for i in (1, 2) for c in ("lon_a", "lat_a", "lon_b", "lat_b")]
+    # Staged projections keep each expression small (and inside codegen).
     lat_r = (F.col("lat0_1") + F.col("lat0_2")) / 2
     lon_r = (F.col("lon0_1") + F.col("lon0_2")) / 2
-    ax, ay = geo.local_xy(F.col("lon_a_1"), F.col("lat_a_1"), lon_r, lat_r)
-    bx, by = geo.local_xy(F.col("lon_b_1"), F.col("lat_b_1"), lon_r, lat_r)
-    cx, cy = geo.local_xy(F.col("lon_a_2"), F.col("lat_a_2"), lon_r, lat_r)
-    dx, dy = geo.local_xy(F.col("lon_b_2"), F.col("lat_b_2"), lon_r, lat_r)
-    d = geo.segment_distance(ax, ay, bx, by, cx, cy, dx, dy)
-    keys = [c + "_1" for c in ENTITY] + [c + "_2" for c in ENTITY]
-    return (cand.select(*keys, d.alias("d_m")).groupBy(*keys).agg(F.min("d_m").alias("d_m"))
+    kx, ky = geo.plane_scale(F.col("lat_r"))
+    staged = (cand.select(*keys, *coords, lat_r.alias("lat_r"), lon_r.alias("lon_r"))
+              .select(*keys, *coords, "lat_r", "lon_r", kx.alias("kx"), ky.alias("ky")))
+    sc_ = (F.col("kx"), F.col("ky"))
+    pts = {}
+    for name, i, end in (("a", 1, "a"), ("b", 1, "b"), ("c", 2, "a"), ("d", 2, "b")):
+        x, y = geo.local_xy(F.col(f"lon_{end}_{i}"), F.col(f"lat_{end}_{i}"), F.col("lon_r"),
+                            F.col("lat_r"), sc_)
+        pts[name] = (x.alias(f"q{name}x"), y.alias(f"q{name}y"))
+    local = staged.select(*keys, *[c for v in pts.values() for c in v])
+    # squared planar distance per candidate; sqrt is monotonic, so the root of
+    # the smallest square is the smallest distance
+    d2 = geo.segment_distance_stages(local, ("qax", "qay"), ("qbx", "qby"), ("qcx", "qcy"),
+                                     ("qdx", "qdy"), "d2")
+    return (d2.groupBy(*keys).agg(F.min("d2").alias("d2"))
+            .select(*keys, F.sqrt("d2").alias("d_m"))
             .where(F.col("d_m") <= F.lit(float(radius_m))))
 
 
