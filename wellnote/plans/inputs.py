@@ -186,3 +186,19 @@ def driver_well_tables(spark: SparkSession, sf_dir: str) -> WellTables:
 
 def driver_note_tables(spark: SparkSession, sf_dir: str) -> NoteTables:
     return NoteTables(note=dx_note(spark, sf_dir), user=dx_user(spark, sf_dir))
+
+
+def dx_landed_orders(spark, sf_dir):
+    """Orders as a text feed would land them: integers sometimes written as
+    ``123.0``, missing-value tokens in two text columns, everything text."""
+    o = _read(spark, sf_dir, "orders")
+    k = F.col("o_orderkey")
+    return o.select(
+        _s(k).alias("o_orderkey"),
+        F.when(k % 2 == 0, F.concat(_s("o_custkey"), F.lit(".0"))).otherwise(_s("o_custkey"))
+        .alias("o_custkey"),
+        F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_orderstatus"))
+        .alias("o_orderstatus"),
+        _s("o_totalprice").alias("o_totalprice"), _s("o_orderdate").alias("o_orderdate"),
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("NA"))
+        .when(k % 97 == 0, F.lit("null")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
