@@ -44,6 +44,18 @@ def radii(lat: Column) -> tuple[Column, Column]:
     return m, nn
 
 
+def wrap_lon_delta(d: Column) -> Column:
+    """A longitude difference brought into [-180, 180] (unchanged, bit for bit,
+    when it already is)."""
+    return F.when(F.abs(d) > lit(180.0), d - lit(360.0) * F.round(d / lit(360.0), 0)).otherwise(d)
+
+
+def mid_lon(lon1: Column, lon2: Column) -> Column:
+    """Symmetric midpoint longitude, correct across the date line."""
+    m = (lon1 + lon2) / 2
+    return F.when(F.abs(lon2 - lon1) > lit(180.0), wrap_lon_delta(m + lit(180.0))).otherwise(m)
+
+
 def plane_scale(lat_r: Column) -> tuple[Column, Column]:
     """Metres per degree of longitude and of latitude in the tangent plane at
     ``lat_r``: (N·cos(lat_r)·pi/180, M·pi/180)."""
@@ -56,7 +68,7 @@ def local_xy(lon: Column, lat: Column, lon_r: Column, lat_r: Column,
              scale: tuple[Column, Column] | None = None) -> tuple[Column, Column]:
     """Metres east / north of (lon_r, lat_r) in the tangent plane at lat_r."""
     kx, ky = scale if scale is not None else plane_scale(lat_r)
-    return (lon - lon_r) * kx, (lat - lat_r) * ky
+    return wrap_lon_delta(lon - lon_r) * kx, (lat - lat_r) * ky
 
 
 def _clamp01(x: Column) -> Column:

@@ -86,8 +86,9 @@ def segment_cells(geo_seg: DataFrame, step_m: float, cell_m: float) -> DataFrame
     x, y = geo.local_xy(F.col("lon_b"), F.col("lat_b"), F.col("lon_a"), F.col("lat_a"))
     k = F.greatest(F.lit(1), F.ceil(F.sqrt(x * x + y * y) / F.lit(float(step_m))).cast("int"))
     t = F.transform(F.sequence(F.lit(0), k), lambda i: i / k)
+    d_lon = geo.wrap_lon_delta(F.col("lon_b") - F.col("lon_a"))
     cells = F.array_distinct(F.transform(t, lambda u: geo.ecef_cell(
-        F.col("lon_a") + u * (F.col("lon_b") - F.col("lon_a")),
+        F.col("lon_a") + u * d_lon,
         F.col("lat_a") + u * (F.col("lat_b") - F.col("lat_a")), cell_m)))
     return geo_seg.withColumn("cell", F.explode(cells))
 
@@ -110,7 +111,7 @@ def near_pairs(geo_seg: DataFrame, radius_m: float = 1500.0,
     coords = [f"{c}_{i}" for i in (1, 2) for c in ("lon_a", "lat_a", "lon_b", "lat_b")]
     # Staged projections keep each expression small (and inside codegen).
     lat_r = (F.col("lat0_1") + F.col("lat0_2")) / 2
-    lon_r = (F.col("lon0_1") + F.col("lon0_2")) / 2
+    lon_r = geo.mid_lon(F.col("lon0_1"), F.col("lon0_2"))
     kx, ky = geo.plane_scale(F.col("lat_r"))
     staged = (cand.select(*keys, *coords, lat_r.alias("lat_r"), lon_r.alias("lon_r"))
               .select(*keys, *coords, "lat_r", "lon_r", kx.alias("kx"), ky.alias("ky")))
