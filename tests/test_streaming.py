@@ -1,0 +1,26 @@
+import json
+import os
+
+from wellnote.streaming.landing import run_landing_load
+
+
+def _land(folder, name, records):
+    with open(os.path.join(folder, name), "w") as f:
+        for r in records:
+            f.write(json.dumps(r) + "\n")
+
+
+def test_landing_load_is_incremental_and_deduplicated(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    os.makedirs(landing)
+    ckpt = os.path.join(scratch, "ckpt")
+    cols = ["user_id", "handle"]
+    _land(landing, "page-0000.json", [{"user_id": 1, "handle": "ann"}, {"user_id": 1, "handle": "ann"},
+                                      {"user_id": "2.0", "handle": "bob"}])
+    t = run_landing_load(spark, landing, cols, "wiserock_user", ckpt, staging_table="stg_stream.users")
+    assert sorted(tuple(r) for r in t.collect()) == [(1, "ann"), (2, "bob")]
+    assert dict((f.name, f.dataType.simpleString()) for f in t.schema.fields)["user_id"] == "int"
+    _land(landing, "page-0001.json", [{"user_id": 2, "handle": "bob"}, {"user_id": 3, "handle": "NA"}])
+    t = run_landing_load(spark, landing, cols, "wiserock_user", ckpt, staging_table="stg_stream.users")
+    assert sorted(tuple(r) for r in t.collect()) == \
+        [(1, "ann"), (2, "bob"), (3, None)]

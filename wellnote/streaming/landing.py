@@ -1,0 +1,75 @@
+"""Incremental staging load with Structured Streaming.
+
+Record pages (JSON lines or arrays, one file per page) land in a folder over
+time.  ``start_landing_load`` picks up new files, types them by column name,
+removes full-row duplicates within the batch and against rows already in the
+staging table, and appends the rest — the batch job's "typed, deduplicated
+table" kept current without re-reading the whole feed.  Progress (which files
+are done) lives in the checkpoint folder, so a restarted or failed run
+continues exactly where it stopped.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from wellnote.operators.ingest import typed_projection
+
+
+def text_schema(columns: Sequence[str]) -> T.StructType:
+    return T.StructType([T.StructField(c, T.StringType(), True) for c in columns])
+
+
+def _append_new_rows(batch: DataFrame, table: str, key: Sequence[str] | None) -> None:
+    spark = batch.sparkSession
+    rows = batch.dropDuplicates()
+    if spark.catalog.tableExists(table):
+        existing = spark.table(table)
+        cols = list(key) if key else rows.columns
+        cond = None
+        for c in cols:
+            e = F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}"))
+            cond = e if cond is None else cond & e
+        rows = rows.alias("n").join(existing.select(*cols).alias("o"), cond, "left_anti")
+        rows.write.mode("append").insertInto(table)
+    else:
+        rows.write.mode("overwrite").format("parquet").saveAsTable(table)
+
+
+def start_landing_load(spark: SparkSession, landing_dir: str, columns: Sequence[str],
+                       table: str, checkpoint: str, staging_table: str | None = None,
+                       file_format: str = "json", key: Sequence[str] | None = None,
+                       max_files_per_trigger: int = 1000) -> StreamingQuery:
+    """Start the incremental load (``availableNow``: process what has landed,
+    then stop).  ``columns`` are the record keys read as text; ``table`` is the
+    declared-schema name used for typing; ``staging_table`` (default
+    ``stg.<table>``) receives the rows; ``key`` limits the duplicate test to
+    some columns (default: the full row)."""
+    target = staging_table or f"stg.{table}"
+    db = target.split(".")[0] if "." in target else None
+    if db:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{db}`")
+    stream = (spark.readStream.format(file_format).schema(text_schema(columns))
+              .option("maxFilesPerTrigger", max_files_per_trigger).load(landing_dir))
+    typed = typed_projection(stream, table)
+    return (typed.writeStream.option("checkpointLocation", checkpoint)
+            .foreachBatch(lambda batch, _id: _append_new_rows(batch, target, key))
+            .trigger(availableNow=True).start())
+
+
+def run_landing_load(spark: SparkSession, landing_dir: str, columns: Sequence[str], table: str,
+                     checkpoint: str, staging_table: str | None = None, **kwargs) -> DataFrame:
+    """Run one ``availableNow`` load to completion and return the staging
+    table as this session sees it (its file listing refreshed)."""
+    target = staging_table or f"stg.{table}"
+    q = start_landing_load(spark, landing_dir, columns, table, checkpoint, target, **kwargs)
+    q.awaitTermination()
+    if q.exception() is not None:
+        raise q.exception()
+    spark.catalog.refreshTable(target)
+    return spark.table(target)
