@@ -309,7 +309,7 @@ def q_running_participants(spark, sf_dir):
     from note_relationships"""))
 def q_array_except_chain(spark, sf_dir):
     nb = N.notes_with_explicit(notes(spark, sf_dir))
-    j = W.with_earlier_distinct(nb, "event_uuid", N.ORDER, "author_handle", "past")
+    j = W.with_earlier_distinct(nb, "note_id", "event_uuid", N.ORDER, "author_handle", "past")
     return j.select("note_id", F.array_join(
         except_chain(F.col("past"), F.col("explicit_tagged_users"), F.array("author_handle")), ",")
         .alias("implicit_tagged_users"))
