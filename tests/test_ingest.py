@@ -104,3 +104,25 @@ def test_load_all_reports_and_skips(spark, scratch):
     assert spark.table("stg_test.batterytb").count() == 2
     assert write_table(spark.createDataFrame([], "a string"), "stg_test", "batterytb") == 0
     assert spark.table("stg_test.batterytb").count() == 2   # empty input leaves the old table
+
+
+def test_json_records_union_of_keys(spark, scratch):
+    from wellnote.sources.paged import read_json_records
+    path = os.path.join(scratch, "page-0.json")
+    with open(path, "w") as f:
+        f.write('{"user_id": 1.0, "handle": "ann"}\n{"user_id": 2, "note": "x"}\n')
+    text = read_json_records(spark, path)
+    assert sorted(text.columns) == ["handle", "note", "user_id"]
+    typed = typed_projection(text, "wiserock_user")
+    assert sorted((r.user_id, r.handle, r.note) for r in typed.collect()) == [(1, "ann", None), (2, None, "x")]
+
+
+def test_register_views(spark):
+    from wellnote.plans.inputs import driver_note_tables, driver_well_tables
+    from wellnote.plans.views import VIEW_NAMES, register_views
+    sf = "/root/testdata/sf0.001"
+    if not os.path.isdir(sf):
+        return
+    register_views(driver_well_tables(spark, sf), driver_note_tables(spark, sf), year_a=1998, year_b=1999)
+    for name in VIEW_NAMES:
+        assert spark.sql(f"select count(*) from {name}").collect()[0][0] > 0

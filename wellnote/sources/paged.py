@@ -34,10 +34,19 @@ class ParquetPages:
 
     def __init__(self, path: str):
         self.path = path
+        self._pf = None
+        self._group = (None, None)  # last row group read: consecutive pages reuse it
 
     def _file(self):
         import pyarrow.parquet as pq
-        return pq.ParquetFile(self.path)
+        if self._pf is None:
+            self._pf = pq.ParquetFile(self.path)
+        return self._pf
+
+    def _row_group(self, g: int):
+        if self._group[0] != g:
+            self._group = (g, self._file().read_row_group(g))
+        return self._group[1]
 
     def total(self) -> int:
         return self._file().metadata.num_rows
@@ -54,7 +63,7 @@ class ParquetPages:
             n = md.row_group(g).num_rows
             lo, hi = max(offset, start), min(offset + limit, start + n)
             if lo < hi:
-                parts.append(f.read_row_group(g).slice(lo - start, hi - lo))
+                parts.append(self._row_group(g).slice(lo - start, hi - lo))
             start += n
             if start >= offset + limit:
                 break
@@ -147,3 +156,11 @@ def read_pages(spark: SparkSession, page_size: int = DEFAULT_PAGE_SIZE,
     for k, v in fetcher_options.items():
         r = r.option(f"fetcher.{k}", v)
     return r.load()
+
+
+def read_json_records(spark: SparkSession, path: str) -> DataFrame:
+    """Landed record pages (JSON lines or one JSON array per file) as text
+    columns: the union of all keys, a missing key is NULL, every value is read
+    as its text (so ``1.0`` in an integer column and zoned timestamps survive
+    until the typed projection)."""
+    return spark.read.option("primitivesAsString", True).option("multiLine", False).json(path)
