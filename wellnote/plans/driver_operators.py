@@ -297,11 +297,15 @@ def q_row_number_nearest(spark, sf_dir):
     array_to_string(list_sort(list_distinct(coalesce(past_participant_handles, []))), ',') as participants
     from conversation_participants"""))
 def q_running_participants(spark, sf_dir):
+    # The running list of the reference holds all pairs of a conversation; its
+    # observable content is the number of earlier notes and the set of earlier
+    # authors, computed here without materialising the list.
     nb = N.note_base(notes(spark, sf_dir))
-    r = W.running_list(nb, ["event_uuid"], [F.col("note_timestamp").asc_nulls_last(),
-                                            F.col("note_id").asc()], "author_handle", "past")
-    return r.select("note_id", F.size("past").cast("long").alias("n_earlier"),
-                    F.array_join(F.array_sort(F.array_distinct("past")), ",").alias("participants"))
+    order = [F.col("note_timestamp").asc_nulls_last(), F.col("note_id").asc()]
+    n = nb.withColumn("n_earlier", (F.row_number().over(Window.partitionBy("event_uuid").orderBy(*order)) - 1)
+                      .cast("long"))
+    r = W.with_earlier_distinct(n, "note_id", "event_uuid", N.ORDER, "author_handle", "past")
+    return r.select("note_id", "n_earlier", F.array_join(F.array_sort("past"), ",").alias("participants"))
 
 
 @register("array_except_chain", with_note_ctes("""select note_id,
