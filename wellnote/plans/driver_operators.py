@@ -121,7 +121,7 @@ def q_paged_source(spark, sf_dir):
     from dx_completion ct left join dx_area ar on ct.areaid = ar.areamerrickid"""))
 def q_lookup_left(spark, sf_dir):
     w = wells(spark, sf_dir)
-    area = J.checked_broadcast(w.area, 1_000_000)
+    area = J.checked_broadcast(w.area, P.LOOKUP_MAX_ROWS)
     return (w.completion.join(area, F.col("areaid") == F.col("areamerrickid"), "left")
             .select("merrickid", "areaname"))
 
