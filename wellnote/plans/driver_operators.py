@@ -325,11 +325,10 @@ def q_array_except_chain(spark, sf_dir):
     select 'West' as direction, round(avg(west_spacing_ft), {PL}) as avg_spacing_ft
     from well_spacing where west_spacing_ft is not null"""))
 def q_union_directions(spark, sf_dir):
+    # UNION ALL of two one-row aggregates over the same view, as one pass + stack
     ws = SP.well_spacing(wells(spark, sf_dir))
-    east = ws.where(F.col("east_spacing_ft").isNotNull()).agg(F.avg("east_spacing_ft").alias("avg_spacing_ft"))
-    west = ws.where(F.col("west_spacing_ft").isNotNull()).agg(F.avg("west_spacing_ft").alias("avg_spacing_ft"))
-    return (east.select(F.lit("East").alias("direction"), "avg_spacing_ft")
-            .unionByName(west.select(F.lit("West").alias("direction"), "avg_spacing_ft")))
+    a = ws.agg(F.avg("east_spacing_ft").alias("East"), F.avg("west_spacing_ft").alias("West"))
+    return a.select(F.expr("stack(2, 'East', East, 'West', West) as (direction, avg_spacing_ft)"))
 
 
 @register("top1_limit", f"""select o_custkey, round(sum(o_totalprice), {PL}) as total_value
