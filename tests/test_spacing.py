@@ -64,3 +64,10 @@ def test_spacing_answers(spark):
     dip = dict((r.direction, r.avg_vertical_diff_ft) for r in S.formation_dip(ws).collect())
     east = [r.east_vertical_diff_ft for r in ws.collect() if r.east_vertical_diff_ft is not None]
     assert abs(dip["East"] - sum(east) / len(east)) < 1e-9
+
+
+def test_materialized_spacing_equals_lazy(spark):
+    w = _wells(spark)
+    lazy = sorted(map(tuple, S.well_spacing(w).collect()), key=repr)
+    mat = sorted(map(tuple, S.well_spacing(w, materialize=True).collect()), key=repr)
+    assert lazy == mat

@@ -23,6 +23,7 @@ from wellnote.functions import geo
 from wellnote.operators.aggs import direction_pivot, safe_corr
 from wellnote.plans.inputs import WellTables
 from wellnote.plans.production import well_attributes, well_summary
+from wellnote.session import cut_lineage
 
 ENTITY = ["well_id", "lat0", "lon0"]
 
@@ -132,11 +133,16 @@ def near_pairs(geo_seg: DataFrame, radius_m: float = 1500.0,
 
 
 def well_pairs(w: WellTables, min_incl: float = 80.0, radius_m: float = 1500.0,
-               step_m: float = 400.0, cell_m: float = 2000.0) -> DataFrame:
+               step_m: float = 400.0, cell_m: float = 2000.0, materialize: bool = False) -> DataFrame:
     """V4c: ordered (subject, offset) pairs within ``radius_m`` with distance
     in feet, subject-minus-offset lateral TVD and the direction angle between
-    the centroids (each in its own well's offset frame, as the reference)."""
+    the centroids (each in its own well's offset frame, as the reference).
+    ``materialize`` writes the per-well stats and the lateral segments — read
+    by both sides of the distance join and by both ends of every pair — once
+    to the shared checkpoint folder."""
     traj, geo_seg = trajectories(w, min_incl)
+    if materialize:
+        traj, geo_seg = cut_lineage(traj), cut_lineage(geo_seg)
     pairs = near_pairs(geo_seg, radius_m, step_m, cell_m)
     both = pairs.unionByName(pairs.select(
         *[F.col(c + "_2").alias(c + "_1") for c in ENTITY],
@@ -166,10 +172,11 @@ def ranked_neighbours(pairs: DataFrame, tvd_lo: float = -500.0, tvd_hi: float =
 
 def well_spacing(w: WellTables, min_incl: float = 80.0, radius_m: float = 1500.0,
                  tvd_lo: float = -500.0, tvd_hi: float = 100.0, step_m: float = 400.0,
-                 cell_m: float = 2000.0) -> DataFrame:
+                 cell_m: float = 2000.0, materialize: bool = False) -> DataFrame:
     """V4: per well the nearest East and West neighbour (ties: smallest offset
     id), its spacing in feet and vertical difference."""
-    ranked = ranked_neighbours(well_pairs(w, min_incl, radius_m, step_m, cell_m), tvd_lo, tvd_hi)
+    ranked = ranked_neighbours(well_pairs(w, min_incl, radius_m, step_m, cell_m, materialize),
+                               tvd_lo, tvd_hi)
     piv = direction_pivot(ranked, "subject_well_id", "offset_direction",
                           ["distance_ft", "offset_well_id"],
                           ["offset_well_id", "distance_ft", "tvd_diff_ft"], ["East", "West"])
