@@ -17,6 +17,7 @@ tables); an HTTP client would implement the same three methods.
 from __future__ import annotations
 
 import importlib
+import sys
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
@@ -73,8 +74,11 @@ class ParquetPages:
 
 
 def _load_fetcher(options: dict):
-    mod, _, cls = options.get("fetcher", f"{__name__}:ParquetPages").partition(":")
     kwargs = {k[len("fetcher."):]: v for k, v in options.items() if k.startswith("fetcher.")}
+    name = options.get("fetcher")
+    if not name:
+        return ParquetPages(**kwargs)
+    mod, _, cls = name.partition(":")
     return getattr(importlib.import_module(mod), cls)(**kwargs)
 
 
@@ -141,6 +145,11 @@ class PagedRecordsSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    """Register the source.  This module is shipped to the Python workers by
+    value, so executors need no installed copy of the package (a custom
+    fetcher named by ``module:Class`` must be importable there)."""
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(PagedRecordsSource)
 
 
