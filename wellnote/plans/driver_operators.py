@@ -28,10 +28,6 @@ def _read(spark, sf_dir, name):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def joined(c, name=None):
-    return F.array_join(F.array_sort(F.col(c)), ",").alias(name or c)
-
-
 # ---------------------------------------------------------------- ingest ----
 
 ORDERS_DECLARED = [("o_orderkey", T.LongType()), ("o_custkey", T.LongType()),
