@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellnote.schemas import SURVEY_ANALYTIC_NAMES
+from wellnote.schemas import DECLARED, SURVEY_ANALYTIC_NAMES
 
 
 @dataclass
@@ -38,9 +38,18 @@ class NoteTables:
     user: DataFrame         # user_id, handle
 
 
+def with_declared_columns(df: DataFrame, table: str) -> DataFrame:
+    """Add declared columns a feed never delivered (e.g. always-NULL fields
+    that record pages omit) as typed NULLs, so the views can read them."""
+    for c, dtype in DECLARED.get(table, []):
+        if c not in df.columns:
+            df = df.withColumn(c, F.lit(None).cast(dtype))
+    return df
+
+
 def from_staging(spark: SparkSession, db: str = "stg") -> tuple[WellTables, NoteTables]:
     """Bundles over tables written by :func:`wellnote.sources.tables.load_all`."""
-    t = lambda name: spark.table(f"{db}.{name}")
+    t = lambda name: with_declared_columns(spark.table(f"{db}.{name}"), name)
     survey = t("wellview_surveypoint")
     for src, dst in SURVEY_ANALYTIC_NAMES.items():
         if src in survey.columns and dst not in survey.columns:
