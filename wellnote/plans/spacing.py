@@ -95,7 +95,7 @@ def segment_cells(geo_seg: DataFrame, step_m: float, cell_m: float) -> DataFrame
 
 
 def near_pairs(geo_seg: DataFrame, radius_m: float = 1500.0,
-               step_m: float = 400.0, cell_m: float = 2000.0) -> DataFrame:
+               step_m: float = 250.0, cell_m: float = 1800.0) -> DataFrame:
     """V4c geometry: unordered entity pairs of different wells whose laterals
     come within ``radius_m`` metres, with that distance (``well_id_1 <
     well_id_2``)."""
@@ -133,7 +133,7 @@ def near_pairs(geo_seg: DataFrame, radius_m: float = 1500.0,
 
 
 def well_pairs(w: WellTables, min_incl: float = 80.0, radius_m: float = 1500.0,
-               step_m: float = 400.0, cell_m: float = 2000.0, materialize: bool = False) -> DataFrame:
+               step_m: float = 250.0, cell_m: float = 1800.0, materialize: bool = False) -> DataFrame:
     """V4c: ordered (subject, offset) pairs within ``radius_m`` with distance
     in feet, subject-minus-offset lateral TVD and the direction angle between
     the centroids (each in its own well's offset frame, as the reference).
@@ -171,8 +171,8 @@ def ranked_neighbours(pairs: DataFrame, tvd_lo: float = -500.0, tvd_hi: float =
 
 
 def well_spacing(w: WellTables, min_incl: float = 80.0, radius_m: float = 1500.0,
-                 tvd_lo: float = -500.0, tvd_hi: float = 100.0, step_m: float = 400.0,
-                 cell_m: float = 2000.0, materialize: bool = False) -> DataFrame:
+                 tvd_lo: float = -500.0, tvd_hi: float = 100.0, step_m: float = 250.0,
+                 cell_m: float = 1800.0, materialize: bool = False) -> DataFrame:
     """V4: per well the nearest East and West neighbour (ties: smallest offset
     id), its spacing in feet and vertical difference."""
     ranked = ranked_neighbours(well_pairs(w, min_incl, radius_m, step_m, cell_m, materialize),
