@@ -10,6 +10,7 @@ from wellnote.plans import production as P
 from wellnote.plans import spacing as S
 from wellnote.plans.inputs import driver_note_tables, driver_well_tables
 from wellnote.sources.tables import load_all
+from wellnote.schemas import NOTE_TABLE, USER_TABLE
 
 SF = "/root/testdata/sf0.001"
 
@@ -27,7 +28,7 @@ def _land(w, n, csv_dir, pages_dir):
                              F.col("northing_offset_ft").alias("northing"), F.col("tvd_offset_ft").alias("tvd"))
     pages = {"wellview_wellheader": w.header, "procount_completiondailytb": w.daily,
              "aries_daily_capacities": w.capacity, "wellview_job": w.job, "wellview_surveypoint": survey,
-             "wiserock_note": n.note, "wiserock_user": n.user}
+             NOTE_TABLE: n.note, USER_TABLE: n.user}
     for name, df in pages.items():
         df.write.json(os.path.join(pages_dir, name))
 

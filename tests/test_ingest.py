@@ -8,6 +8,7 @@ from wellnote.operators.ingest import column_profile, dedupe, typed_projection,
 from wellnote.sources.csv_dir import csv_tables, read_csv_text
 from wellnote.sources.paged import read_pages
 from wellnote.sources.tables import TableSpec, load_all, write_table
+from wellnote.schemas import NOTE_TABLE, USER_TABLE
 
 CSV_EDGE = (
     'producingmethodsmerrickid,producingmethodsdescription,extra\n'
@@ -62,7 +63,7 @@ def test_duplicate_flag_nulls_equal(spark):
 def test_timestamp_and_int_casts(spark):
     df = spark.createDataFrame([("1.0", "2024-01-02T05:00:00+02:00", "2024-01-02", "true", "1.5")],
                                "user_id string, note_timestamp string, d string, is_edited string, event_id string")
-    t = typed_projection(df, "wiserock_note").collect()[0]
+    t = typed_projection(df, NOTE_TABLE).collect()[0]
     assert t.user_id == 1 and t.is_edited is True and t.event_id is None
     assert str(t.note_timestamp) == "2024-01-02 05:00:00" and t.d == "2024-01-02"
 
@@ -113,7 +114,7 @@ def test_json_records_union_of_keys(spark, scratch):
         f.write('{"user_id": 1.0, "handle": "ann"}\n{"user_id": 2, "note": "x"}\n')
     text = read_json_records(spark, path)
     assert sorted(text.columns) == ["handle", "note", "user_id"]
-    typed = typed_projection(text, "wiserock_user")
+    typed = typed_projection(text, USER_TABLE)
     assert sorted((r.user_id, r.handle, r.note) for r in typed.collect()) == [(1, "ann", None), (2, None, "x")]
 
 

@@ -2,6 +2,7 @@ import json
 import os
 
 from wellnote.streaming.landing import run_landing_load
+from wellnote.schemas import NOTE_TABLE, USER_TABLE
 
 
 def _land(folder, name, records):
@@ -17,10 +18,10 @@ def test_landing_load_is_incremental_and_deduplicated(spark, scratch):
     cols = ["user_id", "handle"]
     _land(landing, "page-0000.json", [{"user_id": 1, "handle": "ann"}, {"user_id": 1, "handle": "ann"},
                                       {"user_id": "2.0", "handle": "bob"}])
-    t = run_landing_load(spark, landing, cols, "wiserock_user", ckpt, staging_table="stg_stream.users")
+    t = run_landing_load(spark, landing, cols, USER_TABLE, ckpt, staging_table="stg_stream.users")
     assert sorted(tuple(r) for r in t.collect()) == [(1, "ann"), (2, "bob")]
     assert dict((f.name, f.dataType.simpleString()) for f in t.schema.fields)["user_id"] == "int"
     _land(landing, "page-0001.json", [{"user_id": 2, "handle": "bob"}, {"user_id": 3, "handle": "NA"}])
-    t = run_landing_load(spark, landing, cols, "wiserock_user", ckpt, staging_table="stg_stream.users")
+    t = run_landing_load(spark, landing, cols, USER_TABLE, ckpt, staging_table="stg_stream.users")
     assert sorted(tuple(r) for r in t.collect()) == \
         [(1, "ann"), (2, "bob"), (3, None)]

@@ -3,7 +3,7 @@
     python -m wellnote load --csv-dir DIR [--pages-dir DIR] [--db stg] [--flag-duplicates]
     python -m wellnote answers [--db stg] [--out DIR] [--year-a 2022] [--year-b 2023] [--field "Field 1"]
 
-``--pages-dir`` holds one folder per record table (``wiserock_note/``, ...)
+``--pages-dir`` holds one folder per record table (named as in ``schemas.API_TABLES``)
 with its landed JSON page files.  ``answers`` prints each answer, or writes
 it as Parquet under ``--out`` (a shared folder on a cluster).
 """

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wellnote.schemas import DECLARED, SURVEY_ANALYTIC_NAMES
+from wellnote.schemas import DECLARED, NOTE_TABLE, SURVEY_ANALYTIC_NAMES, USER_TABLE
 
 
 @dataclass
@@ -59,7 +59,7 @@ def from_staging(spark: SparkSession, db: str = "stg") -> tuple[WellTables, Note
         header=t("wellview_wellheader"), prop=t("ac_property"),
         daily=t("procount_completiondailytb"), capacity=t("aries_daily_capacities"),
         job=t("wellview_job"), survey=survey)
-    notes = NoteTables(note=t("wiserock_note"), user=t("wiserock_user"))
+    notes = NoteTables(note=t(NOTE_TABLE), user=t(USER_TABLE))
     return wells, notes
 
 

@@ -99,6 +99,10 @@ NA_TOKENS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null", "NaT",
 ]
 
+# The note and user feeds (staging table names, fixed values).
+NOTE_TABLE = "wiserock_note"
+USER_TABLE = "wiserock_user"
+
 # CSV/JSON page feeds of the source systems (table names as landed).
 API_TABLES = [
     "aries_daily_capacities", "procount_completiondailytb", "wellview_job",
