@@ -135,3 +135,14 @@ def test_register_views(spark):
         return sorted((tuple(round(v, 6) if isinstance(v, float) else v for v in r) for r in df.collect()),
                       key=repr)
     assert rounded(mat["well_summary"]) == rounded(lazy["well_summary"])   # sums differ only in order
+
+
+def test_profile_loaded_tables(spark, scratch):
+    from wellnote.sources.tables import profile_tables
+    path = os.path.join(scratch, "routetb.csv")
+    with open(path, "w") as f:
+        f.write('routemerrickid,routename\n"2","Route 2"\n"1",""\n"3","R' + "x" * 150 + '"\n')
+    load_all(spark, [TableSpec("routetb", lambda s: read_csv_text(s, path))], db="stg_prof")
+    got = {(r.table, r.column_name): r.sample_value
+           for r in profile_tables(spark, ["routetb"], "stg_prof", {"routetb": ["routemerrickid"]}).collect()}
+    assert got == {("routetb", "routemerrickid"): "1", ("routetb", "routename"): "Route 2"}

@@ -1,6 +1,6 @@
 """Command line: load landed data into staging, then compute the answers.
 
-    python -m wellnote load --csv-dir DIR [--pages-dir DIR] [--db stg] [--flag-duplicates]
+    python -m wellnote load --csv-dir DIR [--pages-dir DIR] [--db stg] [--flag-duplicates] [--profile]
     python -m wellnote answers [--db stg] [--out DIR] [--year-a 2022] [--year-b 2023] [--field "Field 1"]
 
 ``--pages-dir`` holds one folder per record table (named as in ``schemas.API_TABLES``)
@@ -57,6 +57,7 @@ def main(argv=None) -> int:
     ld.add_argument("--pages-dir")
     ld.add_argument("--db", default="stg")
     ld.add_argument("--flag-duplicates", action="store_true")
+    ld.add_argument("--profile", action="store_true", help="show a sample value per column")
     an = sub.add_parser("answers")
     an.add_argument("--db", default="stg")
     an.add_argument("--out")
@@ -69,9 +70,13 @@ def main(argv=None) -> int:
     from wellnote.session import get_spark
     spark = get_spark()
     if args.cmd == "load":
-        from wellnote.sources.tables import load_all
+        from wellnote.sources.tables import load_all, profile_tables
         mode = "flag" if args.flag_duplicates else "dedupe"
-        load_all(spark, load_specs(spark, args.csv_dir, args.pages_dir, mode), args.db).show(100, False)
+        report = load_all(spark, load_specs(spark, args.csv_dir, args.pages_dir, mode), args.db)
+        report.show(100, False)
+        if args.profile:
+            loaded = [r.table for r in report.where("status = 'loaded'").select("table").collect()]
+            profile_tables(spark, loaded, args.db).show(1000, False)
         return 0
     for name, df in answers(spark, args.db, args.year_a, args.year_b, args.field, args.materialize).items():
         if args.out:
