@@ -1,23 +1,76 @@
-"""Corpus pipeline: quality, near duplicates, decontamination, mixing, sharding."""
+"""Corpus pipeline over ``documents``: quality, near duplicates, decontamination, mixing, sharding.
+
+Each stage works on all rows that the stage before it kept and returns the columns of the
+documents it was given; the last one adds shard, grown_shard and slot.
+
+* quality classifier: rows with a score under 0.5 go.  Learns from ``labels`` and the rows it is given.
+* n-gram Jaccard join: of each group of near duplicates the row with the smallest (doc_id, text
+  hash) stays, null ids last, one of fully repeated rows; rows without words are no duplicates.
+* benchmark decontamination: rows with at least one in twenty words inside benchmark phrases go.
+* mixing: every row stands as often as the mixture takes it, up to three times or not at all.
+* sharding: rendezvous hashing by doc_id; each row, repeated ones too, has a slot of its own.
+
+Null texts count as empty in every stage; an empty table passes all stages empty.
+"""
 
 from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
-from wellnote.llm import sharding
+from wellnote.llm import contamination, jaccard, mixing, quality, sharding
 from wellnote.llm.common import shared_folder, table
 
 
-def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = quality.train(docs, table(spark, sf_dir, "labels"))
+    return docs.withColumn("_score", quality.score_column(model)).filter("_score >= 0.5").drop("_score")
+
+
+def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = jaccard.linked_components(docs)
+    # One keeper per group; rows without words stay by themselves.
+    place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), "tid")
+    keepers = found.filter("n_shingles > 0").groupBy("label").agg(F.min(place).alias("first")) \
+        .select(F.col("first.doc_id").alias("_id"), F.col("first.tid").alias("_tid"))
+    alone = found.filter("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid"))
+    named = docs.withColumn("_own", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))) \
+        .withColumn("_own_id", F.col("doc_id").cast("long"))
+    kept = named.join(keepers.withColumn("_worded", F.lit(True)).union(
+        alone.distinct().withColumn("_worded", F.lit(False))),
+        (F.col("_own") == F.col("_tid")) & F.col("_own_id").eqNullSafe(F.col("_id")))
+    nth = Window.partitionBy("_own", "_own_id").orderBy(F.lit(0))
+    return kept.withColumn("_nth", F.row_number().over(nth)) \
+        .filter(~F.col("_worded") | (F.col("_nth") == 1)).select(*docs.columns)
+
+
+def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    bad = found.filter("contaminated").select(F.col("tid").alias("_tid"), F.col("crc").alias("_crc")).distinct()
+    return docs.join(bad, (F.xxhash64(text) == F.col("_tid")) & (F.crc32(text.cast("binary")) == F.col("_crc")),
+                     "left_anti")
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs)
+
+
+def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.with_shards(docs, [1.0] * sharding.SHARDS)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
-    ("sharding", shard),
+    ("quality classifier", keep_quality),
+    ("n-gram Jaccard join", keep_distinct),
+    ("benchmark decontamination", keep_clean),
+    ("mixing sources", mix_sources),
+    ("sharding", deal_shards),
 ]
+#: The classifier is learned, which SQL cannot express; tests hold run() against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 U64 = np.uint64
@@ -92,6 +92,44 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(list(col), type=f.type) for col, f in zip(zip(*rows), schema)], schema=schema)
 
 
+def bounded_sample(rows: DataFrame, label: str, per_label: int) -> list[tuple[str, object]]:
+    """At most ``per_label`` different texts of each label, as (text, label) on the driver.
+
+    ``rows`` has ``text`` and ``label``; rows without either are left out.  The choice is by a hash
+    of the text, so it is the same whatever the order or the number of tasks.
+    """
+    spot = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    known = rows.select("text", F.col(label).alias("label"), spot.alias("spot")) \
+        .filter("label is not null and text is not null")
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if not counts:
+        return []
+    shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, 4.0 * per_label / n)])
+    near = known.filter(F.col("spot") < F.try_element_at(shares, F.col("label"))) \
+        .dropDuplicates(["label", "text"])
+    first = Window.partitionBy("label").orderBy("spot", F.xxhash64("text"), "text")
+    picked = near.withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= per_label)
+    return [(r["text"], r["label"]) for r in picked.orderBy("spot", "label", "text").collect()]
+
+
+class Adam:
+    """Adam steps over a dictionary of arrays, in place."""
+
+    def __init__(self, params: dict[str, np.ndarray], rate: float) -> None:
+        self.params, self.rate, self.t = params, rate, 0
+        self.m = {k: np.zeros_like(v) for k, v in params.items()}
+        self.v = {k: np.zeros_like(v) for k, v in params.items()}
+
+    def step(self, grads: dict[str, np.ndarray], rate: float | None = None) -> None:
+        self.t += 1
+        rate = self.rate if rate is None else rate
+        for k, g in grads.items():
+            self.m[k] += 0.1 * (g - self.m[k])
+            self.v[k] += 0.001 * (g * g - self.v[k])
+            self.params[k] -= (rate * (self.m[k] / (1 - 0.9 ** self.t))
+                               / (np.sqrt(self.v[k] / (1 - 0.999 ** self.t)) + 1e-8)).astype(self.params[k].dtype)
+
+
 class Powers:
     """Powers of ``BASE`` and of its inverse, grown on demand."""
 

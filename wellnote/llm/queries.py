@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wellnote.llm import chat, fingerprints, sharding
+from wellnote.llm import (chat, chunks, contamination, extraction, fingerprints, jaccard, language, mixing,
+                          quality, sharding)
 from wellnote.llm.common import table
 
 #: The conversation that the contract adds: texts that imitate control strings.
@@ -17,19 +18,48 @@ def op1_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.edited_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op2_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.repeated_passages(table(spark, sf_dir, "documents"))
+
+
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture_report(table(spark, sf_dir, "documents"))
+
+
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.linked_components(table(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_shingles", "component_id")
+
+
+def op5_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contamination(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("tid", "crc")
+
+
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     added = spark.createDataFrame(INTRUDER, "conv_id long, turn long, role string, text string")
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     return chat.read_back(chat.format_examples(turns.unionByName(added)))
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 def op10_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op1_winnowing": op1_winnowing,
-    "op7_chat": op7_chat,
-    "op10_rendezvous": op10_rendezvous,
-}
-ORACLES: dict[str, str] = {}
+    f.__name__: f for f in (op1_winnowing, op2_chunk_dedup, op3_mixing, op4_ngram_join, op5_extraction,
+                            op6_decontamination, op7_chat, op8_quality, op9_language, op10_rendezvous)}
+#: Queries that SQL can express; the others are tested against brute force, round trips or held-out rows.
+ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op6_decontamination": contamination.ORACLE}
