@@ -27,7 +27,8 @@ from wellnote.llm.common import shared_folder, table
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"))
-    return docs.withColumn("_score", quality.score_column(model)).filter("_score >= 0.5").drop("_score")
+    return docs.select(F.struct("*").alias("row"), quality.score_column(model).alias("score")) \
+        .filter("score >= 0.5").select("row.*")
 
 
 def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,24 +36,23 @@ def keep_distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     # One keeper per group; rows without words stay by themselves.
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), "tid")
     keepers = found.filter("n_shingles > 0").groupBy("label").agg(F.min(place).alias("first")) \
-        .select(F.col("first.doc_id").alias("_id"), F.col("first.tid").alias("_tid"))
-    alone = found.filter("n_shingles = 0").select(F.col("doc_id").alias("_id"), F.col("tid").alias("_tid"))
-    named = docs.withColumn("_own", F.xxhash64(F.coalesce(F.col("text"), F.lit("")))) \
-        .withColumn("_own_id", F.col("doc_id").cast("long"))
-    kept = named.join(keepers.withColumn("_worded", F.lit(True)).union(
-        alone.distinct().withColumn("_worded", F.lit(False))),
-        (F.col("_own") == F.col("_tid")) & F.col("_own_id").eqNullSafe(F.col("_id")))
-    nth = Window.partitionBy("_own", "_own_id").orderBy(F.lit(0))
-    return kept.withColumn("_nth", F.row_number().over(nth)) \
-        .filter(~F.col("_worded") | (F.col("_nth") == 1)).select(*docs.columns)
+        .select("first.doc_id", "first.tid", F.lit(True).alias("worded"))
+    alone = found.filter("n_shingles = 0").select("doc_id", "tid", F.lit(False).alias("worded")).distinct()
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("own_id"),
+                       F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("own_tid"))
+    kept = rows.join(keepers.union(alone), (F.col("own_tid") == F.col("tid"))
+                     & F.col("own_id").eqNullSafe(F.col("doc_id")))
+    nth = F.row_number().over(Window.partitionBy("own_tid", "own_id").orderBy(F.lit(0)))
+    return kept.withColumn("nth", nth).filter("not worded or nth = 1").select("row.*")
 
 
 def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     found = contamination.contamination(docs, table(spark, sf_dir, "benchmark"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    bad = found.filter("contaminated").select(F.col("tid").alias("_tid"), F.col("crc").alias("_crc")).distinct()
-    return docs.join(bad, (F.xxhash64(text) == F.col("_tid")) & (F.crc32(text.cast("binary")) == F.col("_crc")),
-                     "left_anti")
+    rows = docs.select(F.struct("*").alias("row"), F.xxhash64(text).alias("tid"),
+                       F.crc32(text.cast("binary")).alias("crc"))
+    bad = found.filter("contaminated").select("tid", "crc").distinct()
+    return rows.join(bad, ["tid", "crc"], "left_anti").select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

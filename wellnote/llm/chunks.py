@@ -132,7 +132,7 @@ def deduplicated(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     treated alike.
     """
     spans = repeated_passages(docs, min_run).filter("n_first < n_chunks") \
-        .groupBy("doc_id", "tid").agg(F.sort_array(F.collect_list(F.struct("start", "n_bytes"))).alias("_spans"))
+        .groupBy("doc_id", "tid").agg(F.sort_array(F.collect_list(F.struct("start", "n_bytes"))).alias("spans"))
 
     @F.pandas_udf("string")
     def without(texts, spans):
@@ -148,8 +148,10 @@ def deduplicated(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
             return b"".join([*kept, data[at:]]).decode("utf-8", "surrogatepass")
         return pd.Series([rest(t, s) for t, s in zip(texts, spans)], dtype=object)
 
-    named = docs.withColumn("_tid", F.xxhash64("text"))
-    spans = spans.select(F.col("doc_id").alias("_id"), F.col("tid").alias("_other"), "_spans")
-    return named.join(spans, (F.col("_tid") == F.col("_other")) & F.col("doc_id").eqNullSafe(F.col("_id")), "left") \
-        .withColumn("text", without("text", "_spans")).drop("_tid", "_id", "_other", "_spans") \
-        .select(*docs.columns)
+    named = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("own_tid"),
+                        F.col("doc_id").cast("long").alias("own_id"))
+    joined = named.join(spans, (F.col("own_tid") == F.col("tid")) & F.col("own_id").eqNullSafe(F.col("doc_id")),
+                        "left")
+    cleaned = without(F.col("row.text"), F.col("spans"))
+    return joined.select(F.struct(*[cleaned.alias(c) if c == "text" else F.col("row")[c].alias(c)
+                                    for c in docs.columns]).alias("row")).select("row.*")

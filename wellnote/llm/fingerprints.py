@@ -73,9 +73,9 @@ def fingerprints(docs: DataFrame, text: str = "text", k: int = K, w: int = W) ->
         return pd.DataFrame({"grams": [g.astype(np.int64) for g, _ in found],
                              "positions": [p for _, p in found]})
 
-    made = docs.drop("grams", "gram_positions").withColumn("_fp", udf(F.col(text)))
-    return made.withColumn("grams", F.col("_fp.grams")) \
-        .withColumn("gram_positions", F.col("_fp.positions")).drop("_fp")
+    row = F.struct(*[F.col(c) for c in docs.columns if c not in ("grams", "gram_positions")])
+    return docs.select(row.alias("row"), udf(F.col(text)).alias("made")) \
+        .select("row.*", "made.grams", F.col("made.positions").alias("gram_positions"))
 
 
 EDITED = T.StructType([

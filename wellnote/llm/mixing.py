@@ -81,53 +81,55 @@ def _key(source: str = "source") -> Column:
 
 def with_repetitions(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", source: str = "source",
                      weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = MAX_EPOCHS,
-                     seed: str = SEED, ranges: int = RANGES) -> DataFrame:
-    """All columns of ``docs`` with size, source_size, target and repetitions (0 and up).
+                     seed: str = SEED, ranges: int = RANGES, keep: list[str] | None = None) -> DataFrame:
+    """The columns ``keep`` of ``docs`` (all by default) with size, source_size, target and repetitions (0 and up).
 
     Sources by code point weigh ``weights`` in turn.  Columns of the names made are replaced.
     """
     made = ("size", "source_size", "target", "repetitions")
-    named = docs.drop(*made)
     seeded = F.md5(F.concat_ws("\x1f", F.lit(seed), F.coalesce(F.col(doc_id).cast("string"), F.lit("")),
                                F.coalesce(F.substring(F.md5(F.col(text)), 1, 8), F.lit(""))))
-    sized = named.withColumn("size", n_words(text)).withColumn("_key", _key(source)) \
-        .withColumn("_hash", F.conv(F.substring(seeded, 1, 13), 16, 10).cast("long")) \
-        .withColumn("_range", F.shiftright("_hash", 52 - (ranges.bit_length() - 1)).cast("int"))
-    sums = cut(sized.groupBy(F.col(source).alias("source"), "_key", "_range")
-               .agg(F.sum("size").alias("range_size")))
-    by_source = sums.groupBy("source", "_key").agg(F.sum("range_size").alias("source_size"))
+    sized = docs.select(
+        F.struct(*[F.col(c) for c in keep or docs.columns if c not in made]).alias("row"),
+        F.col(source).alias("source"), _key(source).alias("key"), n_words(text).alias("size"),
+        F.conv(F.substring(seeded, 1, 13), 16, 10).cast("long").alias("hash")) \
+        .withColumn("range", F.shiftright("hash", 52 - (ranges.bit_length() - 1)).cast("int"))
+    sums = cut(sized.groupBy("source", "key", "range").agg(F.sum("size").alias("range_size")))
+    by_source = sums.groupBy("source", "key").agg(F.sum("range_size").alias("source_size"))
     ranked = ranked_sources(by_source)
     turn = F.element_at(F.array(*[F.lit(w) for w in weights]), (F.col("rank") % len(weights) + 1).cast("int"))
     filled = cut(water_filling(ranked.withColumn("weight", turn), max_epochs)
-                 .withColumn("_whole", F.when(F.col("source_size") > 0,
-                                              F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
-                 .withColumn("_rest", F.col("target") - F.col("_whole") * F.col("source_size"))
-                 .select("_key", "source_size", "target", "_whole", "_rest"))
-    before = W.partitionBy("_key").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
-    starts = sums.withColumn("_start", F.coalesce(F.sum("range_size").over(before), F.lit(0))) \
-        .join(filled, "_key").select("_key", "_range", "_start", "range_size", "source_size", "target",
-                                     "_whole", "_rest")
-    placed = sized.join(starts, ["_key", "_range"])
-    across = (F.col("_start") < F.col("_rest")) & (F.col("_start") + F.col("range_size") > F.col("_rest"))
+                 .withColumn("whole", F.when(F.col("source_size") > 0,
+                                             F.floor(F.col("target") / F.col("source_size"))).otherwise(0))
+                 .withColumn("rest", F.col("target") - F.col("whole") * F.col("source_size"))
+                 .select("key", "source_size", "target", "whole", "rest"))
+    before = W.partitionBy("key").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
+    starts = sums.withColumn("start", F.coalesce(F.sum("range_size").over(before), F.lit(0))) \
+        .drop("source").join(filled, "key")
+    placed = sized.drop("source").join(starts, ["key", "range"])
+    across = (F.col("start") < F.col("rest")) & (F.col("start") + F.col("range_size") > F.col("rest"))
     # Only ranges where the rest runs out are ordered; the others are in or out as a whole.
-    running = F.sum("size").over(W.partitionBy("_key", "_range").orderBy("_hash", "size")
+    running = F.sum("size").over(W.partitionBy("key", "range").orderBy("hash", "size")
                                  .rowsBetween(W.unboundedPreceding, -1))
-    cut_through = placed.filter(across).withColumn("_from", F.col("_start") + F.coalesce(running, F.lit(0))) \
-        .withColumn("_more", (F.col("_from") + F.col("size") / 2 <= F.col("_rest")).cast("long")).drop("_from")
+    cut_through = placed.filter(across).withColumn("from", F.col("start") + F.coalesce(running, F.lit(0))) \
+        .withColumn("more", (F.col("from") + F.col("size") / 2 <= F.col("rest")).cast("long")).drop("from")
     uniform = placed.filter(~across) \
-        .withColumn("_more", (F.col("_start") + F.col("range_size") <= F.col("_rest")).cast("long"))
-    return uniform.unionByName(cut_through) \
-        .withColumn("repetitions", F.when(F.col("size") > 0, F.least(
-            F.lit(max_epochs), F.col("_whole") + F.col("_more"))).otherwise(F.lit(0)).cast("long")) \
-        .drop("_key", "_hash", "_range", "_start", "range_size", "_whole", "_rest", "_more")
+        .withColumn("more", (F.col("start") + F.col("range_size") <= F.col("rest")).cast("long"))
+    return uniform.unionByName(cut_through).select(
+        "row.*", "size", "source_size", "target",
+        F.when(F.col("size") > 0, F.least(F.lit(max_epochs), F.col("whole") + F.col("more")))
+        .otherwise(F.lit(0)).cast("long").alias("repetitions"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
     """The mixture itself: every row of ``docs`` as often as it is taken, with its own columns."""
-    columns = [F.col(c) for c in docs.columns]
-    taken = with_repetitions(docs, **options).filter("repetitions > 0")
-    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("repetitions").cast("int")))) \
-        .select(*columns)
+    names = {k: options.get(k, k) for k in ("text", "doc_id", "source")}
+    whole = docs.select(F.struct("*").alias("whole_row"), *[F.col(v).alias(k) for k, v in names.items()])
+    taken = with_repetitions(whole, keep=["whole_row"],
+                             **{k: v for k, v in options.items() if k not in names}) \
+        .filter("repetitions > 0")
+    return taken.select("whole_row", F.explode(F.sequence(F.lit(1), F.col("repetitions").cast("int")))) \
+        .select("whole_row.*")
 
 
 def mixture_report(docs: DataFrame) -> DataFrame:
@@ -135,7 +137,7 @@ def mixture_report(docs: DataFrame) -> DataFrame:
 
     The texts are only read for their word counts and hashes.
     """
-    narrow = with_repetitions(docs.select("doc_id", "source", "text"))
+    narrow = with_repetitions(docs, keep=["doc_id"])
     return narrow.select("doc_id", "size", "source_size", "target",
                          (F.col("size") * F.col("repetitions")).alias("taken"), "repetitions")
 

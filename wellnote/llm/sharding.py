@@ -46,23 +46,22 @@ def with_shards(docs: DataFrame, weights: list[float], doc_id: str = "doc_id", t
     of their own.  Columns of the names made are replaced.
     """
     made = ("shard", "grown_shard", "slot")
-    key = F.col("_key")
     # Added shards need numbers of their own, so the first ones keep their scores.
     more = weights + [weights[-1] if grown is None else grown]
-    scored = (docs.drop(*made).withColumn("_key", key_hash(F.col(doc_id), F.col(text)))
-              .withColumn("shard", shard_of(key, weights).cast("int"))
-              .withColumn("grown_shard", shard_of(key, more).cast("int"))
-              .withColumn("_range", F.pmod(F.xxhash64(key, F.col(text)), F.lit(ranges)).cast("int")))
-    counts = scored.groupBy("shard", "_range").agg(F.count("*").alias("_n"))
-    before = W.partitionBy("shard").orderBy("_range").rowsBetween(W.unboundedPreceding, -1)
+    rows = docs.select(
+        F.struct(*[F.col(c) for c in docs.columns if c not in made]).alias("row"),
+        key_hash(F.col(doc_id), F.col(text)).alias("key"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tid"))
+    scored = rows.withColumn("shard", shard_of(F.col("key"), weights).cast("int")) \
+        .withColumn("grown_shard", shard_of(F.col("key"), more).cast("int")) \
+        .withColumn("range", F.pmod(F.xxhash64("key", "tid"), F.lit(ranges)).cast("int"))
+    counts = scored.groupBy("shard", "range").agg(F.count("*").alias("n"))
+    before = W.partitionBy("shard").orderBy("range").rowsBetween(W.unboundedPreceding, -1)
     # At most shards x ranges rows, whatever the input.
-    starts = counts.select("shard", "_range",
-                           F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    inside = W.partitionBy("shard", "_range").orderBy("_key", F.asc_nulls_first(text))
-    return (scored.withColumn("_at", F.row_number().over(inside))
-            .join(starts, ["shard", "_range"])
-            .withColumn("slot", (F.col("_start") + F.col("_at") - 1).cast("long"))
-            .drop("_key", "_range", "_at", "_start"))
+    starts = counts.select("shard", "range", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
+    inside = W.partitionBy("shard", "range").orderBy("key", "tid")
+    return scored.withColumn("at", F.row_number().over(inside)).join(starts, ["shard", "range"]) \
+        .select("row.*", "shard", "grown_shard", (F.col("start") + F.col("at") - 1).cast("long").alias("slot"))
 
 
 def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -70,14 +69,10 @@ def shard_documents(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
 
     A null text has no bytes (size 1) and the checksum of the empty text.  An empty table gives no rows.
     """
-    narrow = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        (F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1).alias("size"),
-        F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        # Without an id the text is the key; elsewhere only its checksum orders repeated rows.
-        F.when(F.col("doc_id").isNull(), F.coalesce(F.col("text"), F.lit("")))
-        .otherwise(F.lpad(F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).cast("string"), 10, "0"))
-        .alias("_text"))
-    placed = with_shards(narrow, [1.0] * shards, text="_text")
+    text = F.coalesce(F.col("text"), F.lit(""))
+    narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"),
+                         (F.octet_length(text).cast("long") + 1).alias("size"),
+                         F.crc32(text.cast("binary")).alias("text_crc32"))
+    placed = with_shards(narrow, [1.0] * shards)
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"),
                          "shard", "slot", "grown_shard")
