@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from wellnote.llm.common import batches_of, bounded_sample, rows_of
 
 #: Pages of the table and variants made of them that the model is fitted on.
-FIT_PAGES, FIT_VARIANTS = 80, 160
+FIT_PAGES, FIT_VARIANTS = 80, 240
 EPOCHS, RATE = 12, 0.15
 
 #: HTML elements.
@@ -44,6 +44,7 @@ CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr",
              "td": {"td", "th"}, "th": {"td", "th"}}
 SCOPES = frozenset("ul ol menu dl table td th html".split())
 _TOKEN = re.compile(r"[a-z]+")
+_TAG = re.compile(r"</?[a-zA-Z]|<!|<\?")
 
 
 class Tree(HTMLParser):
@@ -151,6 +152,9 @@ class Tree(HTMLParser):
 
 
 def parse(html: str) -> Tree:
+    cut_off = html.rfind("<")
+    if cut_off > html.rfind(">") and _TAG.match(html, cut_off):
+        html = html[:cut_off]  # the page ends inside a tag
     tree = Tree()
     tree.feed(html)
     return tree.close()
@@ -291,7 +295,10 @@ def variant(paragraphs: list[str], rng: random.Random) -> str:
         elif kind == "form":
             inner = f"<label>{short()}</label><input name=q><button>{short()}</button><p>{short()}</p>"
         else:
-            inner = rng.choice((some(), f"<p>{some()}</p>", f"<span>{short()}</span>"))
+            inner = rng.choice((some(), f"<p>{some()}</p>", f"<span>{short()}</span>", f"<h1>{short()}</h1>",
+                                f"<h2>{short()}</h2><p>{short()}</p>", f"<div><p>{some()}</p></div>"))
+        if rng.random() < 0.25 and kind != "header":
+            inner = f"<h3>{short()}</h3>{inner}"
         return f'<{tag}{attr} data-mark="0">{inner}</{tag}>'
 
     def piece() -> str:
