@@ -66,8 +66,15 @@ def test_spacing_answers(spark):
     assert abs(dip["East"] - sum(east) / len(east)) < 1e-9
 
 
-def test_materialized_spacing_equals_lazy(spark):
-    w = _wells(spark)
-    lazy = sorted(map(tuple, S.well_spacing(w).collect()), key=repr)
-    mat = sorted(map(tuple, S.well_spacing(w, materialize=True).collect()), key=repr)
-    assert lazy == mat
+def test_lateral_lines_keep_order_and_depth(spark):
+    lines = {r.well_id: r.points for r in S.lateral_lines(_wells(spark)).collect()}
+    assert [(p.md, p.e, p.n, p.tvd) for p in lines["A"]] == \
+        [(1000.0, 0.0, 0.0, 9000.0), (2000.0, 1000.0, 0.0, 9000.0), (3000.0, 2000.0, 0.0, 9000.0)]
+    assert [p.tvd for p in lines["F"]] == [9000.0]
+
+
+def test_candidates_carry_keys_only(spark):
+    _, seg = S.trajectories(_wells(spark))
+    cand = S.candidate_segments(seg, 250.0, 1800.0)
+    assert cand.columns == [c + i for i in ("_1", "_2") for c in S.SEGMENT]
+    assert cand.count() == cand.distinct().count()

@@ -4,7 +4,7 @@
     python -m wellnote answers [--db stg] [--out DIR] [--year-a 2022] [--year-b 2023] [--field "Field 1"]
 
 ``--pages-dir`` holds one folder per record table (named as in ``schemas.API_TABLES``)
-with its landed JSON page files.  ``answers`` prints each answer, or writes
+with its landed JSON page files.  ``answers`` prints each answer whole, or writes
 it as Parquet under ``--out`` (a shared folder on a cluster).
 """
 
@@ -21,14 +21,29 @@ def load_specs(spark, csv_dir: str | None, pages_dir: str | None, mode: str):
     from wellnote.sources.paged import read_json_records
     from wellnote.sources.tables import TableSpec, csv_specs
     specs = csv_specs(spark, csv_dir, mode) if csv_dir else []
-    if pages_dir:
-        for t in API_TABLES:
-            path = os.path.join(pages_dir, t)
-            if os.path.isdir(path):
-                specs.append(TableSpec(t, (lambda s, p=path: read_json_records(s, p)), mode))
+    for t in API_TABLES if pages_dir else ():
+        path = f"{pages_dir.rstrip('/')}/{t}"
+        if exists(spark, path):
+            specs.append(TableSpec(t, (lambda s, p=path: read_json_records(s, p)), mode))
     return specs
 
 
+def exists(spark, path: str) -> bool:
+    """Whether any Hadoop file system path exists."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def show_all(df) -> None:
+    """Print every row of a report, as it streams to the driver, and their number."""
+    print(" | ".join(df.columns))
+    n = 0
+    for row in df.toLocalIterator():
+        print(" | ".join("" if v is None else str(v) for v in row))
+        n += 1
+    print(f"({n} rows)")
+
+
 def answers(spark, db: str, year_a: int, year_b: int, field: str, materialize: bool = False) -> dict:
     from wellnote.plans import notes as N
     from wellnote.plans import production as P
@@ -44,8 +59,8 @@ def answers(spark, db: str, year_a: int, year_b: int, field: str, materialize: b
         "county_spacing": S.county_spacing(wells, ws, attrs),
         "formation_dip": S.formation_dip(ws),
         "spacing_corr": S.spacing_corr(wells, ws, attrs, summary=v["well_summary"]),
-        "top_conversation": N.top_conversation(v["note_relationships"]),
-        "user_summary": N.user_summary(notes, v["note_relationships"], materialize=materialize),
+        "top_conversation": N.top_conversation(notes),
+        "user_summary": N.user_summary(notes),
     }
 
 
@@ -73,17 +88,17 @@ def main(argv=None) -> int:
         from wellnote.sources.tables import load_all, profile_tables
         mode = "flag" if args.flag_duplicates else "dedupe"
         report = load_all(spark, load_specs(spark, args.csv_dir, args.pages_dir, mode), args.db)
-        report.show(100, False)
+        show_all(report)
         if args.profile:
             loaded = [r.table for r in report.where("status = 'loaded'").select("table").collect()]
-            profile_tables(spark, loaded, args.db).show(1000, False)
+            show_all(profile_tables(spark, loaded, args.db))
         return 0
     for name, df in answers(spark, args.db, args.year_a, args.year_b, args.field, args.materialize).items():
         if args.out:
             df.write.mode("overwrite").parquet(os.path.join(args.out, name))
         else:
             print(f"== {name}")
-            df.show(50, False)
+            show_all(df)
     return 0
 
 

@@ -31,29 +31,32 @@ def normalise_missing(df: DataFrame, columns: Sequence[str] | None = None,
 def cast_text(col: Column, dtype: T.DataType) -> Column:
     """Text -> declared type; unparseable text becomes NULL.
 
-    Integers go through double so that ``1.0`` (how a nullable integer column
-    is written out as text) reads as 1; a non-integral value is NULL.
+    Plain digits are read exactly over the whole 64-bit range.  An integer
+    written with a fraction (``1.0``, how a nullable integer column is written
+    out as text) is read as a decimal; a non-integral value is NULL.
     """
     if isinstance(dtype, (T.IntegerType, T.LongType, T.ShortType)):
-        d = col.try_cast("double")
-        return F.when(d == F.round(d, 0), d.try_cast(dtype))
+        d = col.try_cast("decimal(38,9)")
+        return F.coalesce(col.try_cast(dtype), F.when(d == F.round(d, 0), d.try_cast(dtype)))
     return col.try_cast(dtype)
 
 
 def typed_projection(df: DataFrame, table: str | None = None,
                      declared: Sequence[tuple[str, T.DataType]] | None = None,
                      aliases: dict[str, str] | None = None,
-                     normalise: bool = True) -> DataFrame:
-    """Rename known header variants, turn missing tokens into NULL, cast the
-    declared columns, keep the rest as text (column order preserved)."""
+                     missing: Sequence[str] = NA_TOKENS) -> DataFrame:
+    """Rename known header variants, turn the source's ``missing`` tokens into
+    NULL, cast the declared columns, keep the rest as text (column order
+    preserved).  The tokens are those of a CSV read; a source with typed
+    records (JSON) has none, there the text ``NA`` is a value."""
     decl = dict(declared if declared is not None else DECLARED.get(table or "", []))
     alias = aliases if aliases is not None else HEADER_ALIASES.get(table or "", {})
     out = df
     for src, dst in alias.items():
         if src in out.columns and dst not in out.columns:
             out = out.withColumnRenamed(src, dst)
-    if normalise:
-        out = normalise_missing(out)
+    if missing:
+        out = normalise_missing(out, tokens=missing)
     return out.select(*[
         cast_text(F.col(c), decl[c]).alias(c)
         if c in decl and isinstance(out.schema[c].dataType, T.StringType)
@@ -67,7 +70,8 @@ def dedupe(df: DataFrame) -> DataFrame:
 
 def with_duplicate_flag(df: DataFrame, flag: str = "duplicate_flag") -> DataFrame:
     """Keep every row; ``flag`` is TRUE on every member of a group of
-    identical rows (all copies, not only the later ones).
+    identical rows (all copies, not only the later ones).  A column of that
+    name in the feed takes part in the comparison and is then replaced.
 
     Copies are counted with a partial aggregate and the counts joined back on
     all columns (NULL-safe), so a huge group of copies is pre-counted in every
@@ -81,7 +85,7 @@ def with_duplicate_flag(df: DataFrame, flag: str = "duplicate_flag") -> DataFram
         e = F.col(c).eqNullSafe(F.col(f"__k{i}"))
         cond = e if cond is None else cond & e
     j = df.join(counts, cond, "inner")
-    return j.select(*cols, (F.col("__n") > 1).alias(flag))
+    return j.select(*[c for c in cols if c != flag], (F.col("__n") > 1).alias(flag))
 
 
 def column_profile(df: DataFrame, order: str | Sequence[str], width: int = 100,

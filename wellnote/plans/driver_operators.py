@@ -3,7 +3,6 @@ inventory over the driver tables, with its DuckDB oracle."""
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -17,9 +16,10 @@ from wellnote.plans import oracle as O
 from wellnote.plans import production as P
 from wellnote.plans import spacing as SP
 from wellnote.plans.driver import notes, register, wells
-from wellnote.plans.inputs import dx_landed_orders
+from wellnote.plans.inputs import LARGE_KEY, dx_landed_orders, dx_numbered_events
 from wellnote.plans.oracle import rnd, with_ctes, with_note_ctes, with_spacing_ctes
 from wellnote.schemas import NA_TOKENS
+from wellnote.session import ensure_checkpoint_dir, written_once
 
 PL = O.PLACES
 
@@ -41,13 +41,13 @@ def _clean(c):
     return f"case when {c} in ({_TOKENS_SQL}) then null else {c} end"
 
 
-def _int_via_double(c):
-    d = f"try_cast({_clean(c)} as double)"
-    return f"case when {d} = round({d}) then try_cast({d} as bigint) end"
+def _exact_int(c):
+    """Digits alone, or digits with a fraction of zeros; anything else is no integer."""
+    return (f"case when regexp_full_match({c}, '-?[0-9]+(\\.0*)?') then cast(split_part({c}, '.', 1) as bigint) end")
 
 
-ORDERS_TYPED_SQL = f"""select {_int_via_double('o_orderkey')} as o_orderkey,
-    {_int_via_double('o_custkey')} as o_custkey, {_clean('o_orderstatus')} as o_orderstatus,
+ORDERS_TYPED_SQL = f"""select {_exact_int('o_orderkey')} as o_orderkey,
+    {_exact_int('o_custkey')} as o_custkey, {_clean('o_orderstatus')} as o_orderstatus,
     try_cast({_clean('o_totalprice')} as double) as o_totalprice,
     try_cast({_clean('o_orderdate')} as timestamp) as o_orderdate,
     {_clean('o_orderpriority')} as o_orderpriority from dx_landed_orders"""
@@ -105,10 +105,106 @@ EVENTS_DECLARED = [("event_id", T.LongType()), ("ts", T.TimestampNTZType()),
 @register("paged_source", f"""select event_id, ts, user_id, event_type, round(value, {PL}) as value,
     props from events""")
 def q_paged_source(spark, sf_dir):
-    from wellnote.sources.paged import read_pages
-    text = read_pages(spark, page_size=1000, pages_per_partition=8,
-                      path=f"{sf_dir}/events.parquet")
-    return G.typed_projection(text, declared=EVENTS_DECLARED, normalise=False)
+    # The events as the answers of a paged interface, landed in the shared folder and decoded from there.
+    from wellnote.sources.paged import records_of_responses, responses_of
+    names = [c for c, _ in EVENTS_DECLARED]
+    answers = written_once(responses_of(dx_numbered_events(spark, sf_dir).select(
+        "place", *[F.col(c).cast("string").alias(c) for c in names]), "place"))
+    return G.typed_projection(records_of_responses(answers, names), declared=EVENTS_DECLARED, missing=())
+
+
+@register("json_records", """select user_id, event_type, case when event_id % 5 = 0 then 'NA' when event_id % 7 = 0
+    then '' else concat('N/A ', event_type) end as remark, cast(event_id + 9007199254740993 as bigint) as event_id
+    from events""")
+def q_json_records(spark, sf_dir):
+    # Records of a JSON feed keep texts that a CSV read would take for missing values.
+    from wellnote.sources.paged import read_json_records
+    e = _read(spark, sf_dir, "events")
+    eid = F.col("event_id")
+    landed = e.select("user_id", "event_type", (eid + F.lit(LARGE_KEY)).alias("event_id"),
+                      F.when(eid % 5 == 0, "NA").when(eid % 7 == 0, "")
+                      .otherwise(F.concat(F.lit("N/A "), F.col("event_type"))).alias("remark"))
+    path = _landing(spark)
+    landed.write.json(path)
+    text = read_json_records(spark, path, ["user_id", "event_type", "remark", "event_id"])
+    return G.typed_projection(text, declared=[("user_id", T.LongType()), ("event_id", T.LongType())], missing=())
+
+
+def _landing(spark):
+    import uuid
+    return f"{ensure_checkpoint_dir(spark)}/landed-{uuid.uuid4().hex}"
+
+
+@register("csv_folder", with_ctes(f"""select o_orderkey, o_custkey, o_orderstatus,
+    round(o_totalprice, {PL}) as o_totalprice, o_orderdate, o_orderpriority from ({ORDERS_TYPED_SQL})"""))
+def q_csv_folder(spark, sf_dir):
+    from wellnote.sources.csv_dir import read_csv_text
+    path = _landing(spark)
+    dx_landed_orders(spark, sf_dir).write.option("header", True).option("quoteAll", True) \
+        .option("escape", '"').csv(path)
+    return G.typed_projection(read_csv_text(spark, path), declared=ORDERS_DECLARED)
+
+
+def _loaded(spark, sf_dir):
+    """The load job over landed orders, an empty feed and a broken one, in a database of its own."""
+    import uuid
+
+    from wellnote.sources.tables import TableSpec, load_all
+    db = f"wellnote_load_{uuid.uuid4().hex[:10]}"
+    orders = dx_landed_orders(spark, sf_dir).select("o_custkey", "o_orderstatus", "o_orderpriority")
+
+    def unreachable(_):
+        raise OSError("the feed cannot be reached")
+
+    specs = [TableSpec("orders", lambda s: orders, "dedupe", NA_TOKENS),
+             TableSpec("orders", lambda s: orders.where("o_orderstatus = 'F'"), "dedupe", NA_TOKENS),
+             TableSpec("flagged", lambda s: orders, "flag", NA_TOKENS),
+             TableSpec("nothing", lambda s: orders.where("o_custkey is null")),
+             TableSpec("broken", unreachable)]
+    return db, load_all(spark, specs, db, parallel=1)
+
+
+_LANDED_TEXT = f"""select {_clean('o_custkey')} as o_custkey, {_clean('o_orderstatus')} as o_orderstatus,
+    {_clean('o_orderpriority')} as o_orderpriority, o_orderstatus as landed from dx_landed_orders"""
+
+
+@register("load_report", with_ctes("""select 'orders' as "table", (select count(*) from (select distinct o_custkey,
+      o_orderstatus, o_orderpriority from t)) as rows, 'loaded' as status, false as failed
+    union all select 'orders', (select count(*) from (select distinct o_custkey, o_orderstatus, o_orderpriority
+      from t where landed = 'F')), 'loaded', false
+    union all select 'flagged', (select count(*) from t), 'loaded', false
+    union all select 'nothing', 0, 'skipped_empty', false
+    union all select 'broken', null, 'failed', true""", {"t": _LANDED_TEXT}))
+def q_load_report(spark, sf_dir):
+    _, report = _loaded(spark, sf_dir)
+    return report.select("table", "rows", "status", F.col("error").isNotNull().alias("failed"))
+
+
+@register("staging_overwrite", with_ctes("""select distinct o_custkey, o_orderstatus, o_orderpriority from t
+    where landed = 'F'""", {"t": _LANDED_TEXT}))
+def q_staging_overwrite(spark, sf_dir):
+    db, _ = _loaded(spark, sf_dir)
+    return spark.table(f"{db}.orders")
+
+
+@register("named_views", with_spacing_ctes("""select 'well_attributes' as view_name, count(*) as rows from well_attributes
+    union all select 'daily_series', count(*) from daily_series
+    union all select 'well_summary', count(*) from well_summary
+    union all select 'well_spacing', count(*) from well_spacing
+    union all select 'note_relationships', count(*) from note_relationships""",
+    {k: O.DX[k] for k in ("dx_user", "dx_note")} | O.NOTE_VIEWS))
+def q_named_views(spark, sf_dir):
+    import uuid
+
+    from wellnote.plans.views import VIEW_NAMES, publish_views
+    namespace = f"analytics_{uuid.uuid4().hex[:10]}"
+    publish_views(wells(spark, sf_dir), notes(spark, sf_dir), namespace, year_a=O.YEAR_A, year_b=O.YEAR_B)
+    out = None
+    for name in VIEW_NAMES:
+        one = spark.table(f"{namespace}.{name}").agg(F.count(F.lit(1)).alias("rows")).select(
+            F.lit(name).alias("view_name"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 # ----------------------------------------------------------------- joins ----
@@ -117,8 +213,7 @@ def q_paged_source(spark, sf_dir):
     from dx_completion ct left join dx_area ar on ct.areaid = ar.areamerrickid"""))
 def q_lookup_left(spark, sf_dir):
     w = wells(spark, sf_dir)
-    area = J.checked_broadcast(w.area, P.LOOKUP_MAX_ROWS)
-    return (w.completion.join(area, F.col("areaid") == F.col("areamerrickid"), "left")
+    return (w.completion.join(w.area, F.col("areaid") == F.col("areamerrickid"), "left")
             .select("merrickid", "areaname"))
 
 
@@ -175,11 +270,14 @@ def q_spatial_pairs(spark, sf_dir):
     return SP.well_pairs(wells(spark, sf_dir))
 
 
-@register("lateral_mentions", with_note_ctes("""select nb.note_id, t.m as mention
-    from note_base nb, unnest(regexp_extract_all(nb.note_text, '@(\\w+)', 1)) as t(m)"""))
+@register("lateral_mentions", with_note_ctes("""select note_id,
+    unnest(regexp_extract_all(note_text, '@(\\w+)', 1)) as mention from spoken
+    union all
+    select doc_id, unnest(regexp_extract_all(text, '@([\\p{L}\\p{N}\\p{M}_]+)', 1)) from documents"""))
 def q_lateral_mentions(spark, sf_dir):
-    nb = N.note_base(notes(spark, sf_dir))
-    return nb.select("note_id", F.explode(mentions("note_text")).alias("mention"))
+    nb = N.note_base(notes(spark, sf_dir)).select("note_id", F.col("note_text").alias("t"))
+    docs = _read(spark, sf_dir, "documents").select(F.col("doc_id").alias("note_id"), F.col("text").alias("t"))
+    return nb.unionByName(docs).select("note_id", F.explode(mentions("t")).alias("mention"))
 
 
 # ------------------------------------------------------------ aggregates ----
@@ -193,24 +291,25 @@ def q_filtered_avg(spark, sf_dir):
         A.filtered_avg(F.col("oilproduction"), A.year_range("productiondate", O.YEAR_A)).alias("avg_oil"))
 
 
-@register("top1_per_group", with_note_ctes("""select tagged_user_id, tagger_user_id as top_tagger_user_id
-    from (select tagged_user_id, author_user_id as tagger_user_id, row_number() over (
-            partition by tagged_user_id order by count(*) desc, author_user_id) as rn
-          from tag_rows group by tagged_user_id, author_user_id) where rn = 1"""))
+@register("top1_per_group", with_note_ctes("""select tagged_user_id, min(author_user_id) as top_tagger_user_id
+    from (select tagged_user_id, author_user_id, count(*) as n from tag_rows group by all)
+    join (select tagged_user_id, max(n) as n from (select tagged_user_id, count(*) as n from tag_rows
+          group by tagged_user_id, author_user_id) group by tagged_user_id) using (tagged_user_id, n)
+    group by tagged_user_id"""))
 def q_top1_per_group(spark, sf_dir):
     tags = N.explicit_tags_table(notes(spark, sf_dir))
     return A.count_then_top1(tags, "tagged_user_id", "tagger_user_id", "top_tagger_user_id")
 
 
 @register("direction_pivot", with_spacing_ctes(f"""select subject_well_id as well_id,
-    max(offset_well_id) filter (where d = 'East' and rn = 1) as east_offset_well_id,
-    {rnd("max(distance_ft) filter (where d = 'East' and rn = 1)", "east_distance_ft")},
-    max(offset_well_id) filter (where d = 'West' and rn = 1) as west_offset_well_id,
-    {rnd("max(distance_ft) filter (where d = 'West' and rn = 1)", "west_distance_ft")}
-    from (select *, row_number() over (partition by subject_well_id, d
-                                       order by distance_ft, offset_well_id) as rn
-          from (select *, case when azimuth_degrees between -90 and 90 then 'East' else 'West' end as d
-                from well_pairs)) group by subject_well_id"""))
+    any_value(near) filter (where side = 'East') as east_offset_well_id,
+    {rnd("any_value(d) filter (where side = 'East')", "east_distance_ft")},
+    any_value(near) filter (where side = 'West') as west_offset_well_id,
+    {rnd("any_value(d) filter (where side = 'West')", "west_distance_ft")}
+    from (select distinct on (subject_well_id, side) subject_well_id, offset_well_id as near, distance_ft as d,
+            case when azimuth_degrees >= -90 and azimuth_degrees <= 90 then 'East' else 'West' end as side
+          from well_pairs order by subject_well_id, side, distance_ft, offset_well_id)
+    group by subject_well_id"""))
 def q_direction_pivot(spark, sf_dir):
     pairs = SP.well_pairs(wells(spark, sf_dir))
     east = F.coalesce(F.col("azimuth_degrees").between(-90, 90), F.lit(False))
@@ -255,19 +354,14 @@ def q_avg_response(spark, sf_dir):
                     .cast("long").alias("avg_response_us"), "responses")
 
 
-@register("ordered_line", with_spacing_ctes(f"""select well_id, count(*) as n_points,
-    {rnd("arg_min(e, md)", "first_e")}, {rnd("arg_max(e, md)", "last_e")},
-    {rnd("arg_min(n, md)", "first_n")}, {rnd("arg_max(n, md)", "last_n")}
-    from sv_pts where incl > 80 and e is not null and n is not null and tvd is not null
-    group by well_id"""))
+@register("ordered_line", with_spacing_ctes(f"""select well_id, row_number() over (
+      partition by well_id, lat0, lon0 order by md nulls last, e, n, tvd) as place,
+    {rnd('md')}, {rnd('e')}, {rnd('n')}, {rnd('tvd')}
+    from sv_pts where incl > 80 and e is not null and n is not null and tvd is not null"""))
 def q_ordered_line(spark, sf_dir):
-    pts = SP.lateral_points(wells(spark, sf_dir)).where(F.col("is_lat_pt"))
-    key = F.struct(F.col("md").isNull(), F.col("md"), F.col("e"), F.col("n"))
-    line = pts.groupBy("well_id").agg(
-        F.array_sort(F.collect_list(F.struct(key.alias("k"), F.col("e"), F.col("n")))).alias("pts"))
-    return line.select("well_id", F.size("pts").cast("long").alias("n_points"),
-                       F.col("pts")[0]["e"].alias("first_e"), F.element_at("pts", -1)["e"].alias("last_e"),
-                       F.col("pts")[0]["n"].alias("first_n"), F.element_at("pts", -1)["n"].alias("last_n"))
+    lines = SP.lateral_lines(wells(spark, sf_dir))
+    return lines.select("well_id", F.posexplode("points").alias("place", "p")).select(
+        "well_id", (F.col("place") + 1).cast("long").alias("place"), "p.md", "p.e", "p.n", "p.tvd")
 
 
 # -------------------------------------------------------- windows, sets ----
@@ -279,8 +373,8 @@ def q_first_date_window(spark, sf_dir):
     return W.group_min(d, ["merrickid"], "productiondate", "first_prod_date")
 
 
-@register("row_number_nearest", with_spacing_ctes(f"""select subject_well_id, offset_direction,
-    offset_well_id, {rnd('distance_ft')} from ranked_neighbors where rn = 1"""))
+@register("row_number_nearest", with_spacing_ctes(f"""select subject_well_id, side as offset_direction,
+    offset_well_id, {rnd('distance_ft')} from closest"""))
 def q_row_number_nearest(spark, sf_dir):
     ranked = SP.ranked_neighbours(SP.well_pairs(wells(spark, sf_dir)))
     top = W.first_rank(ranked, ["subject_well_id", "offset_direction"],
@@ -288,38 +382,45 @@ def q_row_number_nearest(spark, sf_dir):
     return top.select("subject_well_id", "offset_direction", "offset_well_id", "distance_ft")
 
 
-@register("running_participants", with_note_ctes("""select note_id,
-    len(coalesce(past_participant_handles, [])) as n_earlier,
-    array_to_string(list_sort(list_distinct(coalesce(past_participant_handles, []))), ',') as participants
-    from conversation_participants"""))
+@register("running_participants", with_note_ctes("""select a.note_id, a.place as place,
+    count(b.place) as n_earlier,
+    ifnull(array_to_string(list_sort(list(distinct b.author_handle)), ','), '') as participants
+    from spoken a left join spoken b on b.event_uuid is not distinct from a.event_uuid and b.place < a.place
+    group by a.note_id, a.place"""))
 def q_running_participants(spark, sf_dir):
-    # The running list of the reference holds all pairs of a conversation; its
-    # observable content is the number of earlier notes and the set of earlier
-    # authors, computed here without materialising the list.
-    nb = N.note_base(notes(spark, sf_dir))
-    order = [F.col("note_timestamp").asc_nulls_last(), F.col("note_id").asc()]
-    n = nb.withColumn("n_earlier", (F.row_number().over(Window.partitionBy("event_uuid").orderBy(*order)) - 1)
-                      .cast("long"))
-    r = W.with_earlier_distinct(n, "note_id", "event_uuid", N.ORDER, "author_handle", "past")
-    return r.select("note_id", "n_earlier", F.array_join(F.array_sort("past"), ",").alias("participants"))
-
-
-@register("array_except_chain", with_note_ctes("""select note_id,
+    # The running list of the view holds all pairs of a conversation; its observable content is the
+    # number of earlier notes and the set of earlier authors, computed without that list.
+    nb = written_once(N.note_base(notes(spark, sf_dir)))
+    counted = W.with_distinct_before(nb, "event_uuid", N.ORDER, "author_handle")
+    whole = W.with_running_count(nb.withColumn("__one", F.lit("all")), "__one", N.ORDER, "place")
+    own = W.with_running_count(nb, "event_uuid", N.ORDER, "n_earlier")
+    same = ["note_id", "event_uuid", "note_timestamp", "author_user_id", "author_handle", "note_text"]
+    key = W.null_safe_key(*same)
+    rows = (counted.withColumn("__row", key)
+            .join(whole.select(key.alias("__row"), (F.col("place") + 1).alias("place")), "__row")
+            .join(own.select(key.alias("__row"), "n_earlier"), "__row")
+            .join(W.value_lists(counted, "author_handle"), "__g", "left"))
+    past = W.first_values(F.col("__values"), F.col("__k"), T.StringType())
+    return rows.select("note_id", "place", "n_earlier", F.array_join(F.array_sort(past), ",").alias("participants"))
+
+
+@register("array_except_chain", with_note_ctes("""select note_id, note_timestamp,
     array_to_string(list_sort(implicit_tagged_users), ',') as implicit_tagged_users
     from note_relationships"""))
 def q_array_except_chain(spark, sf_dir):
-    nb = N.notes_with_explicit(notes(spark, sf_dir))
-    j = W.with_earlier_distinct(nb, "note_id", "event_uuid", N.ORDER, "author_handle", "past")
-    return j.select("note_id", F.array_join(
-        except_chain(F.col("past"), F.col("explicit_tagged_users"), F.array("author_handle")), ",")
+    nb = written_once(N.note_base(notes(spark, sf_dir)))
+    counted = W.with_distinct_before(nb, "event_uuid", N.ORDER, "author_handle")
+    rows = N.relationship_rows(nb, counted).join(
+        W.value_lists(counted, "author_handle").withColumnRenamed("__g", "h_g"), "h_g", "left")
+    past = W.first_values(F.col("__values"), F.col("h_k"), T.StringType())
+    return rows.select("note_id", "note_timestamp", F.array_join(
+        except_chain(past, F.col("explicit_tagged_users"), F.array("author_handle")), ",")
         .alias("implicit_tagged_users"))
 
 
-@register("union_directions", with_spacing_ctes(f"""select 'East' as direction,
-      round(avg(east_spacing_ft), {PL}) as avg_spacing_ft from well_spacing where east_spacing_ft is not null
-    union all
-    select 'West' as direction, round(avg(west_spacing_ft), {PL}) as avg_spacing_ft
-    from well_spacing where west_spacing_ft is not null"""))
+@register("union_directions", with_spacing_ctes(f"""select direction, round(avg(v), {PL}) as avg_spacing_ft
+    from (select unnest(['East', 'West']) as direction, unnest([east_spacing_ft, west_spacing_ft]) as v
+          from well_spacing) group by direction"""))
 def q_union_directions(spark, sf_dir):
     # UNION ALL of two one-row aggregates over the same view, as one pass + stack
     ws = SP.well_spacing(wells(spark, sf_dir))

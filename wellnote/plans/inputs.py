@@ -88,8 +88,10 @@ def dx_completion(spark, sf_dir):
 
 
 def dx_area(spark, sf_dir):
-    return (_read(spark, sf_dir, "nation").where(F.col("n_nationkey") < 20)
-            .select(F.col("n_nationkey").alias("areamerrickid"), F.col("n_name").alias("areaname")))
+    # keys from 20 on are shifted, so that some completions find no area
+    k = F.col("n_nationkey")
+    return _read(spark, sf_dir, "nation").select(
+        (k + F.when(k >= 20, 100).otherwise(0)).alias("areamerrickid"), F.col("n_name").alias("areaname"))
 
 
 def dx_battery(spark, sf_dir):
@@ -134,11 +136,12 @@ def dx_daily(spark, sf_dir):
 def dx_capacity(spark, sf_dir):
     o = _read(spark, sf_dir, "orders")
     nd = F.lit(None).cast("double")
-    return (o.where(F.col("o_orderkey") % 4 != 0)
-            .groupBy(F.col("o_custkey"), F.col("o_orderdate").cast("date").alias("date"))
+    # every fourth order belongs to a property of its own that no well has
+    prefix = F.when(F.col("o_orderkey") % 4 == 0, "X").otherwise("P")
+    return (o.groupBy(F.concat(prefix, _s("o_custkey")).alias("well_id"),
+                      F.col("o_orderdate").cast("date").alias("date"))
             .agg((F.max("o_totalprice") * F.lit(1.1)).alias("oil"))
-            .select(F.concat(F.lit("P"), _s("o_custkey")).alias("well_id"), "date", "oil",
-                    nd.alias("gas"), nd.alias("water")))
+            .select("well_id", "date", "oil", nd.alias("gas"), nd.alias("water")))
 
 
 def dx_job(spark, sf_dir):
@@ -148,7 +151,10 @@ def dx_job(spark, sf_dir):
         F.concat(F.lit("W"), _s("o_custkey")).alias("idwell"),
         F.concat(_s("l_orderkey"), F.lit("-"), _s("l_linenumber")).alias("idrec"),
         F.col("l_shipdate").alias("dttmstart"),
-        (F.col("l_shipdate") + F.expr("INTERVAL 45 DAYS")).alias("dttmend"),
+        # a few jobs are still open
+        F.when((F.col("l_orderkey") % 1000 == 7) & (F.col("l_linenumber") == 1),
+               F.lit("9999-12-31 00:00:00").cast("timestamp_ntz"))
+        .otherwise(F.col("l_shipdate") + F.expr("INTERVAL 45 DAYS")).alias("dttmend"),
         F.when(F.col("l_returnflag") == "A", "Tubing Cleanout").otherwise("Other").alias("jobsubtyp"))
 
 
@@ -173,13 +179,15 @@ def dx_user(spark, sf_dir):
 
 
 def dx_note(spark, sf_dir):
+    """Events as notes: some ids stand for two notes, some notes have no id; the
+    users mentioned follow from the author's id, so mentions reach all users."""
     e = _read(spark, sf_dir, "events")
-    eid = F.col("event_id")
+    eid, user = F.col("event_id"), F.col("user_id")
     text = F.concat(
-        F.lit("hey @u"), _s((eid * 7) % 150),
-        F.when(eid % 3 == 0, F.concat(F.lit(" cc @U"), _s((eid * 13) % 150))).otherwise(F.lit("")))
+        F.lit("hey @u"), _s(user + 1 + eid % 3),
+        F.when(eid % 3 == 0, F.concat(F.lit(" cc @U"), _s(user - 2))).otherwise(F.lit("")))
     return e.select(
-        eid.alias("note_id"),
+        F.when(eid % 61 == 0, None).otherwise(eid - F.when(eid % 50 == 7, 1).otherwise(0)).alias("note_id"),
         F.concat(F.col("event_type"), F.lit("-"), _s(F.dayofmonth("ts"))).alias("event_uuid"),
         "user_id", F.col("ts").alias("note_timestamp"), text.alias("note_text"))
 
@@ -197,17 +205,30 @@ def driver_note_tables(spark: SparkSession, sf_dir: str) -> NoteTables:
     return NoteTables(note=dx_note(spark, sf_dir), user=dx_user(spark, sf_dir))
 
 
+# Above 2**53: doubles cannot tell such keys apart.
+LARGE_KEY = 9007199254740993
+
+
 def dx_landed_orders(spark, sf_dir):
-    """Orders as a text feed would land them: integers sometimes written as
-    ``123.0``, missing-value tokens in two text columns, everything text."""
+    """Orders as a text feed would land them: 64-bit keys, integers sometimes
+    written as ``123.0`` and some that are none, missing-value tokens in two text
+    columns, everything text."""
     o = _read(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
     return o.select(
-        _s(k).alias("o_orderkey"),
-        F.when(k % 2 == 0, F.concat(_s("o_custkey"), F.lit(".0"))).otherwise(_s("o_custkey"))
+        _s(k + F.lit(LARGE_KEY)).alias("o_orderkey"),
+        F.when(k % 89 == 0, F.concat(_s("o_custkey"), F.lit(".5")))
+        .when(k % 2 == 0, F.concat(_s("o_custkey"), F.lit(".0"))).otherwise(_s("o_custkey"))
         .alias("o_custkey"),
         F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(F.col("o_orderstatus"))
         .alias("o_orderstatus"),
         _s("o_totalprice").alias("o_totalprice"), _s("o_orderdate").alias("o_orderdate"),
         F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit("NA"))
         .when(k % 97 == 0, F.lit("null")).otherwise(F.col("o_orderpriority")).alias("o_orderpriority"))
+
+
+def dx_numbered_events(spark, sf_dir):
+    """Events with their place in the feed (from 0, by event_id) for a paged interface."""
+    e = _read(spark, sf_dir, "events")
+    first = e.agg(F.min("event_id").alias("m")).first()["m"]
+    return e.withColumn("place", F.col("event_id") - F.lit(first))

@@ -23,9 +23,10 @@ from wellnote.functions import geo
 from wellnote.operators.aggs import direction_pivot, safe_corr
 from wellnote.plans.inputs import WellTables
 from wellnote.plans.production import well_attributes, well_summary
-from wellnote.session import cut_lineage
+from wellnote.session import written_once
 
 ENTITY = ["well_id", "lat0", "lon0"]
+SEGMENT = [*ENTITY, "seg_no"]
 
 
 def lateral_points(w: WellTables, min_incl: float = 80.0) -> DataFrame:
@@ -54,6 +55,16 @@ def lateral_segments(pts: DataFrame) -> DataFrame:
                       F.coalesce("e2", "e").alias("eb"), F.coalesce("n2", "n").alias("nb"))
 
 
+def lateral_lines(w: WellTables, min_incl: float = 80.0) -> DataFrame:
+    """V4b: the 3-D line of each lateral: ``(ENTITY, points)``, an array of (md, e, n, tvd) by
+    measured depth, NULL depths last.  A line has as many points as its bore was surveyed at."""
+    lp = lateral_points(w, min_incl).where("is_lat_pt")
+    point = F.struct(F.col("md").isNull().alias("_last"), "md", "e", "n", "tvd")
+    points = F.transform(F.array_sort(F.collect_list(point)),
+                         lambda p: F.struct(p["md"].alias("md"), p["e"].alias("e"), p["n"].alias("n"), p["tvd"].alias("tvd")))
+    return lp.groupBy(*ENTITY).agg(points.alias("points"))
+
+
 def trajectories(w: WellTables, min_incl: float = 80.0) -> tuple[DataFrame, DataFrame]:
     """V4a/V4b: per entity the mean lateral TVD and the 2-D centroid of the
     lateral in its own foot offsets (length-weighted segment midpoints; the
@@ -83,7 +94,7 @@ def trajectories(w: WellTables, min_incl: float = 80.0) -> tuple[DataFrame, Data
 
 
 def segment_cells(geo_seg: DataFrame, step_m: float, cell_m: float) -> DataFrame:
-    """Each segment with the distinct grid cells of its sample points."""
+    """Each segment's key with the distinct grid cells of its sample points."""
     x, y = geo.local_xy(F.col("lon_b"), F.col("lat_b"), F.col("lon_a"), F.col("lat_a"))
     k = F.greatest(F.lit(1), F.ceil(F.sqrt(x * x + y * y) / F.lit(float(step_m))).cast("int"))
     t = F.transform(F.sequence(F.lit(0), k), lambda i: i / k)
@@ -91,25 +102,33 @@ def segment_cells(geo_seg: DataFrame, step_m: float, cell_m: float) -> DataFrame
     cells = F.array_distinct(F.transform(t, lambda u: geo.ecef_cell(
         F.col("lon_a") + u * d_lon,
         F.col("lat_a") + u * (F.col("lat_b") - F.col("lat_a")), cell_m)))
-    return geo_seg.withColumn("cell", F.explode(cells))
+    return geo_seg.select(*SEGMENT, F.explode(cells).alias("cell"))
+
+
+def candidate_segments(geo_seg: DataFrame, step_m: float, cell_m: float) -> DataFrame:
+    """Keys of segment pairs of different wells (``well_id_1 < well_id_2``) with sample points in
+    neighbouring cells, each once.  Only keys and cells are copied and shuffled."""
+    sc = segment_cells(geo_seg, step_m, cell_m)
+    left = sc.select(*[F.col(c).alias(c + "_1") for c in SEGMENT], F.col("cell").alias("cell_1"))
+    right = sc.select(*[F.col(c).alias(c + "_2") for c in SEGMENT],
+                      F.explode(geo.neighbour_cells(F.col("cell"))).alias("cell_2"))
+    return (left.join(right, (F.col("cell_1") == F.col("cell_2")) & (F.col("well_id_1") < F.col("well_id_2")))
+            .select(*[c + i for i in ("_1", "_2") for c in SEGMENT]).distinct())
 
 
 def near_pairs(geo_seg: DataFrame, radius_m: float = 1500.0,
                step_m: float = 250.0, cell_m: float = 1800.0) -> DataFrame:
     """V4c geometry: unordered entity pairs of different wells whose laterals
     come within ``radius_m`` metres, with that distance (``well_id_1 <
-    well_id_2``)."""
+    well_id_2``).  The geometry joins the distinct candidates once per end."""
     if radius_m + step_m >= cell_m:
         raise ValueError("cell_m must exceed radius_m + step_m")
-    sc = segment_cells(geo_seg, step_m, cell_m)
-    left = sc.select(*[F.col(c).alias(c + "_1") for c in ENTITY + ["lon_a", "lat_a", "lon_b", "lat_b"]],
-                     F.col("cell").alias("cell_1"))
-    right = sc.select(*[F.col(c).alias(c + "_2") for c in ENTITY + ["lon_a", "lat_a", "lon_b", "lat_b"]],
-                      F.explode(geo.neighbour_cells(F.col("cell"))).alias("cell_2"))
-    cand = left.join(right, (F.col("cell_1") == F.col("cell_2"))
-                     & (F.col("well_id_1") < F.col("well_id_2")))
+    cand = candidate_segments(geo_seg, step_m, cell_m)
+    ends = ["lon_a", "lat_a", "lon_b", "lat_b"]
+    for i in ("_1", "_2"):
+        cand = cand.join(geo_seg.select(*[F.col(c).alias(c + i) for c in SEGMENT + ends]), [c + i for c in SEGMENT])
     keys = [c + "_1" for c in ENTITY] + [c + "_2" for c in ENTITY]
-    coords = [f"{c}_{i}" for i in (1, 2) for c in ("lon_a", "lat_a", "lon_b", "lat_b")]
+    coords = [f"{c}_{i}" for i in (1, 2) for c in ends]
     # Staged projections keep each expression small (and inside codegen).
     lat_r = (F.col("lat0_1") + F.col("lat0_2")) / 2
     lon_r = geo.mid_lon(F.col("lon0_1"), F.col("lon0_2"))
@@ -133,32 +152,28 @@ def near_pairs(geo_seg: DataFrame, radius_m: float = 1500.0,
 
 
 def well_pairs(w: WellTables, min_incl: float = 80.0, radius_m: float = 1500.0,
-               step_m: float = 250.0, cell_m: float = 1800.0, materialize: bool = False) -> DataFrame:
+               step_m: float = 250.0, cell_m: float = 1800.0) -> DataFrame:
     """V4c: ordered (subject, offset) pairs within ``radius_m`` with distance
     in feet, subject-minus-offset lateral TVD and the direction angle between
     the centroids (each in its own well's offset frame, as the reference).
-    ``materialize`` writes the per-well stats and the lateral segments — read
-    by both sides of the distance join and by both ends of every pair — once
-    to the shared checkpoint folder."""
+    The per-well stats and the lateral segments are written once to the shared
+    folder, where both ends of every pair read them."""
     traj, geo_seg = trajectories(w, min_incl)
-    if materialize:
-        traj, geo_seg = cut_lineage(traj), cut_lineage(geo_seg)
+    traj, geo_seg = written_once(traj), written_once(geo_seg)
     pairs = near_pairs(geo_seg, radius_m, step_m, cell_m)
-    both = pairs.unionByName(pairs.select(
-        *[F.col(c + "_2").alias(c + "_1") for c in ENTITY],
-        *[F.col(c + "_1").alias(c + "_2") for c in ENTITY], "d_m"))
-    t1 = traj.select(*[F.col(c).alias(c + "_1") for c in ENTITY],
-                     F.col("avg_lateral_tvd").alias("tvd_1"), F.col("cx").alias("cx_1"),
-                     F.col("cy").alias("cy_1"))
-    t2 = traj.select(*[F.col(c).alias(c + "_2") for c in ENTITY],
-                     F.col("avg_lateral_tvd").alias("tvd_2"), F.col("cx").alias("cx_2"),
-                     F.col("cy").alias("cy_2"))
-    j = both.join(t1, [c + "_1" for c in ENTITY]).join(t2, [c + "_2" for c in ENTITY])
-    return j.select(
-        F.col("well_id_1").alias("subject_well_id"), F.col("well_id_2").alias("offset_well_id"),
+    for i in ("_1", "_2"):
+        pairs = pairs.join(traj.select(*[F.col(c).alias(c + i) for c in [*ENTITY, "avg_lateral_tvd", "cx", "cy"]]),
+                           [c + i for c in ENTITY])
+    end = lambda i: F.struct(F.col("well_id" + i).alias("id"), F.col("avg_lateral_tvd" + i).alias("tvd"),
+                             F.col("cx" + i).alias("cx"), F.col("cy" + i).alias("cy"))
+    both = pairs.select("d_m", F.explode(F.array(
+        F.struct(end("_1").alias("s"), end("_2").alias("o")),
+        F.struct(end("_2").alias("s"), end("_1").alias("o")))).alias("p"))
+    return both.select(
+        F.col("p.s.id").alias("subject_well_id"), F.col("p.o.id").alias("offset_well_id"),
         (F.col("d_m") * F.lit(geo.FT_PER_METRE)).alias("distance_ft"),
-        (F.col("tvd_1") - F.col("tvd_2")).alias("tvd_diff_ft"),
-        geo.azimuth_degrees(F.col("cx_2") - F.col("cx_1"), F.col("cy_2") - F.col("cy_1"))
+        (F.col("p.s.tvd") - F.col("p.o.tvd")).alias("tvd_diff_ft"),
+        geo.azimuth_degrees(F.col("p.o.cx") - F.col("p.s.cx"), F.col("p.o.cy") - F.col("p.s.cy"))
         .alias("azimuth_degrees"))
 
 
@@ -172,10 +187,10 @@ def ranked_neighbours(pairs: DataFrame, tvd_lo: float = -500.0, tvd_hi: float =
 
 def well_spacing(w: WellTables, min_incl: float = 80.0, radius_m: float = 1500.0,
                  tvd_lo: float = -500.0, tvd_hi: float = 100.0, step_m: float = 250.0,
-                 cell_m: float = 1800.0, materialize: bool = False) -> DataFrame:
+                 cell_m: float = 1800.0) -> DataFrame:
     """V4: per well the nearest East and West neighbour (ties: smallest offset
     id), its spacing in feet and vertical difference."""
-    ranked = ranked_neighbours(well_pairs(w, min_incl, radius_m, step_m, cell_m, materialize),
+    ranked = ranked_neighbours(well_pairs(w, min_incl, radius_m, step_m, cell_m),
                                tvd_lo, tvd_hi)
     piv = direction_pivot(ranked, "subject_well_id", "offset_direction",
                           ["distance_ft", "offset_well_id"],

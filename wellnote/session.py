@@ -1,37 +1,19 @@
 """Spark session helpers.
 
-The library never creates a session behind the caller's back: every plan
-function takes DataFrames and returns a lazy DataFrame.  ``get_spark`` is a
-convenience for tests, the bench and the command line.
+The library takes the session it is given: master, memory and partition counts come from the
+cluster (``spark-submit``, the bench or the tests), never from here.
 """
 
 from __future__ import annotations
 
-import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
-              app_name: str = "wellnote") -> SparkSession:
-    cpus = os.environ.get("BENCH_CPUS", "8")
-    builder = (
-        SparkSession.builder.master(master or f"local[{cpus}]")
-        .appName(app_name)
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.shuffle.partitions", str(shuffle_partitions or int(cpus)))
-        .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-    )
-    spark = builder.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
-    return spark
+def get_spark(app_name: str = "wellnote") -> SparkSession:
+    """The running session, or one with the settings it was submitted with."""
+    return SparkSession.builder.appName(app_name).getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
@@ -46,16 +28,21 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
         return current
     path = spark.conf.get("spark.checkpoint.dir", None) or fallback
     if path is None:
-        raise RuntimeError("spark.checkpoint.dir is not set; pass a shared folder")
+        import tempfile
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; it must name a shared folder")
+        path = tempfile.mkdtemp(prefix="wellnote-shared-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir()
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def written_once(df: DataFrame) -> DataFrame:
+    """``df`` written as Parquet to the shared folder and read back.
 
-    Used where a long lineage is read several times; survives executor loss,
-    unlike a local checkpoint.
+    For inputs that several branches of a plan read: they scan the narrow files instead of
+    repeating joins, a lost executor costs a re-read, and the planner knows the size.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/wellnote-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,7 +1,7 @@
 """CSV folder source: every ``*.csv`` file is one table named after its stem.
 
 Files are read by Spark as text with their header (quoted values, doubled
-quotes as escapes, quoted line breaks allowed) and typed by column name
+quotes as escapes) and typed by column name
 afterwards (:func:`wellnote.operators.ingest.typed_projection`) — never by
 position, so a file whose header differs from the declaration cannot be
 mis-bound silently.
@@ -12,13 +12,18 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
-def read_csv_text(spark: SparkSession, path: str) -> DataFrame:
-    """One CSV file (or folder of parts) with every column as text."""
+def read_csv_text(spark: SparkSession, path: str, line_breaks: bool = False) -> DataFrame:
+    """One CSV file (or folder of parts) with every column as text.
+
+    A large file is read in splits.  ``line_breaks`` allows quoted line breaks
+    inside values, at the price of one task per file.  A row with more values
+    than the header, or one that cannot be parsed, fails the read.
+    """
     return (spark.read.option("header", True).option("quote", '"').option("escape", '"')
-            .option("multiLine", True).option("inferSchema", False).csv(path))
+            .option("mode", "FAILFAST").option("enforceSchema", False)
+            .option("multiLine", line_breaks).option("inferSchema", False).csv(path))
 
 
 def list_csv_files(spark: SparkSession, directory: str) -> list[str]:
@@ -34,13 +39,3 @@ def list_csv_files(spark: SparkSession, directory: str) -> list[str]:
 
 def table_name(path: str) -> str:
     return os.path.splitext(os.path.basename(path.rstrip("/")))[0]
-
-
-def csv_tables(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """``{table name: text DataFrame}`` for every CSV file of a folder."""
-    return {table_name(p): read_csv_text(spark, p) for p in list_csv_files(spark, directory)}
-
-
-def with_source_file(df: DataFrame) -> DataFrame:
-    """Add the source file name (for lineage in load reports)."""
-    return df.withColumn("_source_file", F.input_file_name())

@@ -1,175 +1,178 @@
-"""Paged record source: a Python data source with one input partition per
-range of pages, so pages are fetched in parallel by the executors instead of
-one loop on the driver.
-
-The page protocol is the one of the source systems: a total record count up
-front, then pages of ``page_size`` records by offset, stopping early on an
-empty page.  Record keys become text columns (missing keys -> NULL); typing
-happens afterwards by name (:func:`wellnote.operators.ingest.typed_projection`).
-
-Fetchers are pluggable: ``fetcher`` names a class ``module:Class`` whose
-constructor takes the ``fetcher.*`` options and which offers ``total()``,
-``columns()`` and ``fetch(offset, limit) -> list[dict]``.  The built-in
-:class:`ParquetPages` pages through a Parquet file (used for the driver
-tables); an HTTP client would implement the same three methods.
+"""Paged record sources.
+
+The page protocol is the one of the source systems: a total record count in the first answer, then
+pages of ``page_size`` records by offset.  Without a total the one page is the whole feed.
+
+Two ways in, with one decoder:
+
+* :func:`read_pages` — a Python data source with one input partition per range of pages, so pages are
+  fetched by the executors.  ``fetcher`` is a class whose constructor takes the options as texts
+  and which offers ``total() -> int | None``, ``columns() -> list[str]`` and
+  ``fetch(offset, limit) -> list[dict]`` (an HTTP client, say).  Pages become Arrow batches of text.
+* :func:`records_of_responses` — answers landed as rows (offset, content_range, body), on any file
+  system Spark reads: bodies are decoded by Spark, and pages that are missing are found.
+
+A page that is missing or empty inside the announced range is an error in both, never a shorter feed.
+Typing happens afterwards by name (:func:`wellnote.operators.ingest.typed_projection`).
 """
 
 from __future__ import annotations
 
-import importlib
 import sys
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-from pyspark.sql.types import StringType, StructField, StructType
 
 SOURCE_NAME = "paged_records"
 # --- fixed value: records per page of the source systems' REST interface
 DEFAULT_PAGE_SIZE = 1000
 
 
-class ParquetPages:
-    """Pages of a Parquet file by row offset; reads only the row groups a page
-    touches."""
-
-    def __init__(self, path: str):
-        self.path = path
-        self._pf = None
-        self._group = (None, None)  # last row group read: consecutive pages reuse it
+class MissingPages(Exception):
+    """Announced records that no page delivered."""
 
-    def _file(self):
-        import pyarrow.parquet as pq
-        if self._pf is None:
-            self._pf = pq.ParquetFile(self.path)
-        return self._pf
 
-    def _row_group(self, g: int):
-        if self._group[0] != g:
-            self._group = (g, self._file().read_row_group(g))
-        return self._group[1]
-
-    def total(self) -> int:
-        return self._file().metadata.num_rows
-
-    def columns(self) -> list[str]:
-        return list(self._file().schema_arrow.names)
-
-    def fetch(self, offset: int, limit: int) -> list[dict]:
-        import pyarrow as pa
-        f = self._file()
-        md = f.metadata
-        start, parts = 0, []
-        for g in range(md.num_row_groups):
-            n = md.row_group(g).num_rows
-            lo, hi = max(offset, start), min(offset + limit, start + n)
-            if lo < hi:
-                parts.append(self._row_group(g).slice(lo - start, hi - lo))
-            start += n
-            if start >= offset + limit:
-                break
-        if not parts:
-            return []
-        return pa.concat_tables(parts).to_pylist()
-
-
-def _load_fetcher(options: dict):
-    kwargs = {k[len("fetcher."):]: v for k, v in options.items() if k.startswith("fetcher.")}
-    name = options.get("fetcher")
-    if not name:
-        return ParquetPages(**kwargs)
-    mod, _, cls = name.partition(":")
-    return getattr(importlib.import_module(mod), cls)(**kwargs)
+def _options(options: dict) -> dict:
+    return {k[len("fetcher."):]: v for k, v in options.items() if k.startswith("fetcher.")}
 
 
 class PageRange(InputPartition):
-    def __init__(self, first_offset: int, last_offset: int, page_size: int):
+    def __init__(self, first_offset: int, last_offset: int | None, page_size: int):
         super().__init__((first_offset, last_offset))
         self.first_offset, self.last_offset, self.page_size = first_offset, last_offset, page_size
 
 
 def _text(v) -> str | None:
-    if v is None:
+    if v is None or isinstance(v, float) and v != v:
         return None
     if isinstance(v, bool):
         return "true" if v else "false"
-    if isinstance(v, float) and v != v:
-        return None
     return str(v)
 
 
 class PagedReader(DataSourceReader):
-    def __init__(self, options: dict, schema: StructType):
-        self.options = dict(options)
+    def __init__(self, fetcher: type, options: dict, schema: T.StructType):
+        self.fetcher, self.options = fetcher, dict(options)
         self.columns = [f.name for f in schema.fields]
 
     def partitions(self):
-        fetcher = _load_fetcher(self.options)
-        total = fetcher.total()
+        total = self.fetcher(**_options(self.options)).total()
         size = int(self.options.get("page_size", DEFAULT_PAGE_SIZE))
-        per = int(self.options.get("pages_per_partition", 64))
-        step = size * per
+        if total is None:
+            return [PageRange(0, None, size)]
+        step = size * int(self.options.get("pages_per_partition", 64))
         return [PageRange(o, min(o + step, total), size) for o in range(0, total, step)]
 
-    def read(self, partition: PageRange) -> Iterator[tuple]:
-        fetcher = _load_fetcher(self.options)
-        partial = self.options.get("on_error", "fail") == "partial"
+    def read(self, partition: PageRange) -> Iterator:
+        import pyarrow as pa
+        fetcher = self.fetcher(**_options(self.options))
+        schema = pa.schema([(c, pa.string()) for c in self.columns])
+
+        def batch(records: list[dict]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays(
+                [pa.array([_text(r.get(c)) for r in records], pa.string()) for c in self.columns], schema=schema)
+
+        if partition.last_offset is None:
+            yield batch(fetcher.fetch(0, partition.page_size))
+            return
         offset = partition.first_offset
         while offset < partition.last_offset:
-            limit = min(partition.page_size, partition.last_offset - offset)
-            try:
-                records = fetcher.fetch(offset, limit)
-            except Exception:
-                if partial:
-                    return
-                raise
+            records = fetcher.fetch(offset, min(partition.page_size, partition.last_offset - offset))
             if not records:
-                return
-            for r in records:
-                yield tuple(_text(r.get(c)) for c in self.columns)
+                raise MissingPages(f"empty page at offset {offset}; records up to {partition.last_offset} announced")
+            yield batch(records)
             offset += len(records)
 
 
 class PagedRecordsSource(DataSource):
+    fetcher: type
+
     @classmethod
     def name(cls) -> str:
         return SOURCE_NAME
 
-    def schema(self) -> StructType:
-        cols = self.options.get("columns")
-        names = cols.split(",") if cols else _load_fetcher(dict(self.options)).columns()
-        return StructType([StructField(c, StringType(), True) for c in names])
-
-    def reader(self, schema: StructType) -> DataSourceReader:
-        return PagedReader(self.options, schema)
+    def schema(self) -> T.StructType:
+        names = self.fetcher(**_options(self.options)).columns()
+        return T.StructType([T.StructField(c, T.StringType(), True) for c in names])
 
+    def reader(self, schema: T.StructType) -> DataSourceReader:
+        return PagedReader(self.fetcher, self.options, schema)
 
-def register(spark: SparkSession) -> None:
-    """Register the source.  This module is shipped to the Python workers by
-    value, so executors need no installed copy of the package (a custom
-    fetcher named by ``module:Class`` must be importable there)."""
-    from pyspark import cloudpickle
-    cloudpickle.register_pickle_by_value(sys.modules[__name__])
-    spark.dataSource.register(PagedRecordsSource)
 
+def read_pages(spark: SparkSession, fetcher: type, page_size: int = DEFAULT_PAGE_SIZE,
+               pages_per_partition: int = 64, **options: str) -> DataFrame:
+    """Read all pages of a record source as a text DataFrame.
 
-def read_pages(spark: SparkSession, page_size: int = DEFAULT_PAGE_SIZE,
-               pages_per_partition: int = 64, fetcher: str | None = None,
-               on_error: str = "fail", **fetcher_options) -> DataFrame:
-    """Read all pages of a record source as a text DataFrame."""
-    register(spark)
+    This module and the fetcher's are shipped to the Python workers by value, so
+    executors need no installed copy of them.  A page that cannot be fetched
+    fails the read.
+    """
+    from pyspark import cloudpickle
+    for module in {__name__, fetcher.__module__}:
+        cloudpickle.register_pickle_by_value(sys.modules[module])
+    spark.dataSource.register(type("Paged" + fetcher.__name__, (PagedRecordsSource,), {"fetcher": fetcher}))
     r = (spark.read.format(SOURCE_NAME).option("page_size", page_size)
-         .option("pages_per_partition", pages_per_partition).option("on_error", on_error))
-    if fetcher:
-        r = r.option("fetcher", fetcher)
-    for k, v in fetcher_options.items():
+         .option("pages_per_partition", pages_per_partition))
+    for k, v in options.items():
         r = r.option(f"fetcher.{k}", v)
     return r.load()
 
 
-def read_json_records(spark: SparkSession, path: str) -> DataFrame:
-    """Landed record pages (JSON lines or one JSON array per file) as text
-    columns: the union of all keys, a missing key is NULL, every value is read
-    as its text (so ``1.0`` in an integer column and zoned timestamps survive
-    until the typed projection)."""
-    return spark.read.option("primitivesAsString", True).option("multiLine", False).json(path)
+def responses_of(records: DataFrame, order: str, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
+    """``records`` as the answers (offset, content_range, body) a paged interface would give for them.
+
+    ``order`` numbers the records from 0 without gaps; bodies are JSON arrays of one page.
+    """
+    total = records.count()
+    columns = [c for c in records.columns if c != order]
+    page = (F.col(order) / page_size).cast("long")
+    pages = records.groupBy(page.alias("page")).agg(
+        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct(order, F.struct(*columns).alias("r")))),
+                              lambda x: x["r"])).alias("body"), F.count(F.lit(1)).alias("n"))
+    offset = F.col("page") * page_size
+    return pages.select(
+        offset.alias("offset"),
+        F.concat(offset.cast("string"), F.lit("-"), (offset + F.col("n") - 1).cast("string"), F.lit("/"),
+                 F.lit(str(total))).alias("content_range"), "body")
+
+
+def records_of_responses(responses: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The records of landed answers (offset, content_range, body) as text columns.
+
+    A key missing from a record is NULL, every value is kept as its text.  Raises
+    :class:`MissingPages` when fewer records came than announced, or a body is
+    no JSON array; an answer without a total is one page and the whole feed.
+    A page that landed twice is counted once and gives its records twice (the
+    load removes full duplicates).
+    """
+    record = T.MapType(T.StringType(), T.StringType())
+    decoded = responses.select("offset", "content_range", F.from_json("body", T.ArrayType(record)).alias("records"))
+    told = F.regexp_extract("content_range", r"/(\d+)", 1)
+    # Answers of one offset are the same page asked for again.
+    pages = decoded.groupBy("offset").agg(
+        F.max(F.when(told != "", told.cast("long"))).alias("total"),
+        F.max(F.size("records")).alias("n"), F.count(F.when(F.col("records").isNull(), 1)).alias("bad"))
+    found = pages.agg(F.max("total").alias("total"), F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
+    if found["bad"] or found["total"] is not None and found["n"] != found["total"]:
+        raise MissingPages(f"{found['n']} of {found['total']} announced records, {found['bad'] or 0} unreadable answers")
+    rows = decoded.select(F.explode("records").alias("r"))
+    return rows.select(*[F.col("r")[c].alias(c) for c in columns])
+
+
+def read_json_records(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
+                      arrays: bool = False) -> DataFrame:
+    """Landed record files as text columns: a missing key is NULL, every value is
+    read as its text (so ``1.0`` in an integer column and zoned timestamps survive
+    until the typed projection).
+
+    Files hold one record a line, or with ``arrays`` one JSON array that may span
+    lines (one task per file).  With ``columns`` the keys are given; without, they
+    are found by reading all files once more.  A malformed record fails the read.
+    """
+    r = spark.read.option("primitivesAsString", True).option("multiLine", arrays).option("mode", "FAILFAST")
+    if columns is not None:
+        r = r.schema(T.StructType([T.StructField(c, T.StringType(), True) for c in columns]))
+    return r.json(path)
