@@ -120,6 +120,16 @@ def test_language_gradients_match_differences():
                 assert abs(slope - grads[name][at]) < 2e-2 * (1 + abs(slope)), (name, at)
 
 
+def test_both_layouts_of_the_network_agree():
+    model = lg.BiGRU(["a", "b", "c"])
+    x = np.random.default_rng(4).integers(0, 255, (64, 33)).astype(np.uint8)
+    for way in "fb":
+        states, _ = model._states(x, way)
+        assert np.allclose(states.transpose(0, 2, 1), model._scan(x, way), atol=1e-5)
+    p = model.probabilities(x)
+    assert p.shape == (64, 3, 33) and np.allclose(p.sum(axis=1), 1, atol=1e-5)
+
+
 def test_language_reads_every_window():
     model = lg.BiGRU(["a", "b"])
     text = "abc " * 100

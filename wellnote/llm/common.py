@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +31,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: computed once, survives lost executors."""
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """The rows written once to a Parquet table in the shared folder and read from there.
+
+    Cuts the lineage so that lost executors cost a re-read of files; unlike a checkpoint the table
+    is compressed, is read by column, and its size is known to the planner, which then decides by
+    its own threshold whether to broadcast it.
+    """
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/wellnote-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -92,24 +100,34 @@ def _batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
         [pa.array(list(col), type=f.type) for col, f in zip(zip(*rows), schema)], schema=schema)
 
 
-def bounded_sample(rows: DataFrame, label: str, per_label: int) -> list[tuple[str, object]]:
+def text_id(text: str = "text") -> Column:
+    return F.xxhash64(F.col(text))
+
+
+def bounded_sample(texts: DataFrame, labelled: DataFrame, per_label: int) -> list[tuple[str, object]]:
     """At most ``per_label`` different texts of each label, as (text, label) on the driver.
 
-    ``rows`` has ``text`` and ``label``; rows without either are left out.  The choice is by a hash
-    of the text, so it is the same whatever the order or the number of tasks.
+    ``labelled`` has ``tid`` (:func:`text_id`) and ``label``; rows without a label are left out.  The
+    choice is by a hash of the text, so it is the same whatever the order or the number of tasks;
+    it is made on ids alone, and only the chosen texts are then fetched from ``texts`` (``text``).
     """
-    spot = F.pmod(F.xxhash64("text", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    known = rows.select("text", F.col(label).alias("label"), spot.alias("spot")) \
-        .filter("label is not null and text is not null")
+    spot = F.pmod(F.xxhash64("tid", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    known = labelled.select("tid", "label").filter("label is not null").distinct().withColumn("spot", spot)
+    known = cut(known)
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return []
     shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, 4.0 * per_label / n)])
-    near = known.filter(F.col("spot") < F.try_element_at(shares, F.col("label"))) \
-        .dropDuplicates(["label", "text"])
-    first = Window.partitionBy("label").orderBy("spot", F.xxhash64("text"), "text")
-    picked = near.withColumn("_at", F.row_number().over(first)).filter(F.col("_at") <= per_label)
-    return [(r["text"], r["label"]) for r in picked.orderBy("spot", "label", "text").collect()]
+    first = Window.partitionBy("label").orderBy("spot", "tid")
+    picked = cut(known.filter(F.col("spot") < F.try_element_at(shares, F.col("label")))
+                 .withColumn("at", F.row_number().over(first)).filter(F.col("at") <= per_label).drop("at"))
+    # At most per_label rows for each label, so this side may be broadcast.
+    wanted = F.broadcast(picked.select("tid").distinct())
+    found = texts.select("text", text_id().alias("tid")).filter("text is not null") \
+        .join(wanted, "tid", "left_semi").groupBy("tid").agg(F.min("text").alias("text"))
+    by_tid = {r["tid"]: r["text"] for r in found.collect()}
+    return [(by_tid[r["tid"]], r["label"]) for r in picked.orderBy("spot", "tid", "label").collect()
+            if r["tid"] in by_tid]
 
 
 class Adam:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wellnote.llm.common import batches_of, bounded_sample, rows_of
+from wellnote.llm.common import batches_of, bounded_sample, rows_of, text_id
 
 #: Pages of the table and variants made of them that the model is fitted on.
 FIT_PAGES, FIT_VARIANTS = 80, 240
@@ -341,8 +341,9 @@ def variant(paragraphs: list[str], rng: random.Random) -> str:
 
 def train(pages: DataFrame) -> TreeModel:
     """A model fitted on a bounded sample of the pages and on variants made of their paragraphs."""
+    texts = pages.filter("html is not null").select(F.col("html").alias("text"))
     sample = [h for h, _ in bounded_sample(
-        pages.select(F.col("html").alias("text"), F.lit("page").alias("kind")), "kind", FIT_PAGES)]
+        texts, texts.select(text_id().alias("tid"), F.lit("page").alias("label")), FIT_PAGES)]
     trees = [_mark_known(parse(h)) for h in sample]
     known = [t for t in trees if any(t.mark)]
     paragraphs = [x for t in trees for x in t.text if x] or ["text", "some words of text.", "more"]

@@ -18,7 +18,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wellnote.llm.common import Adam, bounded_sample, is_held_out
+from wellnote.llm.common import Adam, bounded_sample, is_held_out, text_id
 
 PASSAGE = 512
 BUCKETS = 512
@@ -124,8 +124,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Attenti
     """A model fitted on labelled documents outside the held-out fold."""
     marked = labels.filter(~is_held_out(F.col("doc_id")) & F.col(label).isNotNull()) \
         .select("doc_id", F.col(label).alias("_label")).distinct()
-    rows = docs.select("doc_id", "text").join(marked, "doc_id")
-    sample = bounded_sample(rows, "_label", PER_LABEL)
+    labelled = docs.filter("text is not null").select("doc_id", text_id().alias("tid")) \
+        .join(marked, "doc_id").select("tid", F.col("_label").alias("label"))
+    sample = bounded_sample(docs, labelled, PER_LABEL)
 
     def some(bag: np.ndarray) -> np.ndarray:
         return bag if len(bag) <= FIT_PASSAGES else \
