@@ -46,15 +46,21 @@ def phrases_of(items: DataFrame, window: int = WINDOW) -> DataFrame:
     return runs.select("item_id", F.md5(F.concat_ws(" ", "phrase")).alias("wid"), "phrase", "length").distinct()
 
 
-def term_counts(docs: DataFrame, terms: DataFrame) -> DataFrame:
+def tokenised(docs: DataFrame) -> DataFrame:
+    """doc_id, tid, crc, n_words and the words of every text, stored: texts are split only once."""
+    return cut(_named(docs).select("doc_id", "tid", "crc", words().alias("w"))
+               .withColumn("n_words", F.size("w").cast("long")))
+
+
+def term_counts(tokens: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, count) over all texts for the terms given; terms that never occur are left out."""
-    return docs.select(F.explode(words()).alias("term")).join(terms, "term", "left_semi") \
+    return tokens.select(F.explode("w").alias("term")).join(terms, "term", "left_semi") \
         .groupBy("term").agg(F.count("*").alias("count"))
 
 
-def positional_index(docs: DataFrame, terms: DataFrame) -> DataFrame:
+def positional_index(tokens: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, tid, crc, pos) for every occurrence of the terms; equal texts have one set of postings."""
-    return _named(docs).select("tid", "crc", F.posexplode(words()).alias("pos", "term")) \
+    return tokens.select("tid", "crc", F.posexplode("w").alias("pos", "term")) \
         .join(terms, "term", "left_semi").select("term", "tid", "crc", "pos").distinct()
 
 
@@ -69,12 +75,24 @@ def anchors_of(phrases: DataFrame, counts: DataFrame, anchors: int = ANCHORS) ->
         .select("wid", "rank", "off", "term")
 
 
-def phrase_matches(docs: DataFrame, phrases: DataFrame, anchors: int = ANCHORS) -> DataFrame:
+def _anchored(tokens: DataFrame, phrases: DataFrame, anchors: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The phrases, their anchors and the index of the anchors' terms, each stored."""
+    known = cut(phrases.select("wid", "phrase", "length").distinct())
+    vocabulary = cut(known.select(F.explode("phrase").alias("term")).distinct())
+    picked = cut(anchors_of(known, term_counts(tokens, vocabulary), anchors))
+    terms = cut(picked.select("term").distinct())
+    return known, picked, cut(positional_index(tokens, terms))
+
+
+def _texts_of(tokens: DataFrame, asked: DataFrame) -> DataFrame:
+    """Words of the texts that ``asked`` names, one row per text at least."""
+    wanted = cut(asked.select("tid", "crc").distinct())
+    return tokens.select("tid", "crc", "w").join(wanted, ["tid", "crc"], "left_semi")
+
+
+def phrase_matches(tokens: DataFrame, phrases: DataFrame, anchors: int = ANCHORS) -> DataFrame:
     """(tid, crc, wid, start, length): every exact occurrence of every phrase, start from 0."""
-    known = phrases.select("wid", "phrase", "length").distinct()
-    vocabulary = known.select(F.explode("phrase").alias("term")).distinct()
-    picked = cut(anchors_of(known, term_counts(docs, vocabulary), anchors))
-    index = cut(positional_index(docs, picked.select("term").distinct()))
+    known, picked, index = _anchored(tokens, phrases, anchors)
 
     def of_rank(rank: int) -> DataFrame:
         return picked.filter(F.col("rank") == rank).select("wid", "off", "term")
@@ -87,26 +105,22 @@ def phrase_matches(docs: DataFrame, phrases: DataFrame, anchors: int = ANCHORS)
         found = asked.filter("term is null").select("wid", "tid", "crc", "start").unionByName(
             asked.filter("term is not null").join(index, ["term", "tid", "crc", "pos"], "left_semi")
             .select("wid", "tid", "crc", "start"))
-    asked = cut(found).join(known, "wid")
-    texts = _named(docs).select("tid", "crc", words().alias("w"))
-    return asked.join(texts, ["tid", "crc"]) \
+    found = cut(found)
+    return found.join(known, "wid").join(_texts_of(tokens, found), ["tid", "crc"]) \
         .filter(F.slice("w", F.col("start") + 1, F.col("length")) == F.col("phrase")) \
         .select("tid", "crc", "wid", "start", "length").distinct()
 
 
-def proximity_matches(docs: DataFrame, phrases: DataFrame, slop: int) -> DataFrame:
+def proximity_matches(tokens: DataFrame, phrases: DataFrame, slop: int) -> DataFrame:
     """(tid, crc, wid, pos): occurrences of a phrase's rarest term near which, in any order, all its
     words stand within ``length + slop`` words."""
-    known = phrases.select("wid", "phrase", "length").distinct()
-    vocabulary = known.select(F.explode("phrase").alias("term")).distinct()
-    picked = cut(anchors_of(known, term_counts(docs, vocabulary), 1))
-    index = positional_index(docs, picked.select("term").distinct())
-    asked = index.join(picked, "term").join(known, "wid")
-    texts = _named(docs).select("tid", "crc", words().alias("w"))
+    known, picked, index = _anchored(tokens, phrases, 1)
+    found = cut(index.join(picked, "term").select("wid", "tid", "crc", "pos"))
     span = F.col("length") + slop
     near = F.exists(F.sequence(F.greatest(F.lit(0), F.col("pos") - span + 1), F.col("pos")),
                     lambda s: F.size(F.array_except("phrase", F.slice("w", s + 1, span))) == 0)
-    return asked.join(texts, ["tid", "crc"]).filter(near).select("tid", "crc", "wid", "pos").distinct()
+    return found.join(known, "wid").join(_texts_of(tokens, found), ["tid", "crc"]) \
+        .filter(near).select("tid", "crc", "wid", "pos").distinct()
 
 
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> DataFrame:
@@ -116,8 +130,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     in twenty of its words is.  The digest covers the ids of the occurring items, sorted as
     strings and joined by commas (a null id is an empty string).  Other columns are ignored.
     """
+    tokens = tokenised(docs)
     phrases = cut(phrases_of(items, window))
-    matches = cut(phrase_matches(docs, phrases))
+    matches = cut(phrase_matches(tokens, phrases))
     spans = matches.groupBy("tid", "crc", "start").agg((F.col("start") + F.max("length")).alias("end"))
     before = W.partitionBy("tid", "crc").orderBy("start").rowsBetween(W.unboundedPreceding, -1)
     hits = spans.withColumn("reached", F.coalesce(F.max("end").over(before), F.lit(0))) \
@@ -128,7 +143,7 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW) -> Da
     # A list holds each benchmark item at most once.
     listed = occurring.groupBy("tid", "crc").agg(F.sort_array(F.collect_set("item")).alias("items"))
     judged = hits.join(listed, ["tid", "crc"])
-    rows = _named(docs).select("doc_id", "tid", "crc", F.size(words()).cast("long").alias("n_words"))
+    rows = tokens.select("doc_id", "tid", "crc", "n_words")
     return rows.join(judged, ["tid", "crc"], "left").select(
         "doc_id", "tid", "crc", "n_words", F.coalesce("n_hit", F.lit(0)).alias("n_hit"),
         F.coalesce(F.size("items"), F.lit(0)).cast("long").alias("_size"),
