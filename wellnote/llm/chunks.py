@@ -1,13 +1,14 @@
 """Repeated substrings by content-defined chunking.
 
 A gear hash rolls over the bytes of a text; a chunk ends where its top bits are zero, within size
-limits.  Boundaries depend on the last ``GEAR`` bytes only, so an insertion shifts nothing behind the
+limits (where they never are, as in periodic text, at the largest value in reach).  Boundaries depend on the last ``GEAR`` bytes only, so an insertion shifts nothing behind the
 next boundary and a passage shared by two texts has the same chunks but for its rims.  Chunks are
-compared by 128-bit digests.  A run of neighbouring repeated chunks counts as a repeated passage
+compared by 96-bit digests.  A run of neighbouring repeated chunks counts as a repeated passage
 when it covers at least ``MIN_RUN`` bytes; chance repeats of single chunks do not.
 
 Every repeated chunk has one first occurrence (smallest doc_id, text hash, offset); the others are
-redundant.
+redundant.  A row is known by its doc_id and a hash of its text (``tid``: a checksum, or 64 bits
+where the id is null), so that repeated and null ids need no care.
 
 Defined results: null and empty texts have no chunks; repeated rows are copies of each other; a
 null doc_id sorts last; an empty table gives no rows; other columns are ignored.
@@ -20,16 +21,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wellnote.llm.common import U64, batches_of, cut, mix64, rows_of
 
-MIN_CHUNK, MAX_CHUNK, GEAR = 16, 128, 16
+MIN_CHUNK, MAX_CHUNK, GEAR = 12, 128, 16
 #: A boundary stands after one position in 2**BOUNDARY_BITS on average.
 BOUNDARY_BITS = 4
-MIN_RUN = 128
+MIN_RUN = 96
 _GEAR_TABLE = (mix64(np.arange(7, 263, dtype=U64)) >> U64(48)).astype(np.uint16)
 
 
@@ -46,46 +47,47 @@ def boundaries(data: bytes) -> list[int]:
         more[step:] += rolled[:-step] << np.uint16(step)
         rolled = more
         step *= 2
-    ends = np.flatnonzero((rolled >> np.uint16(16 - BOUNDARY_BITS)) == 0) + 1
-    ends = ends[ends < n]
-    ends = ends[(raw[ends] & 0xC0) != 0x80]
+    # A cut stands before byte i + 1; not inside a character.
+    opens = np.append((raw[1:] & 0xC0) != 0x80, True)
+    ends = np.flatnonzero(((rolled >> np.uint16(16 - BOUNDARY_BITS)) == 0) & opens) + 1
     cuts, last = [], 0
     for end in [*ends.tolist(), n]:
         while end - last > MAX_CHUNK:
-            forced = last + MAX_CHUNK
-            while raw[forced] & 0xC0 == 0x80:
-                forced -= 1
-            cuts.append(forced)
-            last = forced
-        if end - last >= MIN_CHUNK or end == n:
+            # No boundary in reach: the largest value in reach, which texts of one period share.
+            reach = rolled[last + MIN_CHUNK - 1: last + MAX_CHUNK] * opens[last + MIN_CHUNK - 1: last + MAX_CHUNK]
+            last += MIN_CHUNK + int(reach.argmax())
+            cuts.append(last)
+        if end - last >= MIN_CHUNK or end == n and end > last:
             cuts.append(end)
             last = end
     return cuts
 
 
-CHUNKS = "doc_id long, tid long, seq int, start int, n_bytes int, digest long, digest_rest long"
-_CHUNKS = pa.schema([("doc_id", pa.int64()), ("tid", pa.int64()), ("seq", pa.int32()),
-                     ("start", pa.int32()), ("n_bytes", pa.int32()), ("digest", pa.int64()),
-                     ("digest_rest", pa.int64())])
+CHUNKS = "doc_id long, tid long, start int, n_bytes int, digest long, digest_rest int"
+_CHUNKS = pa.schema([("doc_id", pa.int64()), ("tid", pa.int64()), ("start", pa.int32()),
+                     ("n_bytes", pa.int32()), ("digest", pa.int64()), ("digest_rest", pa.int32())])
+
+
+def _tid() -> Column:
+    return F.when(F.col("doc_id").isNull(), F.xxhash64("text")).otherwise(F.crc32(F.col("text").cast("binary")))
 
 
 def chunks(docs: DataFrame) -> DataFrame:
-    """One row per chunk: doc_id, tid (hash of the text), seq, start and n_bytes (UTF-8), digest."""
+    """One row per chunk: doc_id, tid, start and n_bytes (UTF-8), digest."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple]:
             for doc_id, tid, text in rows_of(batches):
                 data, start = text.encode("utf-8", "surrogatepass"), 0
-                for seq, end in enumerate(boundaries(data)):
-                    digest = hashlib.blake2b(data[start:end], digest_size=16).digest()
-                    yield (doc_id, tid, seq, start, end - start,
-                           int.from_bytes(digest[:8], "little", signed=True),
+                for end in boundaries(data):
+                    digest = hashlib.blake2b(data[start:end], digest_size=12).digest()
+                    yield (doc_id, tid, start, end - start, int.from_bytes(digest[:8], "little", signed=True),
                            int.from_bytes(digest[8:], "little", signed=True))
                     start = end
 
         yield from batches_of(found(), _CHUNKS, size=1 << 15)
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"),
-                       F.xxhash64("text").alias("tid"), "text") \
+                       _tid().alias("tid"), "text") \
         .filter("text is not null and text <> ''").mapInArrow(run, CHUNKS)
 
 
@@ -102,7 +104,7 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     first = again.groupBy("digest", "digest_rest").agg(
         F.count("*").alias("copies"), F.min(place).alias("first")).filter("copies > 1")
     return again.join(first, ["digest", "digest_rest"]).select(
-        "doc_id", "tid", "seq", "start", "n_bytes", "digest", "digest_rest", "copies",
+        "doc_id", "tid", "start", "n_bytes", "digest", "digest_rest", "copies",
         F.col("first.doc_id").alias("first_doc_id"),
         ((F.col("first.tid") == F.col("tid")) & (F.col("first.start") == F.col("start"))
          & F.col("first.doc_id").eqNullSafe(F.col("doc_id"))).alias("is_first"))
@@ -114,9 +116,11 @@ def repeated_passages(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     doc_id, tid, start, n_bytes, n_chunks, copies (of its rarest chunk), n_first (chunks whose first
     occurrence is here), first_doc_id (the smallest document that holds its first chunks).
     """
-    found = repeated_chunks(docs).dropDuplicates(["doc_id", "tid", "seq"])
-    inside = W.partitionBy("doc_id", "tid").orderBy("seq")
-    runs = found.withColumn("_run", F.col("seq") - F.row_number().over(inside))
+    found = repeated_chunks(docs).dropDuplicates(["doc_id", "tid", "start"])
+    inside = W.partitionBy("doc_id", "tid").orderBy("start")
+    end_before = F.lag(F.col("start") + F.col("n_bytes")).over(inside)
+    opens = F.when(end_before == F.col("start"), 0).otherwise(1)
+    runs = found.withColumn("_opens", opens).withColumn("_run", F.sum("_opens").over(inside))
     return runs.groupBy("doc_id", "tid", "_run").agg(
         F.min("start").cast("long").alias("start"), F.sum("n_bytes").alias("n_bytes"),
         F.count("*").alias("n_chunks"), F.min("copies").alias("copies"),
@@ -148,7 +152,7 @@ def deduplicated(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
             return b"".join([*kept, data[at:]]).decode("utf-8", "surrogatepass")
         return pd.Series([rest(t, s) for t, s in zip(texts, spans)], dtype=object)
 
-    named = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("own_tid"),
+    named = docs.select(F.struct("*").alias("row"), _tid().alias("own_tid"),
                         F.col("doc_id").cast("long").alias("own_id"))
     joined = named.join(spans, (F.col("own_tid") == F.col("tid")) & F.col("own_id").eqNullSafe(F.col("doc_id")),
                         "left")
