@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wellnote.llm import contamination, jaccard, mixing, quality, sharding
-from wellnote.llm.common import shared_folder, table
+from wellnote.llm.common import cut, shared_folder, table
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,7 +51,8 @@ def keep_clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(text).alias("tid"),
                        F.crc32(text.cast("binary")).alias("crc"))
-    bad = found.filter("contaminated").select("tid", "crc").distinct()
+    # Stored, so that its size is known: mostly few texts, which then need no shuffle of all others.
+    bad = cut(found.filter("contaminated").select("tid", "crc").distinct())
     return rows.join(bad, ["tid", "crc"], "left_anti").select("row.*")
 
 

@@ -6,8 +6,8 @@ by weight until none is above.  A source then takes every document ``floor(targe
 and a seeded part of its documents once more: in the order of a seeded hash, as long as the
 running size stays below the rest of the target, and the one across it if that comes nearer.
 
-The running sizes come from sums per hash range, then rows inside the one range where the rest
-runs out, so no task orders a whole source.  Built-in functions only.
+The running sizes come from sums per hash range, then rows inside a range, so no task orders a
+whole source.  Built-in functions only.
 
 Defined results: a null text has size 0; a null source is a source of its own, last; a source
 without words has target 0; an empty table gives no rows; repeated rows count as often as they stand.
@@ -107,17 +107,13 @@ def with_repetitions(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     starts = sums.withColumn("start", F.coalesce(F.sum("range_size").over(before), F.lit(0))) \
         .drop("source").join(filled, "key")
     placed = sized.drop("source").join(starts, ["key", "range"])
-    across = (F.col("start") < F.col("rest")) & (F.col("start") + F.col("range_size") > F.col("rest"))
-    # Only ranges where the rest runs out are ordered; the others are in or out as a whole.
     running = F.sum("size").over(W.partitionBy("key", "range").orderBy("hash", "size")
                                  .rowsBetween(W.unboundedPreceding, -1))
-    cut_through = placed.filter(across).withColumn("from", F.col("start") + F.coalesce(running, F.lit(0))) \
-        .withColumn("more", (F.col("from") + F.col("size") / 2 <= F.col("rest")).cast("long")).drop("from")
-    uniform = placed.filter(~across) \
-        .withColumn("more", (F.col("start") + F.col("range_size") <= F.col("rest")).cast("long"))
-    return uniform.unionByName(cut_through).select(
+    at = F.col("start") + F.coalesce("running", F.lit(0))
+    once_more = (at + F.col("size") / 2 <= F.col("rest")).cast("long")
+    return placed.withColumn("running", running).select(
         "row.*", "size", "source_size", "target",
-        F.when(F.col("size") > 0, F.least(F.lit(max_epochs), F.col("whole") + F.col("more")))
+        F.when(F.col("size") > 0, F.least(F.lit(max_epochs), F.col("whole") + once_more))
         .otherwise(F.lit(0)).cast("long").alias("repetitions"))
 
 
