@@ -58,7 +58,7 @@ def test_sets_are_the_definition():
 @pytest.mark.parametrize("frequent_share", [0.0, 0.3, 0.9, 1.0])
 def test_matching_sets_always_share_a_signature(frequent_share):
     rng = np.random.default_rng(int(frequent_share * 10))
-    flags = rng.random(1 << 10) < frequent_share
+    counters = np.where(rng.random(1 << 10) < frequent_share, rng.integers(11, 99, 1 << 10), rng.integers(0, 10, 1 << 10))
     for n in (1, 2, 3, 4, 8, 20, 23, 24, 30, 32, 33, 40, 96, 120, 128, 129, 400, 513, 2000):
         for _ in range(12):
             a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
@@ -71,7 +71,7 @@ def test_matching_sets_always_share_a_signature(frequent_share):
                 extra = drop = 0
             b = np.unique(np.concatenate((rng.permutation(a)[drop:],
                                           rng.integers(0, 1 << 63, extra).astype(np.uint64))))
-            one, two = jc.signatures(a, flags), jc.signatures(b, flags)
+            one, two = jc.signatures(a, counters, 10), jc.signatures(b, counters, 10)
             assert set(one[0]) & set(two[0]) or set(one[1]) & set(two[1])
 
 
@@ -87,10 +87,10 @@ def test_parity_rows_never_overstate_the_difference():
 
 
 def test_pairs_stay_linear_in_the_size():
-    flags = np.ones(1 << 10, bool)
+    counters = np.full(1 << 10, 50)
     rng = np.random.default_rng(1)
     for n in (100, 1000, 10_000, 50_000):
-        single, pairs = jc.signatures(np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)), flags)
+        single, pairs = jc.signatures(np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64)), counters, 10)
         assert len(single) + len(pairs) < 3 * n
 
 
@@ -116,7 +116,7 @@ def test_near_copies_chains_and_common_lines(spark, monkeypatch):
 
 def test_frequent_tokens_through_pairs(spark, monkeypatch):
     """With most tokens counted as frequent, the result stays the same."""
-    monkeypatch.setattr(jc, "frequent_counters", lambda profile: np.ones(jc.SKETCH, bool))
+    monkeypatch.setattr(jc, "token_counters", lambda profile: (np.full(jc.SKETCH, 1000), 10.0))
     rng = random.Random(7)
     base = [words(rng, n).split() for n in (30, 60, 150)]
     rows = []
@@ -128,6 +128,18 @@ def test_frequent_tokens_through_pairs(spark, monkeypatch):
     check(spark, rows)
 
 
+def test_copies_of_which_only_some_pairs_match(spark):
+    rng = random.Random(11)
+    base = words(rng, 120).split()
+    rows = []
+    for i in range(90):
+        copy = list(base)
+        for at in rng.sample(range(120), rng.randint(0, 5)):
+            copy[at] = f"edit{i}"
+        rows.append((i, " ".join(copy)))
+    check(spark, rows)
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in jc.linked_components(odd_docs).collect()]
@@ -139,3 +151,13 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101)], "a long, b long")
     got = {r.node: r.label for r in jc.components(edges).collect()}
     assert all(got[i] == 0 for i in range(41)) and got[101] == got[100] == 100
+
+
+def test_components_grow_by_further_links(spark):
+    def frame(pairs):
+        return spark.createDataFrame(pairs, "a long, b long")
+    first = [(1, 2), (2, 3), (10, 11), (20, 21), (21, 22)]
+    more = [(3, 11), (30, 31), (22, 31), (40, 41)]
+    step = {r.node: r.label for r in jc.merged(jc.components(frame(first)), frame(more)).collect()}
+    whole = {r.node: r.label for r in jc.components(frame(first + more)).collect()}
+    assert step == whole

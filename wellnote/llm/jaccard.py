@@ -5,14 +5,18 @@ threshold share most of their tokens, so it is enough to index a prefix of each
 order: rare tokens first, then frequent ones.  Rare tokens are indexed singly.  Frequent tokens,
 which would give long lists, are indexed as pairs inside hashed subclasses of them; the prefix is
 extended by one token for each subclass it touches, which is exactly what a pair can miss.  Sets
-sharing no signature cannot reach the threshold; all others are verified on whole sets.
+sharing no signature cannot reach the threshold; all others are bounded by short parity rows of
+their sets, and what is left is verified on whole sets.
 
-Which tokens are frequent comes from a counter of fixed size over all documents.  It only steers
-the order, any assignment gives the same result.
+The order and what counts as frequent come from counters of fixed number over all documents, into
+which tokens are hashed: a token's counter is its own count plus noise that is much the same for all,
+so tokens of shared passages stand behind those of one text.  The counters only steer the work, any
+values give the same result.
 
 Links inside large groups of copies are not expanded into all pairs.  Equal sets are one class.
-A first round verifies, in each list, every class against the list's first (or previous) class;
-a second round verifies every pair of one list whose classes are still in different components.
+A first round verifies, in each list, every class against the list's first (or previous) class, and
+what is left against a few classes of the list's largest component; the last round verifies every
+pair of one list whose classes are still in different components.
 Pairs inside one component cannot change it, all others are checked, so components are exact.
 """
 
@@ -37,6 +41,8 @@ SKETCH = 1 << 17
 FILTER_BITS = 1 << 23
 #: Parts into which the list of a token pair is split before its heads meet.
 SALTS = 32
+#: Trial partners per list, for lists of so many rows; both only save work.
+TRIALS, TRIAL_LIST = 8, 16
 #: Classes remembered by a task so that copies it meets again are not indexed twice.
 REMEMBERED = 1 << 18
 
@@ -87,21 +93,25 @@ def set_key(tokens: np.ndarray) -> tuple[int, int]:
             int.from_bytes(digest[8:], "little", signed=True))
 
 
-def signatures(tokens: np.ndarray, frequent: np.ndarray, threshold: int = THRESHOLD
+def signatures(tokens: np.ndarray, counters: np.ndarray, limit: float, threshold: int = THRESHOLD
                ) -> tuple[np.ndarray, np.ndarray]:
-    """Single-token and token-pair signatures of the prefix of a sorted set.
+    """Single-token and token-pair signatures of the prefix of a set (sorted by hash).
 
-    Sizes fall into overlapping classes: class 0 up to 32 tokens uses single tokens throughout;
-    class j covers 24*4**(j-1) to 32*4**j tokens with 8*4**(j-1) subclasses of frequent tokens.  Sets that
-    can match have a class in common, and inside a class the number of pairs is linear in the size.
+    Tokens are ordered by their counters, then hashes; those with a counter over ``limit`` are
+    frequent.  Sizes fall into overlapping classes: class 0 up to 32 tokens uses single tokens
+    throughout; class j covers 24*4**(j-1) to 32*4**j tokens with 8*4**(j-1) subclasses of frequent
+    tokens.  Sets that can match have a class in common, and inside a class the number of pairs is
+    linear in the size.
     """
     n = len(tokens)
     need = n - (threshold * n + 99) // 100 + 1
-    often = frequent[(tokens % U64(len(frequent))).astype(np.int64)]
-    rare = tokens[~often]
+    count = counters[(tokens % U64(len(counters))).astype(np.int64)]
+    order = np.argsort(count, kind="stable")
+    tokens = tokens[order]
+    known = int(np.searchsorted(count[order], limit, side="right"))
+    rare, common = tokens[:known], tokens[known:]
     if len(rare) >= need:
         return rare[:need], np.empty(0, U64)
-    common = tokens[often]
     single = rare
     pairs = [np.empty(0, U64)]
     if n <= 32:
@@ -129,9 +139,30 @@ def signatures(tokens: np.ndarray, frequent: np.ndarray, threshold: int = THRESH
     return single, np.concatenate(pairs)
 
 
-PROFILE = "doc_id long, n int, cid long, rest long, tid long, counts array<int>"
-_PROFILE = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("cid", pa.int64()),
-                      ("rest", pa.int64()), ("tid", pa.int64()), ("counts", pa.list_(pa.int32()))])
+def parity_bits(tokens: np.ndarray) -> bytes:
+    """One bit per token, added modulo 2 in a power of two of at least as many bits (64 to 2**17).
+
+    In the sum of two such rows common tokens cancel out, so its ones never outnumber the tokens
+    that only one set has: a bound on the similarity at a 64th of the size of the tokens.
+    """
+    size = 1 << min(17, max(6, (len(tokens) - 1).bit_length()))
+    at = ((tokens >> U64(32)) & U64(size - 1)).astype(np.int64)
+    return np.packbits(np.bincount(at, minlength=size) & 1).tobytes()
+
+
+def fewest_differences(a: bytes, b: bytes) -> int:
+    """Lower bound of the number of tokens that only one of two sets has."""
+    x, y = np.frombuffer(a, np.uint8), np.frombuffer(b, np.uint8)
+    while len(x) != len(y):
+        if len(x) < len(y):
+            x, y = y, x
+        x = x[: len(x) // 2] ^ x[len(x) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+PROFILE = "doc_id long, n int, cid long, rest long, tid long, bits binary, counts array<int>"
+_PROFILE = pa.schema([("doc_id", pa.int64()), ("n", pa.int32()), ("cid", pa.int64()), ("rest", pa.int64()),
+                      ("tid", pa.int64()), ("bits", pa.binary()), ("counts", pa.list_(pa.int32()))])
 
 
 def _texts(docs: DataFrame) -> DataFrame:
@@ -143,34 +174,37 @@ def _texts(docs: DataFrame) -> DataFrame:
 def profiles(docs: DataFrame) -> DataFrame:
     """Per document: set size and key; per task one more row (n = -1) with its token counters."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler, counts = Shingler(), np.zeros(SKETCH, np.int64)
+        shingler, counts, seen = Shingler(), np.zeros(SKETCH, np.int64), set()
 
         def found() -> Iterator[tuple]:
             for doc_id, tid, text in rows_of(batches):
                 tokens = shingler(text)
-                np.add.at(counts, (tokens % U64(SKETCH)).astype(np.int64), 1)
+                if tid not in seen:  # copies are one class and would only look frequent
+                    if len(seen) >= REMEMBERED:
+                        seen.clear()
+                    seen.add(tid)
+                    np.add.at(counts, (tokens % U64(SKETCH)).astype(np.int64), 1)
                 cid, rest = set_key(tokens)
-                yield doc_id, len(tokens), cid, rest, tid, None
+                yield doc_id, len(tokens), cid, rest, tid, parity_bits(tokens), None
             for start in range(0, SKETCH, 4096):
                 part = counts[start: start + 4096]
                 if part.any():
-                    yield start, -1, 0, 0, 0, np.minimum(part, 2**31 - 1).astype(np.int32)
+                    yield start, -1, 0, 0, 0, None, np.minimum(part, 2**31 - 1).astype(np.int32)
 
         yield from batches_of(found(), _PROFILE)
 
     return _texts(docs).mapInArrow(run, PROFILE)
 
 
-def frequent_counters(profile: DataFrame) -> np.ndarray:
-    """Which counters stand out of their mean: at most ``SKETCH`` of them reach the driver."""
+def token_counters(profile: DataFrame) -> tuple[np.ndarray, float]:
+    """All counters (``SKETCH`` numbers, whatever the input) and the limit beyond which one stands out."""
     parts = profile.filter("n = -1").select("doc_id", F.posexplode("counts").alias("at", "count"))
-    sums = cut(parts.filter("count > 0").groupBy((F.col("doc_id") + F.col("at")).alias("counter"))
-               .agg(F.sum("count").cast("long").alias("count")))
-    mean = (sums.agg(F.sum("count").alias("total")).first()["total"] or 0) / SKETCH
-    flags = np.zeros(SKETCH, bool)
-    often = sums.filter(F.col("count") > mean + 8 * mean ** 0.5 + 32).select("counter").toPandas()
-    flags[often["counter"].to_numpy(np.int64)] = True
-    return flags
+    sums = parts.filter("count > 0").groupBy((F.col("doc_id") + F.col("at")).cast("int").alias("counter")) \
+        .agg(F.sum("count").cast("long").alias("count")).toPandas()
+    counters = np.zeros(SKETCH, np.int64)
+    counters[sums["counter"].to_numpy(np.int64)] = sums["count"].to_numpy(np.int64)
+    mean = counters.mean()
+    return counters, float(mean + 8 * mean ** 0.5 + 32)
 
 
 POSTINGS = "sig long, cid long, n int, paired boolean"
@@ -178,13 +212,13 @@ _POSTINGS = pa.schema([("sig", pa.int64()), ("cid", pa.int64()), ("n", pa.int32(
                        ("paired", pa.bool_())])
 
 
-def postings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
+def postings(docs: DataFrame, counters: np.ndarray, limit: float) -> DataFrame:
     """Inverted index of prefix signatures; a task indexes a class it meets again only once."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent))
+    shared = docs.sparkSession.sparkContext.broadcast(counters)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, seen = Shingler(), set()
-        flags = np.unpackbits(shared.value).astype(bool)
+        frequencies = shared.value
         held: list[tuple] = []
         size = 0
 
@@ -206,7 +240,7 @@ def postings(docs: DataFrame, frequent: np.ndarray) -> DataFrame:
             if len(seen) >= REMEMBERED:
                 seen.clear()
             seen.add(cid)
-            for found, paired in zip(signatures(tokens, flags), (False, True)):
+            for found, paired in zip(signatures(tokens, frequencies, limit), (False, True)):
                 if len(found):
                     held.append((found, cid, len(tokens), paired))
                     size += len(found)
@@ -255,8 +289,26 @@ def token_sets(docs: DataFrame, tids: DataFrame) -> DataFrame:
     return _texts(docs).mapInArrow(run, SETS).dropDuplicates(["cid", "rest"])
 
 
+def possible(classes: DataFrame, pairs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (a, b) that the parity bits do not rule out."""
+    @F.pandas_udf("long")
+    def differences(a, b):
+        import pandas as pd
+        return pd.Series([fewest_differences(x, y) for x, y in zip(a, b)], dtype="int64")
+
+    def end(name: str) -> DataFrame:
+        return classes.select(F.col("cid").alias(name), F.col("n").alias(f"n_{name}"),
+                              F.col("bits").alias(f"bits_{name}"))
+
+    both = pairs.join(end("a"), "a").join(end("b"), "b")
+    sizes = F.col("n_a") + F.col("n_b")
+    return both.filter((100 + threshold) * (sizes - differences("bits_a", "bits_b")) >= 2 * threshold * sizes) \
+        .select("a", "b").distinct()
+
+
 def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Pairs (a, b) whose whole sets reach the threshold."""
+    pairs = cut(possible(classes, pairs, threshold))
     ends = pairs.select(F.col("a").alias("cid")).union(pairs.select("b")).distinct()
     sets = cut(token_sets(docs, classes.join(ends, "cid").select("tid")).join(ends, "cid", "left_semi"))
     second = pairs.join(sets.select(F.col("cid").alias("b"), F.col("tokens").alias("tokens_b")), "b")
@@ -271,28 +323,75 @@ def verified(docs: DataFrame, classes: DataFrame, pairs: DataFrame, threshold: i
 def components(edges: DataFrame) -> DataFrame:
     """(node, label): the smallest node reachable, by minimum propagation with pointer jumping.
 
-    Rounds grow with the logarithm of the longest path; each is a checkpointed join.
+    Each round writes one table and follows labels twice, so rounds grow with the logarithm of the
+    longest path.
     """
     both = edges.select("a", "b").union(edges.select(F.col("b"), F.col("a")))
     labels = cut(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("a"), F.min("b")).alias("label")))
     while True:
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")) \
-            .agg(F.min("label").alias("_near"))
-        moved = labels.join(near, "node").select("node", F.col("label").alias("_old"),
-                                                 F.least("label", "_near").alias("label"))
-        target = labels.select(F.col("node").alias("label"), F.col("label").alias("_next"))
-        moved = cut(moved.join(target, "label")
-                    .select("node", "_old", F.least("label", "_next").alias("label")))
+            .agg(F.min("label").alias("near"))
+        moved = labels.join(near, "node").select("node", F.col("label").alias("old"),
+                                                 F.least("label", "near").alias("label"))
+        for _ in range(2):
+            target = labels.select(F.col("node").alias("label"), F.col("label").alias("next"))
+            moved = moved.join(target, "label").select("node", "old", F.least("label", "next").alias("label"))
+        moved = cut(moved)
         labels = moved.select("node", "label")
-        if moved.filter("label <> _old").isEmpty():
+        if moved.filter("label <> old").isEmpty():
             return labels
 
 
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, label) after further links between nodes: components of the components they join."""
+    def of(name: str) -> DataFrame:
+        return labels.select(F.col("node").alias(name), F.col("label").alias(f"label_{name}"))
+
+    between = links.join(of("a"), "a", "left").join(of("b"), "b", "left") \
+        .select(F.coalesce("label_a", "a").alias("a"), F.coalesce("label_b", "b").alias("b")).distinct()
+    joined = components(cut(between))
+    moved = labels.join(joined.select(F.col("node").alias("label"), F.col("label").alias("to")), "label", "left") \
+        .select("node", F.coalesce("to", "label").alias("label"))
+    # Nodes without a link so far are their own label.
+    alone = joined.join(labels, "node", "left_anti")
+    return cut(moved.union(alone.select("node", "label")))
+
+
 def _fits(a: str, b: str, threshold: int) -> F.Column:
     """Sizes that allow the threshold."""
     return threshold * F.greatest(a, b) <= 100 * F.least(a, b)
 
 
+def rows_apart(rows: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sig, cid, n, label): rows of the lists whose classes are not all in one component."""
+    placed = rows.join(labels.withColumnRenamed("node", "cid"), "cid", "left") \
+        .withColumn("label", F.coalesce("label", "cid"))
+    split = placed.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
+        .filter("lo <> hi").select("sig")
+    return cut(placed.join(split, "sig", "left_semi"))
+
+
+def trial_pairs(apart: DataFrame, labels: DataFrame, threshold: int) -> DataFrame:
+    """A few pairs per class that are likely to join its component to the largest of its list.
+
+    In groups of copies with many changes not every pair reaches the threshold.  Each list names
+    ``TRIALS`` classes of its largest component, by seeded hashes; its other classes try those.  This
+    only makes the components fewer before all pairs across them are verified.
+    """
+    sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+    known = cut(apart.join(sizes, "label", "left").withColumn("size", F.coalesce("size", F.lit(1))))
+    top = known.groupBy("sig").agg(F.count("*").alias("rows"), F.max(F.struct("size", "label")).alias("top")) \
+        .filter(F.col("rows") >= TRIAL_LIST).select("sig", F.col("top.label").alias("top"))
+    members = known.join(top, "sig")
+    seeds = [F.min(F.struct(F.xxhash64("cid", F.lit(i)), F.col("cid").alias("to"), F.col("n").alias("to_n")))
+             .alias(f"p{i}") for i in range(TRIALS)]
+    probes = members.filter("label = top").groupBy("sig").agg(*seeds)
+    tries = members.filter("label <> top").join(probes, "sig").select(
+        "cid", "n", F.explode(F.array(*[f"p{i}" for i in range(TRIALS)])).alias("p"))
+    return tries.filter(_fits("n", "p.to_n", threshold)).select(
+        F.least("cid", "p.to").alias("a"), F.greatest("cid", "p.to").alias("b")).distinct()
+
+
 def linked_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, tid (hash of the text), label, n_shingles, component_id.
 
@@ -302,11 +401,12 @@ def linked_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     an empty table gives no rows.
     """
     profile = cut(profiles(docs))
-    frequent = frequent_counters(profile)
+    counters, limit = token_counters(profile)
     rows = profile.filter("n >= 0").drop("counts")
-    classes = cut(rows.filter("n > 0").groupBy("cid", "rest").agg(F.min("tid").alias("tid")))
+    classes = cut(rows.filter("n > 0").groupBy("cid", "rest", "n", "bits").agg(F.min("tid").alias("tid")))
+    rows = rows.drop("bits")
 
-    index = postings(docs, frequent)
+    index = postings(docs, counters, limit)
     # Lists of pairs of frequent tokens can be long: they are dealt in salted parts, whose heads meet again.
     dealt = index.withColumn("salt", F.when(F.col("paired"), F.pmod("cid", F.lit(SALTS))).otherwise(0))
     part = W.partitionBy("sig", "salt").orderBy("n", "cid")
@@ -333,20 +433,19 @@ def linked_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     links = cut(verified(docs, classes, pairs, threshold))
     labels = components(links)
 
-    placed = listed.select("sig", "cid", "n").join(labels.withColumnRenamed("node", "cid"), "cid", "left") \
-        .withColumn("label", F.coalesce("label", "cid"))
-    split = placed.groupBy("sig").agg(F.min("label").alias("lo"), F.max("label").alias("hi")) \
-        .filter("lo <> hi").select("sig")
-    apart = cut(placed.join(split, "sig", "left_semi"))
+    apart = rows_apart(listed.select("sig", "cid", "n"), labels)
+    tried = cut(trial_pairs(apart, labels, threshold).join(pairs, ["a", "b"], "left_anti"))
+    if not tried.isEmpty():
+        labels = merged(labels, cut(verified(docs, classes, tried, threshold)))
+        apart = rows_apart(apart.select("sig", "cid", "n"), labels)
     left = apart.select("sig", F.col("cid").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("a_label"))
     right = apart.select("sig", F.col("cid").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"))
     rest = left.join(right, "sig").filter(
         (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label")) & _fits("a_n", "b_n", threshold)) \
         .select("a", "b").distinct()
-    rest = cut(rest.join(pairs, ["a", "b"], "left_anti"))
+    rest = cut(rest.join(pairs.union(tried), ["a", "b"], "left_anti"))
     if not rest.isEmpty():
-        links = cut(links.union(verified(docs, classes, rest, threshold)))
-        labels = components(links)
+        labels = merged(labels, cut(verified(docs, classes, rest, threshold)))
 
     # A row without words is alone; its own id names it.
     owned = rows.join(labels.withColumnRenamed("node", "cid"), "cid", "left") \
