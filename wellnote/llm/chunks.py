@@ -116,7 +116,8 @@ def repeated_passages(docs: DataFrame, min_run: int = MIN_RUN) -> DataFrame:
     doc_id, tid, start, n_bytes, n_chunks, copies (of its rarest chunk), n_first (chunks whose first
     occurrence is here), first_doc_id (the smallest document that holds its first chunks).
     """
-    found = repeated_chunks(docs).dropDuplicates(["doc_id", "tid", "start"])
+    # Dealt once by text, which serves the removal of repeated rows and the runs alike.
+    found = repeated_chunks(docs).repartition("doc_id", "tid").dropDuplicates(["doc_id", "tid", "start"])
     inside = W.partitionBy("doc_id", "tid").orderBy("start")
     end_before = F.lag(F.col("start") + F.col("n_bytes")).over(inside)
     opens = F.when(end_before == F.col("start"), 0).otherwise(1)
