@@ -1,6 +1,6 @@
 import random
 
-from conftest import words
+from llm_samples import no_docs, odd_docs, words  # noqa: F401
 
 from wellnote.llm import chunks as ch
 

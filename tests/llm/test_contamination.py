@@ -2,7 +2,7 @@ import hashlib
 import random
 import re
 
-from conftest import words
+from llm_samples import no_docs, odd_docs, words  # noqa: F401
 
 from wellnote.llm import contamination as ct
 

@@ -3,6 +3,7 @@ import random
 import re
 
 import pytest
+from llm_samples import words  # noqa: F401
 
 from wellnote.llm import extraction as ex
 

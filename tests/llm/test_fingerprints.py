@@ -1,6 +1,7 @@
 import hashlib
 
 import pytest
+from llm_samples import no_docs, odd_docs  # noqa: F401
 
 from wellnote.llm import fingerprints as fp
 from wellnote.llm.common import Powers, mix64

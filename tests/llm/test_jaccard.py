@@ -3,7 +3,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import words
+from llm_samples import no_docs, odd_docs, words  # noqa: F401
 
 from wellnote.llm import jaccard as jc
 

@@ -1,7 +1,7 @@
 import random
 
 import duckdb
-from conftest import words
+from llm_samples import no_docs, odd_docs, words  # noqa: F401
 
 from wellnote.llm import mixing
 

@@ -3,6 +3,7 @@ import zlib
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
+from llm_samples import no_docs, odd_docs  # noqa: F401
 
 from wellnote.llm import language as lg
 from wellnote.llm import quality as ql

@@ -6,7 +6,7 @@ import duckdb
 import pytest
 import test_contamination
 import test_jaccard
-from conftest import words
+from llm_samples import no_docs, odd_docs, words  # noqa: F401
 
 import corpus_pipeline as pipeline
 from wellnote.llm import mixing, quality, queries

@@ -3,6 +3,7 @@ import zlib
 from collections import Counter
 
 import xxhash
+from llm_samples import no_docs, odd_docs  # noqa: F401
 
 from wellnote.llm import sharding as sh
 
