@@ -85,3 +85,38 @@ def test_odd_and_empty_tables(spark, odd_docs, no_docs):
     assert ch.repeated_passages(no_docs).count() == 0
     out = ch.deduplicated(odd_docs)
     assert out.columns == odd_docs.columns and out.count() == odd_docs.count()
+
+
+def test_passages_are_judged_by_whole_words_not_bytes(spark):
+    rng = random.Random(4)
+
+    def short(n):
+        return " ".join("".join(rng.choice("abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(rng.randint(1, 3)))
+                        for _ in range(n))
+    rows, expect, spans = [], set(), {}
+    for i in range(40):
+        n = 51 if i % 2 else 50
+        passage = "".join(short(n))
+        for k in (0, 1):
+            # Rims of capitals differ on either side.
+            head, tail = (" ".join(words(rng, 30).upper().split()) + f" {k}X ", f" {k}Y " + words(rng, 30).upper())
+            rows.append((2 * i + k, head + passage + tail))
+            if n == 51:
+                expect.add(2 * i + k)
+                spans[2 * i + k] = (len(head), len(passage))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.doc_id: (r.start, r.n_bytes) for r in ch.repeated_passages(docs).collect()}
+    assert set(found) <= expect
+    assert len(found) >= 0.9 * len(expect)
+    assert all(found[d] == spans[d] for d in found)
+
+
+def test_repeated_rows_and_punctuated_quotes(spark):
+    rng = random.Random(6)
+    passage = words(rng, 51)
+    rows = [(1, "A " + passage + " Z"), (2, 'said: "' + passage + '", they'), (9, words(rng, 80)), (9, None)]
+    rows.append(rows[2])
+    found = {r.doc_id: r for r in ch.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert set(found) == {1, 2, 9}
+    assert all(found[d].n_bytes == len(passage) for d in (1, 2))
+    assert found[9].n_bytes == len(rows[2][1]) and found[9].copies == 2 and found[9].n_first == found[9].n_chunks
