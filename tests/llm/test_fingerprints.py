@@ -84,3 +84,22 @@ def test_mixer_is_a_bijection_on_samples():
     import numpy as np
     x = np.arange(100_000, dtype=np.uint64)
     assert len(np.unique(mix64(x))) == len(x)
+
+
+def test_null_ids_beside_ids_over_2_to_53(spark):
+    low = (1 << 62) + 1
+    rows = [(low + 3 * i, f"text {i} " * 9) for i in range(60)] + [(-low - i, f"low {i} " * 7) for i in range(9)] \
+        + [(None, f"none {i} " * 8) for i in range(7)]
+    rows = rows[::2] + rows[1::2]
+    ordered = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
+    expect = []
+    for i, (doc_id, text) in enumerate(ordered):
+        half = len(text) // 2
+        edited = text[: len(text) - half] + ordered[(i + 1) % len(ordered)][1][:half]
+        expect.append((doc_id, hashlib.sha256(edited.encode()).hexdigest()))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    for given in (docs, docs.filter("doc_id is null or doc_id > 0")):
+        got = fp.edited_fingerprints(given).collect()
+        assert len(got) == given.count()
+    got = fp.edited_fingerprints(docs).collect()
+    assert sorted(((r.doc_id, r.edited_sha256) for r in got), key=repr) == sorted(expect, key=repr)

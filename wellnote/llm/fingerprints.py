@@ -102,31 +102,25 @@ def in_order_with_successor(docs: DataFrame, buckets: int) -> DataFrame:
     shares = [i / buckets for i in range(1, buckets)]
     found = docs.agg(F.percentile_approx("doc_id", shares, 10 * buckets).alias("q")).first()["q"] \
         if shares else None
-    bounds = np.array(sorted(set(found or [])), np.int64)
-
-    @F.pandas_udf("int")
-    def bucket_of(ids):
-        import pandas as pd
-        known = ids.notna()
-        out = np.full(len(ids), len(bounds) + 1, np.int32)
-        out[known] = len(bounds) - np.searchsorted(bounds, ids[known].astype("int64"), side="left")
-        return pd.Series(out)
+    bounds = sorted(set(found or []))
+    # Exact long arithmetic beside null ids: the number of bounds at or over an id, nulls behind all.
+    bucket = F.when(F.col("doc_id").isNull(), F.lit(len(bounds) + 1)).otherwise(
+        F.size(F.filter(F.array(*[F.lit(b).cast("long") for b in bounds]).cast("array<bigint>"),
+                        lambda b: b >= F.col("doc_id")))).cast("int")
+    placed = docs.withColumn("bucket", bucket)
 
     heads = sorted((r["bucket"], r["head"]) for r in
-                   docs.select("doc_id", bucket_of("doc_id").alias("bucket"))
-                   .groupBy("bucket").agg(F.max("doc_id").alias("head")).collect())
+                   placed.groupBy("bucket").agg(F.max("doc_id").alias("head")).collect())
     # Where the head of each bucket goes as a ghost: to the bucket before it, in a circle.
     before = {heads[i][0]: heads[i - 1][0] for i in range(len(heads))}
-    head_ids = dict(heads)
-
-    @F.pandas_udf("int")
-    def ghost_bucket(ids, places):
-        import pandas as pd
-        return pd.Series([before[p] if (head_ids[p] is None or i == head_ids[p]) else -1
-                          for i, p in zip(ids, places)], dtype="int32")
-
-    placed = docs.withColumn("bucket", bucket_of("doc_id"))
-    placed = placed.withColumn("ghost_bucket", ghost_bucket("doc_id", "bucket"))
+    entries = [x for p, head in heads for x in (
+        F.lit(p), F.struct(F.lit(head).cast("long").alias("head"), F.lit(before[p]).alias("before")))]
+    if entries:
+        seat = F.try_element_at(F.create_map(*entries), F.col("bucket"))
+        placed = placed.withColumn("ghost_bucket", F.when(
+            seat["head"].isNull() | (seat["head"] == F.col("doc_id")), seat["before"]).otherwise(-1))
+    else:
+        placed = placed.withColumn("ghost_bucket", F.lit(-1))
     spread = placed.select("doc_id", "text", F.explode(
         F.when(F.col("ghost_bucket") >= 0,
                F.array(F.struct(F.col("bucket"), F.lit(False).alias("ghost")),
