@@ -1,0 +1,88 @@
+import hashlib
+import random
+
+import pytest
+from llm_samples import no_docs, odd_docs, words  # noqa: F401
+
+from wellnote.llm import lines as ln
+
+UP = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def key(line):
+    return line.strip(" \t\n\x0b\x0c\r").translate(UP)
+
+
+def brute(docs, min_chars=20, min_docs=3):
+    """(doc_id, n_lines, n_dropped, kept) of (doc_id, text) rows."""
+    held = {}
+    for doc_id, text in docs:
+        for line in (text or "").split("\n"):
+            held.setdefault(key(line), set()).add(doc_id)
+    keeper = {k: max(d for d in ids if d is not None) for k, ids in held.items()
+              if len(k) >= min_chars and len(ids) >= min_docs}
+    out = []
+    for doc_id, text in docs:
+        rows = (text or "").split("\n")
+        stay = [x for x in rows if key(x) not in keeper or keeper[key(x)] == doc_id]
+        out.append((doc_id, len(rows), len(rows) - len(stay), "\n".join(stay)))
+    return out
+
+
+def report(df, **kw):
+    return sorted((tuple(r) for r in ln.line_report(df, **kw).collect()), key=repr)
+
+
+def expected(df, **kw):
+    rows = [(r.doc_id, r.text) for r in df.select("doc_id", "text").collect()]
+    return sorted(((i, n, d, hashlib.sha256(t.encode()).hexdigest()) for i, n, d, t in brute(rows, **kw)), key=repr)
+
+
+@pytest.fixture(scope="module")
+def lined(spark):
+    rng = random.Random(3)
+    common = [words(rng, 6) for _ in range(8)] + ["É" * 20, "x" * 19, "y" * 20, " " + "z" * 19]
+    docs = []
+    for i in range(80):
+        rows = [words(rng, rng.randint(1, 9)) for _ in range(rng.randint(0, 5))]
+        for line in rng.sample(common, rng.randint(0, 4)):
+            line = rng.choice([line, line.upper() if line.isascii() else line, f"\t {line}\r", line + "\x0b", line])
+            rows += [line] * rng.choice([1, 1, 2])
+        rng.shuffle(rows)
+        docs.append((i, "\n".join(rows)))
+    docs += [(100, None), (101, ""), (102, "\n\n"), (103, common[0] + "\n" + common[0]), (103, common[0]),
+             (None, common[1]), (None, common[1] + "\n" + common[0]), (None, None)]
+    return spark.createDataFrame(docs, "doc_id long, text string")
+
+
+def test_against_brute_force(lined):
+    assert report(lined) == expected(lined)
+    assert sum(r[2] for r in report(lined)) > 30
+
+
+def test_other_thresholds(lined):
+    for kw in ({"min_chars": 0, "min_docs": 2}, {"min_chars": 20, "min_docs": 30}):
+        assert report(lined, **kw) == expected(lined, **kw)
+
+
+def test_odd_rows_and_no_rows(odd_docs, no_docs):
+    assert report(odd_docs) == expected(odd_docs)
+    assert report(odd_docs, min_chars=1) == expected(odd_docs, min_chars=1)
+    assert report(no_docs) == []
+
+
+def test_one_line_in_every_document_stays_once(spark):
+    line = "this line stands in each of the documents"
+    docs = spark.range(3000).selectExpr("id as doc_id", f"concat('own ', id, '\\n{line}\\nend') as text")
+    kept = ln.without_shared_lines(docs).filter(f"text like '%{line}%'").collect()
+    assert [r.doc_id for r in kept] == [2999]
+
+
+def test_rows_keep_their_columns(odd_docs):
+    got = ln.without_shared_lines(odd_docs, min_chars=1, min_docs=2)
+    assert got.columns == odd_docs.columns
+    plain = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
+    want = {(i, t) for i, _, _, t in brute(plain, 1, 2)}
+    assert {(r.doc_id, r.text) for r in got.collect()} == want
+    left = odd_docs.drop("text")
+    assert got.drop("text").exceptAll(left).count() == 0 == left.exceptAll(got.drop("text")).count()

@@ -1,0 +1,128 @@
+import hashlib
+import random
+import zlib
+
+from llm_samples import no_docs, odd_docs, words  # noqa: F401
+
+from wellnote.llm import runs as rn
+
+
+def brute(w, min_length=6, min_exponent=4):
+    """Runs by comparing the words with themselves q places on, for every q."""
+    n, found = len(w), []
+    for q in range(1, n // min_exponent + 1):
+        i = 0
+        while i + q < n:
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            s, e = i, j + q
+            if j > i and e - s >= max(min_length, min_exponent * q) and not any(
+                    w[s: e - d] == w[s + d: e] for d in range(1, q)):
+                found.append((s, e - s, q))
+            i = j + 1
+    return sorted(found)
+
+
+def blocks(rng, letters, size):
+    w = []
+    while len(w) < size:
+        w += [rng.randrange(letters) for _ in range(rng.randint(1, 7))] * rng.choice([1, 1, 2, 4, 6])
+        if rng.random() < 0.2:
+            w += w[-12:]
+    return w
+
+
+def test_automaton_against_brute_force():
+    rng = random.Random(4)
+    seen = 0
+    for _ in range(1500):
+        w = blocks(rng, rng.choice([1, 2, 3, 6]), rng.randint(0, 70))
+        for kw in ((6, 4), (2, 2), (3, 3)):
+            want = brute(w, *kw)
+            seen += len(want)
+            assert rn.automaton_runs(w, *kw) == want
+            assert rn.runs_of_words([b"%d" % x for x in w], *kw) == want
+    assert seen > 5000
+
+
+def test_runs_far_apart_in_long_prose():
+    rng = random.Random(6)
+    w = words(rng, 4000).split()
+    w[700:700] = ["a", "b", "c"] * 9
+    w[3000:3000] = w[2000:2300] * 4
+    b = [x.encode() for x in w]
+    assert rn.runs_of_words(b) == brute(w) and len(brute(w)) >= 2
+
+
+def test_cutting_loses_nothing_and_leaves_little():
+    rng = random.Random(7)
+    w = [x.encode() for x in words(rng, 20_000).split()]
+    w[5000:5000] = [b"p", b"q", b"r", b"s"] * 50
+    number = {x: i for i, x in enumerate(dict.fromkeys(w))}
+    ids = rn.np.array([number[x] for x in w])
+    left = rn.stretches(ids, 6, 4)
+    whole = rn.automaton_runs(ids.tolist())
+    assert rn.runs_of_words(w) == whole and whole
+    assert sum(e - s for s, e in left) < 2000
+
+
+def test_long_runs_take_linear_time():
+    for p in (1, 7, 1000):
+        assert rn.automaton_runs([i % p for i in range(60_000)]) == [(0, 60_000, p)]
+
+
+def edited(doc_id, text):
+    w = (text or "").encode().split()
+    h = zlib.crc32(("" if doc_id is None else str(doc_id)).encode())
+    g, n = h // 10, len(w)
+    if h % 10 == 0 and n:
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    return [x.decode() for x in w]
+
+
+def expected(doc_id, text):
+    w = edited(doc_id, text)
+    found = brute(w)
+    best = min(found, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    gone = {i for s, size, q in found for i in range(s + q, s + size)}
+    digest = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    return (doc_id, len(found), *(best or (None,) * 3), best and 1000 * best[1] // best[2],
+            digest("".join(f"{s},{size},{q}\n" for s, size, q in found)),
+            digest(" ".join(x for i, x in enumerate(w) if i not in gone)))
+
+
+def report(docs):
+    texts = docs.select("doc_id", rn.looped(docs["doc_id"], docs["text"]).alias("text"))
+    return sorted((tuple(r) for r in rn.run_report(rn.word_runs(texts)).collect()), key=repr)
+
+
+def test_report_against_brute_force(spark):
+    rng = random.Random(9)
+    docs = []
+    for i in range(400):
+        w = words(rng, rng.randint(0, 60)).split(" ")
+        if i % 3 == 0:
+            w[5:5] = words(rng, rng.randint(1, 4)).split() * rng.randint(3, 8)
+        docs.append((i, rng.choice([" ", "\n", " \t", "  "]).join(w)))
+    docs += [(900, "　x  " * 9), (901, "no break here"), (902, "a " * 3000), (903, " a a a a a a ")]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    got = report(df)
+    assert got == sorted((expected(*d) for d in docs), key=repr)
+    assert sum(r[1] > 0 for r in got) > 60
+
+
+def test_odd_rows_and_no_rows(odd_docs, no_docs):
+    docs = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
+    small = [d for d in docs if len(d[1] or "") < 100_000]
+    cut = odd_docs.filter("text is null or length(text) < 100000")
+    assert report(cut) == sorted((expected(*d) for d in small), key=repr)
+    assert len(report(odd_docs)) == len(docs)
+    assert report(no_docs) == []
+
+
+def test_extra_columns_are_ignored(odd_docs):
+    got = rn.word_runs(odd_docs)
+    assert got.columns == ["doc_id", "runs", "collapsed"] and got.count() == odd_docs.count()

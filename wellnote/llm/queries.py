@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wellnote.llm import (chat, chunks, contamination, extraction, fingerprints, jaccard, language, mixing,
-                          quality, sharding)
+from wellnote.llm import (chat, chunks, contamination, extraction, fingerprints, jaccard, language, lines, mixing,
+                          quality, runs, sharding)
 from wellnote.llm.common import table
 
 #: The conversation that the contract adds: texts that imitate control strings.
@@ -58,8 +59,20 @@ def op10_rendezvous(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    edited = docs.select("doc_id", runs.looped(F.col("doc_id"), F.col("text")).alias("text"))
+    return runs.run_report(runs.word_runs(edited))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.line_report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_winnowing, op2_chunk_dedup, op3_mixing, op4_ngram_join, op5_extraction,
-                            op6_decontamination, op7_chat, op8_quality, op9_language, op10_rendezvous)}
+                            op6_decontamination, op7_chat, op8_quality, op9_language, op10_rendezvous,
+                            op11_periodic_runs, op12_line_dedup)}
 #: Queries that SQL can express; the others are tested against brute force, round trips or held-out rows.
-ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op6_decontamination": contamination.ORACLE}
+ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op6_decontamination": contamination.ORACLE,
+                           "op12_line_dedup": lines.ORACLE}
