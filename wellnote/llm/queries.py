@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wellnote.llm import (chat, chunks, contamination, extraction, fingerprints, jaccard, language, lines, mixing,
-                          quality, runs, sharding)
+                          quality, runs, search, sharding)
 from wellnote.llm.common import table
 
 #: The conversation that the contract adds: texts that imitate control strings.
@@ -69,10 +69,14 @@ def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.line_report(table(spark, sf_dir, "documents"))
 
 
+def op13_blocked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.ranked(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_winnowing, op2_chunk_dedup, op3_mixing, op4_ngram_join, op5_extraction,
                             op6_decontamination, op7_chat, op8_quality, op9_language, op10_rendezvous,
-                            op11_periodic_runs, op12_line_dedup)}
+                            op11_periodic_runs, op12_line_dedup, op13_blocked_search)}
 #: Queries that SQL can express; the others are tested against brute force, round trips or held-out rows.
 ORACLES: dict[str, str] = {"op3_mixing": mixing.ORACLE, "op6_decontamination": contamination.ORACLE,
-                           "op12_line_dedup": lines.ORACLE}
+                           "op12_line_dedup": lines.ORACLE, "op13_blocked_search": search.ORACLE}
