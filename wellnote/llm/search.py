@@ -2,7 +2,7 @@
 
 Scores are sums over an item's terms of weight times impact, all in whole numbers (see ``ORACLE``).
 The index keeps, of every text, the impacts of the terms that the items use.  Texts are ordered by
-a random-hyperplane signature of these vectors, so that similar texts are neighbours, and stored in
+the sampled text to whose vector theirs is nearest, so that similar texts are neighbours, and stored in
 pieces of at most ``PIECE`` neighbours.  In a piece each term's posting list is cut along that order into
 blocks, and each block carries a summary: the maximum of every coordinate over its texts, rounded
 up to a byte.
@@ -41,12 +41,13 @@ from wellnote.llm.common import ascii_lower, cut, shared_folder, shuffle_partiti
 
 TOP = 10
 PIECE = 4096
+#: Sampled texts around which the others are ordered, and buckets of terms in which they are compared.
+CENTRES, HASHED = 256, 4096
 #: Texts of a block; lists and rests of fewer than SHORT texts have no summary and are scored.
 BLOCK, SHORT = 64, 6
 #: Cells of the largest array that a piece is unpacked to: pieces over it are halved.
-CELLS = 1 << 24
+CELLS = 1 << 22
 ITEMS = 2000
-PLANES = 32
 #: Impacts are at most 10**6: a byte of a summary stands for this much.
 STEP = 4000
 _TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
@@ -99,44 +100,67 @@ def postings(docs: DataFrame, terms: DataFrame) -> DataFrame:
     return cut(listed.join(cut(wanted), "term").select("tid", "crc", "no_id", "id", "n", "term", "tf"))
 
 
-def _signed(vectors: DataFrame) -> DataFrame:
-    """The vectors with ``sign``: on which side of ``PLANES`` random planes each of them lies."""
-    names = vectors.columns
+def _unit_rows(lists: pa.Array, impacts: np.ndarray) -> np.ndarray:
+    """A row of length 1 for each list of terms: impacts summed into ``HASHED`` buckets of terms."""
+    coded = pc.dictionary_encode(lists.flatten())
+    bucket = np.array([int.from_bytes(blake2b(t.encode(), digest_size=4).digest()) % HASHED
+                       for t in coded.dictionary.to_pylist()], np.int64)
+    rows = np.repeat(np.arange(len(lists)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+    flat = np.bincount(rows * HASHED + bucket[coded.indices.to_numpy()], impacts, len(lists) * HASHED)
+    dense = flat.reshape(-1, HASHED).astype(np.float32)
+    return dense / np.maximum(np.sqrt((dense * dense).sum(1, keepdims=True)), 1e-9)
 
-    def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        weight = (np.uint64(1) << np.arange(PLANES, dtype=np.uint64))[::-1]
-        for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                lists, impacts = part.column(names.index("terms")), part.column(names.index("impacts"))
-                coded = pc.dictionary_encode(lists.flatten())
-                ends = np.cumsum(np.concatenate(([0], pc.list_value_length(lists).to_numpy(zero_copy_only=False))))
-                bits = b"".join(blake2b(t.encode(), digest_size=PLANES // 8).digest() for t in coded.dictionary.to_pylist())
-                planes = np.unpackbits(np.frombuffer(bits, np.uint8)).reshape(-1, PLANES) * np.float32(2) - 1
-                each = planes[coded.indices.to_numpy()] * impacts.flatten().to_numpy()[:, None].astype(np.float32)
-                # A vector has at least one entry.
-                sides = np.add.reduceat(each, ends[:-1], axis=0) > 0
-                signs = (sides * weight).sum(1).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(signs)], names=[*names, "sign"])
 
-    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in vectors.schema.fields)
-    return vectors.mapInArrow(sign, f"{schema}, sign long")
+def _chained(rows: np.ndarray) -> np.ndarray:
+    """The rows in an order in which each is the nearest to the one before among those left."""
+    left, order = list(range(1, len(rows))), [0]
+    while left:
+        near = rows[left] @ rows[order[-1]]
+        order.append(left.pop(int(np.argmax(near))))
+    return rows[order]
+
+
+def _impacts(found: DataFrame, rows: int, total: int) -> DataFrame:
+    length = F.expr(f"25 + (cast(75 as decimal(38, 0)) * n * {rows}) div {max(total, 1)}")
+    return found.filter("term <> ''").withColumn("m", length) \
+        .withColumn("c", F.expr("(1000000000 * tf) div (1000 * tf + 8 * m)").cast("int"))
 
 
-def vectors(found: DataFrame, rows: int, total: int) -> DataFrame:
-    """(tid, crc, no_id, id, terms, impacts, sign) of every different text with postings, under its smallest id.
+def placed_vectors(found: DataFrame, rows: int, total: int, centres: int = CENTRES) -> DataFrame:
+    """(tid, crc, no_id, id, terms, impacts, centre, near), stored: every different text with postings,
+    under its smallest id, and its place: the nearest of ``centres`` sampled texts and how near.
 
-    ``rows`` and ``total``: documents with terms, and all their terms.
+    ``rows`` and ``total``: documents with terms, and all their terms.  The sample is chosen by hashes and is
+    bounded; it steers the order of the texts, any choice gives the same results.
     """
     names = ["tid", "crc", "no_id", "id"]
-    first = found.filter("term = ''").groupBy("tid", "crc").agg(F.min(F.struct("no_id", "id")).alias("first")) \
-        .select("tid", "crc", "first.no_id", "first.id")
-    length = F.expr(f"25 + (cast(75 as decimal(38, 0)) * n * {rows}) div {max(total, 1)}")
-    impact = found.filter("term <> ''").withColumn("m", length) \
-        .withColumn("c", F.expr("(1000000000 * tf) div (1000 * tf + 8 * m)").cast("int"))
-    # Repeated rows of one id give equal entries, which a set holds once.
-    held = impact.join(first, names).groupBy(*names).agg(F.collect_set(F.struct("term", "c")).alias("v"))
-    return _signed(held.select(*names, F.col("v.term").alias("terms"), F.col("v.c").alias("impacts")))
+    first = cut(found.filter("term = '' and tf > 0").groupBy("tid", "crc")
+                .agg(F.min(F.struct("no_id", "id")).alias("first")).select("tid", "crc", "first.no_id", "first.id"))
+
+    def held(chosen: DataFrame) -> DataFrame:
+        # Repeated rows of one id give equal entries, which a set holds once.
+        return _impacts(found, rows, total).join(chosen, names).groupBy(*names) \
+            .agg(F.collect_set(F.struct("term", "c")).alias("v")) \
+            .select(*names, F.col("v.term").alias("terms"), F.col("v.c").alias("impacts"))
+
+    some = held(cut(first.orderBy(F.xxhash64("tid", F.lit("centre")), "crc").limit(centres))).toArrow()
+    if not some.num_rows:
+        some = pa.table({"terms": pa.array([[""]]), "impacts": pa.array([[1]], pa.list_(pa.int32()))})
+    lists, impacts = (some.column(c).combine_chunks() for c in ("terms", "impacts"))
+    middle = _chained(_unit_rows(lists, impacts.flatten().to_numpy()))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 512):
+                part = batch.slice(at, 512)
+                near = _unit_rows(part.column(4), part.column(5).flatten().to_numpy()) @ middle.T
+                best = near.argmax(1)
+                yield pa.RecordBatch.from_arrays(
+                    [*part.columns, pa.array(best.astype(np.int32)), pa.array(near[np.arange(len(best)), best])],
+                    names=[*names, "terms", "impacts", "centre", "near"])
+
+    return cut(held(first).mapInArrow(place, "tid long, crc long, no_id boolean, id long, terms array<string>, "
+                                             "impacts array<int>, centre int, near float"))
 
 
 def _blocked(names: list, terms: pa.Array, ends: np.ndarray, impacts: np.ndarray, piece: int, cells: int,
@@ -182,13 +206,12 @@ _INDEX_SQL = "tid array<long>, crc array<long>, no_id array<boolean>, id array<l
              "ends binary, at binary, impacts binary, listed binary, of_term binary, block_ends binary, bits binary, levels binary"
 
 
-def blocked_index(signed: DataFrame, piece: int = PIECE, cells: int = CELLS, block: int = BLOCK) -> DataFrame:
+def blocked_index(placed: DataFrame, piece: int = PIECE, cells: int = CELLS, block: int = BLOCK) -> DataFrame:
     """The vectors as index rows, stored: one row a piece of neighbours, with its posting lists in
     blocks and their summaries."""
-    spark = signed.sparkSession
-    # Ids split texts of one signature over several ranges.
-    dealt = cut(signed).repartitionByRange(shuffle_partitions(spark), "sign", "id", "tid") \
-        .sortWithinPartitions("sign", "id", "tid").select("tid", "crc", "no_id", "id", "terms", "impacts")
+    order = ["centre", "near", "id", "tid"]
+    dealt = placed.repartitionByRange(shuffle_partitions(placed.sparkSession), *order) \
+        .sortWithinPartitions(*order).select("tid", "crc", "no_id", "id", "terms", "impacts")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -330,7 +353,7 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, at_once: int = ITE
     weights = found.filter("term <> ''").groupBy("term").agg(F.count("*").alias("df")).select("term", weight.alias("w"))
     weighed = cut(wanted.join(weights, "term").select("item", "term", (F.col("q") * F.col("w")).alias("w")).filter("w > 0")
                   .groupBy("item").agg(F.collect_list(F.struct("term", "w")).alias("v")))
-    index = blocked_index(vectors(found, rows, total), piece, cells, block)
+    index = blocked_index(placed_vectors(found, rows, total), piece, cells, block)
     parts = max(1, -(-weighed.count() // at_once))
     path = f"{shared_folder(spark)}/wellnote-{uuid.uuid4().hex}"
     for part in range(parts):
