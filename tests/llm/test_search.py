@@ -90,8 +90,9 @@ def test_blocks_are_skipped_only_under_the_bar():
     rng = np.random.default_rng(3)
     n, width = 3000, 60
     names = [(0, 0, False, i) for i in range(n)]
-    # Two kinds of texts, in order, as their places would put them.
-    there = rng.random((n, width)) < np.where(np.arange(n)[:, None] < n // 2, 0.5 * (np.arange(width) < 30), 0.5 * (np.arange(width) >= 30))
+    # Thirty kinds of texts, one after the other as their places would put them, each with terms of its own.
+    own = np.array([rng.permutation(width) < 12 for _ in range(30)])
+    there = own[np.arange(n) // 100] & (rng.random((n, width)) < 0.6)
     there[:, 0] = True
     impacts = np.where(there, rng.integers(1, 1_000_000, (n, width)), 0)
     rows, at = np.nonzero(there)
@@ -109,4 +110,4 @@ def test_blocks_are_skipped_only_under_the_bar():
         scores = impacts[:, t] @ w
         want = sorted((-int(s), False, i) for i, s in enumerate(scores) if s > 0)[:10]
         assert [r[:3] for r in best.rows] == want
-    assert met > 1000 and skipped > 50, (met, skipped)
+    assert met > 500 and skipped > met // 4

@@ -40,13 +40,13 @@ from pyspark.sql import functions as F
 from wellnote.llm.common import ascii_lower, cut, shared_folder, shuffle_partitions
 
 TOP = 10
-PIECE = 4096
+PIECE = 2048
 #: Sampled texts around which the others are ordered, and buckets of terms in which they are compared.
 CENTRES, HASHED = 256, 4096
 #: Texts of a block; lists and rests of fewer than SHORT texts have no summary and are scored.
 BLOCK, SHORT = 64, 6
 #: Cells of the largest array that a piece is unpacked to: pieces over it are halved.
-CELLS = 1 << 22
+CELLS = 1 << 21
 ITEMS = 2000
 #: Impacts are at most 10**6: a byte of a summary stands for this much.
 STEP = 4000
