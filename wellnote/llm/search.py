@@ -41,12 +41,14 @@ from wellnote.llm.common import ascii_lower, cut, shared_folder, shuffle_partiti
 
 TOP = 10
 PIECE = 2048
+#: Postings of a piece, which bound the size of its row.
+POSTINGS = 1 << 15
 #: Sampled texts around which the others are ordered, and buckets of terms in which they are compared.
 CENTRES, HASHED = 256, 4096
 #: Texts of a block; lists and rests of fewer than SHORT texts have no summary and are scored.
 BLOCK, SHORT = 64, 6
 #: Cells of the largest array that a piece is unpacked to: pieces over it are halved.
-CELLS = 1 << 21
+CELLS = 1 << 20
 ITEMS = 2000
 #: Impacts are at most 10**6: a byte of a summary stands for this much.
 STEP = 4000
@@ -169,7 +171,7 @@ def _blocked(names: list, terms: pa.Array, ends: np.ndarray, impacts: np.ndarray
     n = len(names)
     coded = pc.dictionary_encode(terms)
     words, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int32)
-    if n > piece or n > 1 and n * len(words) > cells:
+    if n > piece or n > 1 and (n * len(words) > cells or len(at) > POSTINGS):
         half = min(piece, (n + 1) // 2) if n <= piece else piece
         cut_at = ends[half]
         yield from _blocked(names[:half], terms[:cut_at], ends[:half + 1], impacts[:cut_at], piece, cells, block)
