@@ -29,12 +29,13 @@ import re
 import uuid
 from collections import Counter
 from collections.abc import Iterator
+from contextlib import contextmanager
 from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wellnote.llm.common import ascii_lower, cut, shared_folder, shuffle_partitions
@@ -59,6 +60,18 @@ def terms_of(text: Column) -> Column:
     return F.regexp_extract_all(ascii_lower(F.coalesce(text, F.lit(""))), F.lit(_TERM), F.lit(0))
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most ``rows`` rows for the jobs inside: theirs are wide, and a batch is held as a whole."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 # ------------------------------------------------------------- index ----
 
 def _counted(docs: DataFrame) -> DataFrame:
@@ -161,8 +174,9 @@ def placed_vectors(found: DataFrame, rows: int, total: int, centres: int = CENTR
                     [*part.columns, pa.array(best.astype(np.int32)), pa.array(near[np.arange(len(best)), best])],
                     names=[*names, "terms", "impacts", "centre", "near"])
 
-    return cut(held(first).mapInArrow(place, "tid long, crc long, no_id boolean, id long, terms array<string>, "
-                                             "impacts array<int>, centre int, near float"))
+    with arrow_rows(found.sparkSession, 1024):
+        return cut(held(first).mapInArrow(place, "tid long, crc long, no_id boolean, id long, terms array<string>, "
+                                                 "impacts array<int>, centre int, near float"))
 
 
 def _blocked(names: list, terms: pa.Array, ends: np.ndarray, impacts: np.ndarray, piece: int, cells: int,
@@ -239,7 +253,8 @@ def blocked_index(placed: DataFrame, piece: int = PIECE, cells: int = CELLS, blo
         if held:
             yield from pieces()
 
-    return cut(dealt.mapInArrow(build, _INDEX_SQL))
+    with arrow_rows(placed.sparkSession, 1024):
+        return cut(dealt.mapInArrow(build, _INDEX_SQL))
 
 
 # ------------------------------------------------------------ search ----
@@ -362,7 +377,8 @@ def ranked(docs: DataFrame, items: DataFrame, top: int = TOP, at_once: int = ITE
         # About at_once items of the driver's at a time.
         some = [(r["item"], [x["term"] for x in r["v"]], [x["w"] for x in r["v"]])
                 for r in weighed.filter(F.pmod("item", F.lit(parts)) == part).collect()]
-        _search(index, some, top).write.mode("append").parquet(path)
+        with arrow_rows(spark, 4):
+            _search(index, some, top).write.mode("append").parquet(path)
     texts = spark.read.schema("item long, score long, no_id boolean, id long, tid long, crc long").parquet(path)
     order = [F.col("score").desc(), "no_id", "id", "tid", "crc"]
     place = F.row_number().over(Window.partitionBy("item").orderBy(*order))
