@@ -30,16 +30,16 @@ def shared_folder(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
-def cut(df: DataFrame) -> DataFrame:
+def cut(df: DataFrame, **options: str) -> DataFrame:
     """The rows written once to a Parquet table in the shared folder and read from there.
 
     Cuts the lineage so that lost executors cost a re-read of files; unlike a checkpoint the table
     is compressed, is read by column, and its size is known to the planner, which then decides by
-    its own threshold whether to broadcast it.
+    its own threshold whether to broadcast it.  ``options`` are those of the Parquet writer.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/wellnote-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -254,7 +254,8 @@ def blocked_index(placed: DataFrame, piece: int = PIECE, cells: int = CELLS, blo
             yield from pieces()
 
     with arrow_rows(placed.sparkSession, 1024):
-        return cut(dealt.mapInArrow(build, _INDEX_SQL))
+        # Values of megabytes: zstd needs no buffers of that size outside of the heap.
+        return cut(dealt.mapInArrow(build, _INDEX_SQL), compression="zstd")
 
 
 # ------------------------------------------------------------ search ----
