@@ -7,8 +7,9 @@ from pyspark.sql import types as T
 from conftest import rows
 from wellnote.operators.ingest import column_profile, dedupe, typed_projection, with_duplicate_flag
 from wellnote.sources.csv_dir import list_csv_files, read_csv_text, table_name
-from wellnote.sources.paged import MissingPages, read_json_records, read_pages, records_of_responses, responses_of
+from wellnote.sources.paged import MissingPages, read_json_records, read_pages, records_of_responses
 from wellnote.sources.tables import TableSpec, csv_specs, load_all, prepare, write_table
+from wellnote.plans.inputs import landed_answers
 from wellnote.schemas import NA_TOKENS, NOTE_TABLE, USER_TABLE
 
 CSV_EDGE = (
@@ -138,7 +139,7 @@ def test_missing_pages_fail_the_read(spark, options):
 def test_landed_responses(spark):
     rows_ = spark.range(2345).select(F.col("id").alias("place"), F.col("id").cast("string").alias("k"),
                                      F.when(F.col("id") % 3 == 0, None).otherwise("NA").alias("t"))
-    answers = responses_of(rows_, "place", 100)
+    answers = landed_answers(rows_, "place", 100)
     assert answers.count() == 24
     got = records_of_responses(answers, ["k", "t"])
     assert rows(got) == rows(rows_, "k", "t")
@@ -185,7 +186,7 @@ def test_json_text_is_no_missing_value(spark, scratch):
         f.write('[{"user_id": 1, "handle": "NA"},\n {"user_id": 2, "handle": "N/A"},\n {"user_id": 3, "handle": ""},\n'
                 ' {"user_id": 4, "handle": null}]')
     got = prepare(read_json_records(spark, path, ["user_id", "handle"], arrays=True), USER_TABLE)
-    assert sorted((r.user_id, r.handle) for r in got.collect()) == [(1, "NA"), (2, "N/A"), (3, ""), (4, None)]
+    assert sorted((r.user_id, r.handle) for r in got.collect()) == [(1, "NA"), (2, "N/A"), (3, None), (4, None)]
     csv = spark.createDataFrame([("1", "NA")], "user_id string, handle string")
     assert prepare(csv, USER_TABLE, missing=NA_TOKENS).first().handle is None
 

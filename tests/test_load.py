@@ -1,0 +1,177 @@
+import json
+import os
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from conftest import rows
+from wellnote.operators.ingest import inferred_projection, inferred_types
+from wellnote.plans.inputs import landed_answers
+from wellnote.schemas import NA_TOKENS
+from wellnote.sources.paged import MissingPages, records_and_types, records_of_responses
+from wellnote.sources.tables import csv_specs, json_spec, load_all, write_table
+
+D, L, B, S = T.DoubleType(), T.LongType(), T.BooleanType(), T.StringType()
+
+COLUMNS = {
+    "integers": (["1", "-7", "+5", " 12 ", None], L), "limits": (["9223372036854775807", "-9223372036854775808"], L),
+    "too_wide": (["1", "9223372036854775808"], S), "too_wide_and_doubles": (["99999999999999999999", "1.5"], D),
+    "doubles": (["1", "2.5", ".5", "5.", "1e3", "-1E-2"], D), "infinite": (["inf", "1"], D),
+    "truths": (["True", "false", None, "TRUE"], B), "truth_and_number": (["True", "1"], S), "yes": (["yes", "no"], S),
+    "nulls": ([None, None], D), "text": (["1", "a"], S), "late_text": (["1.5"] * 50 + ["1,5"], S), "zeros": (["007", "010"], L),
+    "hex": (["0x10"], S), "dates": (["2024-01-02"], S), "blank": ([" "], S), "sign": (["-"], S), "dots": (["."], S)}
+
+
+@pytest.mark.parametrize("name", COLUMNS)
+def test_types_of_columns(spark, name):
+    values, kind = COLUMNS[name]
+    df = spark.createDataFrame([(v,) for v in values], "c string").repartition(3)
+    assert inferred_types(df, ["c"]) == {"c": kind}
+
+
+def test_values_of_inferred_columns(spark):
+    df = spark.createDataFrame([("9223372036854775807", "5.", "TRUE", "NA", "x"), (" 12 ", "1e3", "false", "", "7")],
+                               "i string, d string, b string, n string, t string")
+    got = inferred_projection(df, missing=NA_TOKENS)
+    assert [f.dataType for f in got.schema.fields] == [L, D, B, D, S]
+    assert rows(got) == sorted([(9223372036854775807, 5.0, True, None, "x"), (12, 1000.0, False, None, "7")], key=repr)
+
+
+def test_declared_columns_keep_their_types(spark):
+    df = spark.createDataFrame([("007", "name", "1.5"), ("x", "8", "2")], "areamerrickid string, areaname string, extra string")
+    got = inferred_projection(df, "areatb")
+    assert [f.dataType for f in got.schema.fields] == [T.IntegerType(), S, D]
+    assert rows(got) == sorted([(7, "name", 1.5), (None, "8", 2.0)], key=repr)
+
+
+def test_inference_is_one_combined_aggregate(spark):
+    from wellnote.operators.ingest import kind_of_text
+    df = spark.createDataFrame([("1", "a")] * 10, "x string, y string")
+    plan = df.agg(*[F.bit_or(kind_of_text(F.col(c))) for c in df.columns])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_bit_or" in plan
+
+
+def test_csv_folder_through_the_load(spark, scratch):
+    with open(os.path.join(scratch, "odd.csv"), "w") as f:
+        f.write('id,note,n\n1,"line\nbreak",2\n2,short\n3,"say ""hi""",4\n')
+    with open(os.path.join(scratch, "wide.csv"), "w") as f:
+        f.write("a,b\n1,2,3\n")
+    db = f"stg_{uuid.uuid4().hex[:8]}"
+    report = {r.table: (r.rows, r.status) for r in load_all(spark, csv_specs(spark, scratch), db).collect()}
+    assert report["odd"] == (3, "loaded") and report["wide"] == (None, "failed")
+    t = spark.table(f"{db}.odd")
+    assert [f.dataType for f in t.schema.fields] == [L, S, L]
+    assert rows(t) == sorted([(1, "line\nbreak", 2), (2, "short", None), (3, 'say "hi"', 4)], key=repr)
+
+
+def test_json_folder_through_the_load(spark, scratch):
+    records = [{"id": 1, "code": "007", "v": 1}, {"id": 2, "v": 2.5, "t": True}, {"id": 3, "code": "", "big": 2**64}]
+    with open(os.path.join(scratch, "p.json"), "w") as f:
+        f.writelines(json.dumps(r) + "\n" for r in records)
+    db = f"stg_{uuid.uuid4().hex[:8]}"
+    assert load_all(spark, [json_spec("feed", scratch)], db).first().rows == 3
+    t = spark.table(f"{db}.feed").select("id", "code", "v", "t", "big")
+    assert [f.dataType for f in t.schema.fields] == [L, S, D, B, S]
+    assert rows(t) == sorted([(1, "007", 1.0, None, None), (2, None, 2.5, True, None),
+                              (3, None, None, None, str(2**64))], key=repr)
+
+
+# ------------------------------------------------------ landed answers ----
+
+def answers(spark, pages, total):
+    return spark.createDataFrame([(at, f"{at}-{at + len(p) - 1}/{total}", json.dumps(p)) for at, p in pages],
+                                 "offset long, content_range string, body string")
+
+
+def test_union_of_keys_in_order_of_appearance(spark):
+    pages = [(2, [{"late": "x", "id": 3}]), (0, [{"id": 1, "code": "01"}, {"id": 2, "v": 1.0, "code": None}])]
+    text, types = records_and_types(answers(spark, pages, 3))
+    assert text.columns == ["id", "code", "v", "late"] == list(types)
+    assert types == {"id": L, "code": S, "v": D, "late": S}
+    assert rows(text) == sorted([("1", "01", None, None), ("2", None, "1.0", None), ("3", None, None, "x")], key=repr)
+    assert records_of_responses(answers(spark, pages, 3)).columns == text.columns
+
+
+def test_kinds_of_json_values(spark):
+    page = [{"a": 1, "b": True, "c": [1], "d": "5", "e": 1, "f": None, "g": 2**70, "h": 1}, {"a": 2.5, "b": None, "c": 1, "d": 5, "e": False, "h": {"z": 1}}]
+    _, types = records_and_types(answers(spark, [(0, page)], 2))
+    assert types == {"a": D, "b": B, "c": S, "d": S, "e": S, "f": S, "g": S, "h": S}
+
+
+@pytest.mark.parametrize("pages,total", [
+    ([(0, [{}] * 3), (5, [{}] * 2)], 7),             # a gap
+    ([(0, [{}] * 3), (2, [{}] * 2), (5, [{}] * 2)], 7),   # an overlap of the gap's size
+    ([(1, [{}] * 6)], 7), ([(0, [{}] * 6)], 7), ([(0, [{}] * 3), (3, [])], 7)])
+def test_pages_must_lie_end_to_end(spark, pages, total):
+    with pytest.raises(MissingPages):
+        records_of_responses(answers(spark, pages, total), ["k"])
+
+
+def test_pages_asked_for_twice(spark):
+    got = records_of_responses(answers(spark, [(0, [{"k": 1}, {"k": 2}]), (0, [{"k": 1}, {"k": 2}]), (2, [{"k": 3}])], 3))
+    assert rows(got) == [("1",), ("1",), ("2",), ("2",), ("3",)]
+    assert records_of_responses(answers(spark, [(0, [])], 0), ["k"]).count() == 0
+    text, _ = records_and_types(landed_answers(spark.range(25).select("id", F.col("id").alias("place")), "place", 10))
+    assert text.count() == 25
+
+
+# ---------------------------------------------------------------- swap ----
+
+class Lost(Exception):
+    pass
+
+
+@pytest.mark.parametrize("step", range(8))
+def test_a_writer_lost_at_any_step_leaves_a_whole_table(spark, monkeypatch, step):
+    db = f"stg_{uuid.uuid4().hex[:8]}"
+    for k in range(3):
+        write_table(spark.range(k + 1).toDF("v"), db, "t")
+    plain, calls = type(spark).sql, []
+
+    def dying(self, text, *a, **b):
+        if len(calls) == step:
+            raise Lost(text)
+        calls.append(text)
+        out = plain(self, text, *a, **b)
+        # Another session reads between any two steps.
+        assert self.newSession().table(f"{db}.t").count() in (3, 10)
+        return out
+
+    monkeypatch.setattr(type(spark), "sql", dying)
+    try:
+        write_table(spark.range(10).toDF("v"), db, "t")
+        done = True
+    except Lost:
+        done = False
+    monkeypatch.undo()
+    assert spark.table(f"{db}.t").count() in ((10,) if done else (3, 10))
+    write_table(spark.range(4).toDF("v"), db, "t")
+    assert rows(spark.table(f"{db}.t")) == [(0,), (1,), (2,), (3,)]
+    assert len([r for r in spark.sql(f"SHOW TABLES IN {db}").collect() if r.tableName.startswith("t__v_")]) == 2
+
+
+def test_a_failing_write_leaves_the_old_rows(spark):
+    db = f"stg_{uuid.uuid4().hex[:8]}"
+    write_table(spark.range(3).toDF("v"), db, "t")
+    bad = spark.range(10).select(F.when(F.col("id") == 9, F.raise_error(F.lit("broken")).cast("long")).otherwise(F.col("id")).alias("v"))
+    with pytest.raises(Exception, match="broken"):
+        write_table(bad, db, "t", raw=spark.range(1))
+    assert spark.table(f"{db}.t").count() == 3
+
+
+def test_a_query_begun_before_the_swap_ends_on_the_old_rows(spark):
+    db = f"stg_{uuid.uuid4().hex[:8]}"
+    write_table(spark.range(3).toDF("v"), db, "t")
+    begun = spark.table(f"{db}.t")
+    write_table(spark.range(5).toDF("w"), db, "t")
+    assert begun.count() == 3 and spark.table(f"{db}.t").columns == ["w"]
+
+
+def test_a_table_from_elsewhere_becomes_a_version(spark):
+    db = f"stg_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db}")
+    spark.range(3).toDF("v").write.saveAsTable(f"{db}.t")
+    write_table(spark.range(5).toDF("v"), db, "t")
+    assert spark.table(f"{db}.t").count() == 5

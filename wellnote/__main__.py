@@ -18,13 +18,12 @@ from wellnote.schemas import API_TABLES
 
 
 def load_specs(spark, csv_dir: str | None, pages_dir: str | None, mode: str):
-    from wellnote.sources.paged import read_json_records
-    from wellnote.sources.tables import TableSpec, csv_specs
+    from wellnote.sources.tables import csv_specs, json_spec
     specs = csv_specs(spark, csv_dir, mode) if csv_dir else []
     for t in API_TABLES if pages_dir else ():
         path = f"{pages_dir.rstrip('/')}/{t}"
         if exists(spark, path):
-            specs.append(TableSpec(t, (lambda s, p=path: read_json_records(s, p)), mode))
+            specs.append(json_spec(t, path, mode))
     return specs
 
 

@@ -3,12 +3,13 @@ dedupe, duplicate flag and column profile.
 
 Landed data is read as text (CSV, JSON pages) and typed here, by column
 *name*: a declared schema overrides types of the columns it names, other
-columns stay text, declared-but-absent columns are ignored.
+columns get the type that their values have in common
+(:func:`inferred_types`), declared-but-absent columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,14 +42,68 @@ def cast_text(col: Column, dtype: T.DataType) -> Column:
     return col.try_cast(dtype)
 
 
+# Kinds of values, one bit each, so that the kinds of a column are one aggregate (``bit_or``).
+BOOLEAN, INTEGER, DOUBLE, TEXT, WIDE = 1, 2, 4, 8, 16
+# --- fixed values: how the source systems' CSV reader writes truth values
+TRUTH_VALUES = ["True", "TRUE", "true", "False", "FALSE", "false"]
+_INTEGER = r"^[ \t]*[+-]?\d+[ \t]*$"
+_DOUBLE = r"^[ \t]*[+-]?(?:(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?|(?i:inf|infinity))[ \t]*$"
+
+
+def kind_of_text(c: Column) -> Column:
+    """The kind of one value given as text; NULL for NULL.  An integer that 64 bits cannot hold is ``WIDE``."""
+    number = F.when(F.rlike(c, F.lit(_INTEGER)), F.when(F.trim(c).try_cast("long").isNotNull(), INTEGER).otherwise(WIDE)) \
+        .when(F.rlike(c, F.lit(_DOUBLE)), DOUBLE).otherwise(TEXT)
+    return F.when(c.isNotNull(), F.when(c.isin(TRUTH_VALUES), BOOLEAN).otherwise(number))
+
+
+def type_of_kinds(kinds: int | None, empty: T.DataType | None = None) -> T.DataType:
+    """The type that holds all kinds of values of a column: truth values alone, integers, or
+    doubles, which take integers in; everything else, also integers over 64 bits, stays text.  NULLs do not
+    count; a column of nothing else is ``empty`` (default: double, as a CSV read has it)."""
+    kinds = kinds or 0
+    if not kinds:
+        return empty or T.DoubleType()
+    if kinds == BOOLEAN:
+        return T.BooleanType()
+    if kinds == INTEGER:
+        return T.LongType()
+    if kinds & DOUBLE and not kinds & (BOOLEAN | TEXT):
+        return T.DoubleType()
+    return T.StringType()
+
+
+def inferred_types(df: DataFrame, columns: Sequence[str]) -> dict[str, T.DataType]:
+    """The common type of each text column's values: one aggregate over all columns, combined in
+    every task before anything is shuffled, so only one number a column reaches the driver."""
+    if not columns:
+        return {}
+    found = df.agg(*[F.bit_or(kind_of_text(F.col(f"`{c}`"))).alias(f"c{i}") for i, c in enumerate(columns)]).first()
+    return {c: type_of_kinds(found[i]) for i, c in enumerate(columns)}
+
+
+def undeclared(df: DataFrame, table: str | None = None,
+               declared: Sequence[tuple[str, T.DataType]] | None = None) -> list[str]:
+    """Text columns of a typed projection that no declaration names."""
+    known = dict(declared if declared is not None else DECLARED.get(table or "", []))
+    return [f.name for f in df.schema.fields if f.name not in known and isinstance(f.dataType, T.StringType)]
+
+
+def with_types(df: DataFrame, types: Mapping[str, T.DataType]) -> DataFrame:
+    """Text columns cast to the types given."""
+    return df.select(*[cast_text(F.col(f"`{f.name}`"), types[f.name]).alias(f.name)
+                       if f.name in types and isinstance(f.dataType, T.StringType)
+                       else F.col(f"`{f.name}`") for f in df.schema.fields])
+
+
 def typed_projection(df: DataFrame, table: str | None = None,
                      declared: Sequence[tuple[str, T.DataType]] | None = None,
                      aliases: dict[str, str] | None = None,
                      missing: Sequence[str] = NA_TOKENS) -> DataFrame:
     """Rename known header variants, turn the source's ``missing`` tokens into
     NULL, cast the declared columns, keep the rest as text (column order
-    preserved).  The tokens are those of a CSV read; a source with typed
-    records (JSON) has none, there the text ``NA`` is a value."""
+    preserved; :func:`inferred_projection` types them too).  The tokens are those of
+    a CSV read; in a source with typed records (JSON) only the empty text is missing, ``NA`` is a value."""
     decl = dict(declared if declared is not None else DECLARED.get(table or "", []))
     alias = aliases if aliases is not None else HEADER_ALIASES.get(table or "", {})
     out = df
@@ -63,6 +118,19 @@ def typed_projection(df: DataFrame, table: str | None = None,
         else F.col(c) for c in out.columns])
 
 
+def inferred_projection(df: DataFrame, table: str | None = None,
+                        declared: Sequence[tuple[str, T.DataType]] | None = None,
+                        aliases: dict[str, str] | None = None, missing: Sequence[str] = NA_TOKENS,
+                        types: Mapping[str, T.DataType] | None = None) -> DataFrame:
+    """:func:`typed_projection` with the undeclared text columns cast as well: to ``types`` where the
+    source knows them (JSON), else to the type their values have in common, for which the input
+    is read once more when this is called."""
+    typed = typed_projection(df, table, declared, aliases, missing)
+    left = undeclared(typed, table, declared)
+    return with_types(typed, {c: t for c, t in types.items() if c in left} if types is not None
+                      else inferred_types(typed, left))
+
+
 def dedupe(df: DataFrame) -> DataFrame:
     """Full-row dedupe (NULL equals NULL, NaN equals NaN)."""
     return df.dropDuplicates()

@@ -51,7 +51,7 @@ def oracle_sql() -> dict[str, str]:
 
 def _load_all():
     # importing the modules registers their queries
-    from wellnote.plans import driver_operators, driver_queries  # noqa: F401
+    from wellnote.plans import driver_ingest, driver_operators, driver_queries  # noqa: F401
 
 
 def wells(spark: SparkSession, sf_dir: str):

@@ -16,9 +16,9 @@ from wellnote.plans import oracle as O
 from wellnote.plans import production as P
 from wellnote.plans import spacing as SP
 from wellnote.plans.driver import notes, register, wells
-from wellnote.plans.inputs import LARGE_KEY, dx_landed_orders, dx_numbered_events
+from wellnote.plans.inputs import LARGE_KEY, dx_landed_orders, dx_numbered_events, landed_answers
 from wellnote.plans.oracle import rnd, with_ctes, with_note_ctes, with_spacing_ctes
-from wellnote.schemas import NA_TOKENS
+from wellnote.schemas import EMPTY_TEXT, NA_TOKENS
 from wellnote.session import ensure_checkpoint_dir, written_once
 
 PL = O.PLACES
@@ -103,21 +103,21 @@ EVENTS_DECLARED = [("event_id", T.LongType()), ("ts", T.TimestampNTZType()),
 
 
 @register("paged_source", f"""select event_id, ts, user_id, event_type, round(value, {PL}) as value,
-    props from events""")
+    nullif(props, '') as props from events""")
 def q_paged_source(spark, sf_dir):
     # The events as the answers of a paged interface, landed in the shared folder and decoded from there.
-    from wellnote.sources.paged import records_of_responses, responses_of
+    from wellnote.sources.paged import records_of_responses
     names = [c for c, _ in EVENTS_DECLARED]
-    answers = written_once(responses_of(dx_numbered_events(spark, sf_dir).select(
+    answers = written_once(landed_answers(dx_numbered_events(spark, sf_dir).select(
         "place", *[F.col(c).cast("string").alias(c) for c in names]), "place"))
-    return G.typed_projection(records_of_responses(answers, names), declared=EVENTS_DECLARED, missing=())
+    return G.typed_projection(records_of_responses(answers, names), declared=EVENTS_DECLARED, missing=EMPTY_TEXT)
 
 
 @register("json_records", """select user_id, event_type, case when event_id % 5 = 0 then 'NA' when event_id % 7 = 0
-    then '' else concat('N/A ', event_type) end as remark, cast(event_id + 9007199254740993 as bigint) as event_id
+    then null else concat('N/A ', event_type) end as remark, cast(event_id + 9007199254740993 as bigint) as event_id
     from events""")
 def q_json_records(spark, sf_dir):
-    # Records of a JSON feed keep texts that a CSV read would take for missing values.
+    # Records of a JSON feed keep texts that a CSV read would take for missing values; the empty text is missing.
     from wellnote.sources.paged import read_json_records
     e = _read(spark, sf_dir, "events")
     eid = F.col("event_id")
@@ -127,7 +127,7 @@ def q_json_records(spark, sf_dir):
     path = _landing(spark)
     landed.write.json(path)
     text = read_json_records(spark, path, ["user_id", "event_type", "remark", "event_id"])
-    return G.typed_projection(text, declared=[("user_id", T.LongType()), ("event_id", T.LongType())], missing=())
+    return G.typed_projection(text, declared=[("user_id", T.LongType()), ("event_id", T.LongType())], missing=EMPTY_TEXT)
 
 
 def _landing(spark):
@@ -157,7 +157,8 @@ def _loaded(spark, sf_dir):
         raise OSError("the feed cannot be reached")
 
     specs = [TableSpec("orders", lambda s: orders, "dedupe", NA_TOKENS),
-             TableSpec("orders", lambda s: orders.where("o_orderstatus = 'F'"), "dedupe", NA_TOKENS),
+             TableSpec("orders", lambda s: orders.withColumn("o_orderstatus", F.concat("o_orderstatus", F.lit("2"))), "dedupe",
+                       NA_TOKENS),
              TableSpec("flagged", lambda s: orders, "flag", NA_TOKENS),
              TableSpec("nothing", lambda s: orders.where("o_custkey is null")),
              TableSpec("broken", unreachable)]
@@ -170,8 +171,8 @@ _LANDED_TEXT = f"""select {_clean('o_custkey')} as o_custkey, {_clean('o_orderst
 
 @register("load_report", with_ctes("""select 'orders' as "table", (select count(*) from (select distinct o_custkey,
       o_orderstatus, o_orderpriority from t)) as rows, 'loaded' as status, false as failed
-    union all select 'orders', (select count(*) from (select distinct o_custkey, o_orderstatus, o_orderpriority
-      from t where landed = 'F')), 'loaded', false
+    union all select 'orders', (select count(*) from (select distinct o_custkey, concat(landed, '2'), o_orderpriority
+      from t)), 'loaded', false
     union all select 'flagged', (select count(*) from t), 'loaded', false
     union all select 'nothing', 0, 'skipped_empty', false
     union all select 'broken', null, 'failed', true""", {"t": _LANDED_TEXT}))
@@ -180,8 +181,8 @@ def q_load_report(spark, sf_dir):
     return report.select("table", "rows", "status", F.col("error").isNotNull().alias("failed"))
 
 
-@register("staging_overwrite", with_ctes("""select distinct o_custkey, o_orderstatus, o_orderpriority from t
-    where landed = 'F'""", {"t": _LANDED_TEXT}))
+@register("staging_overwrite", with_ctes("""select distinct o_custkey, concat(landed, '2') as o_orderstatus, o_orderpriority
+    from t""", {"t": _LANDED_TEXT}))
 def q_staging_overwrite(spark, sf_dir):
     db, _ = _loaded(spark, sf_dir)
     return spark.table(f"{db}.orders")

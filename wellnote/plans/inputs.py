@@ -232,3 +232,37 @@ def dx_numbered_events(spark, sf_dir):
     e = _read(spark, sf_dir, "events")
     first = e.agg(F.min("event_id").alias("m")).first()["m"]
     return e.withColumn("place", F.col("event_id") - F.lit(first))
+
+
+def landed_answers(records: DataFrame, order: str, page_size: int = 1000) -> DataFrame:
+    """``records`` as the landed answers (offset, content_range, body) of the paged feeds.
+
+    ``order`` numbers the records from 0 without gaps; bodies are JSON arrays of one page, and NULLs
+    are keys that a record lacks.
+    """
+    total = records.agg(F.count(F.lit(1)).alias("total"))
+    columns = [c for c in records.columns if c != order]
+    page = F.floor(F.col(order) / page_size)
+    pages = records.groupBy(page.alias("page")).agg(
+        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct(order, F.struct(*columns).alias("r")))),
+                              lambda x: x["r"])).alias("body"), F.count(F.lit(1)).alias("n"))
+    offset = F.col("page") * page_size
+    return pages.join(total).select(
+        offset.alias("offset"),
+        F.concat(offset.cast("string"), F.lit("-"), (offset + F.col("n") - 1).cast("string"), F.lit("/"),
+                 F.col("total").cast("string")).alias("content_range"), "body")
+
+
+def land_csv_files(records: DataFrame, header: str, directory: str, stem: str) -> None:
+    """Lines of CSV text (column ``record``) as files ``stem_0.csv``, ``stem_1.csv``, ... of one folder, each
+    with the header: as many as the records have partitions.  Any Hadoop file system."""
+    spark = records.sparkSession
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    path = f"{directory}/_{stem}"
+    records.select(F.when(first, F.concat(F.lit(header + "\n"), F.col("record"))).otherwise(F.col("record")).alias("record")) \
+        .write.text(path)
+    of = spark._jvm.org.apache.hadoop.fs.Path
+    fs = of(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    names = sorted(f.getPath().getName() for f in fs.listStatus(of(path)) if f.getPath().getName().startswith("part-"))
+    for k, name in enumerate(names):
+        fs.rename(of(f"{path}/{name}"), of(f"{directory}/{stem}_{k}.csv"))

@@ -1,8 +1,8 @@
 """Declared staging schemas, header aliases and missing-value tokens.
 
 A declared schema is an *override*, not a contract: declared columns that are
-present get cast, undeclared columns are carried through as strings, declared
-columns that are absent are ignored.
+present get cast, undeclared columns get the type that their values have in
+common, declared columns that are absent are ignored.
 """
 
 from __future__ import annotations
@@ -99,6 +99,9 @@ NA_TOKENS = [
     "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null", "NaT",
 ]
 
+# --- fixed value: the one text that the load of a JSON feed turns into NULL
+EMPTY_TEXT = [""]
+
 # The note and user feeds (staging table names, fixed values).
 NOTE_TABLE = "wiserock_note"
 USER_TABLE = "wiserock_user"

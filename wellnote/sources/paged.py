@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from wellnote.operators.ingest import BOOLEAN, TEXT, kind_of_text, type_of_kinds
+from wellnote.session import written_once
+
 SOURCE_NAME = "paged_records"
 # --- fixed value: records per page of the source systems' REST interface
 DEFAULT_PAGE_SIZE = 1000
@@ -121,45 +124,92 @@ def read_pages(spark: SparkSession, fetcher: type, page_size: int = DEFAULT_PAGE
     return r.load()
 
 
-def responses_of(records: DataFrame, order: str, page_size: int = DEFAULT_PAGE_SIZE) -> DataFrame:
-    """``records`` as the answers (offset, content_range, body) a paged interface would give for them.
+def _decoded(responses: DataFrame) -> DataFrame:
+    """(offset, content_range, bad, records), stored: every answer decoded once.  A record is the texts of its
+    values by key, and the kinds of these values (:mod:`wellnote.operators.ingest`)."""
+    texts = F.from_json("body", T.ArrayType(T.MapType(T.StringType(), T.StringType())))
+    values = F.from_json("body", "array<map<string,variant>>")
+    number = lambda text: F.coalesce(kind_of_text(text), F.lit(TEXT))
+    kind = lambda value, text: F.when(F.schema_of_variant(value) == "VOID", F.lit(0)).when(
+        F.schema_of_variant(value) == "BOOLEAN", F.lit(BOOLEAN)).when(
+        F.rlike(F.schema_of_variant(value), F.lit("^(BIGINT|DECIMAL|DOUBLE|FLOAT)")), number(text)).otherwise(TEXT)
+    record = F.transform(F.arrays_zip("texts", "values"), lambda r: F.struct(
+        r["texts"].alias("texts"),
+        F.map_from_entries(F.transform(F.map_entries(r["values"]), lambda e: F.struct(
+            e["key"].alias("key"), kind(e["value"], F.try_element_at(r["texts"], e["key"])).alias("kind")))).alias("kinds")))
+    both = responses.select("offset", "content_range", texts.alias("texts"), values.alias("values"))
+    return written_once(both.select("offset", "content_range", F.col("texts").isNull().alias("bad"), record.alias("records")))
+
+
+def _check_pages(decoded: DataFrame) -> None:
+    """Raises unless the pages lie end to end from the first record to the announced total."""
+    told = F.regexp_extract("content_range", r"/(\d+)", 1)
+    # Answers of one offset are the same page asked for again.
+    pages = decoded.groupBy("offset").agg(
+        F.max(F.when(told != "", told.cast("long"))).alias("total"),
+        F.max(F.coalesce(F.size("records"), F.lit(0))).alias("n"), F.count(F.when(F.col("bad"), 1)).alias("bad"))
+    pages = written_once(pages)
+    found = pages.agg(F.max("total").alias("total"), F.sum("bad").alias("bad"), F.min("offset").alias("first")).first()
+    total = found["total"]
+    if found["bad"]:
+        raise MissingPages(f"{found['bad']} unreadable answers")
+    if total is None:
+        return
+    # Every page ends where another begins, or at the total; with a first page none is missing then.
+    ends = pages.where(F.col("offset") < total).select((F.col("offset") + F.col("n")).alias("end"), "offset", "n")
+    loose = ends.where(F.col("end") != total).join(pages.where("n > 0").select(F.col("offset").alias("begin")),
+                                                   F.col("end") == F.col("begin"), "left_anti")
+    lost = loose.unionByName(ends.where("n = 0")).agg(F.min("end").alias("end"), F.count(F.lit(1)).alias("n")).first()
+    if lost["n"] or (total > 0 and found["first"] != 0):
+        at = lost["end"] if lost["n"] else 0
+        raise MissingPages(f"records from {at} on did not come with the answers; {total} announced")
+
+
+def keys_of_records(decoded: DataFrame) -> DataFrame:
+    """(key, kinds): the union of all records' keys in the order in which they first come, with the kinds of
+    their values.  One aggregate, combined in every task."""
+    rows = decoded.select("offset", F.posexplode("records").alias("at", "r"))
+    keys = rows.select("offset", "at", F.posexplode(F.map_keys("r.kinds")).alias("nth", "key"), F.col("r.kinds").alias("k"))
+    return keys.groupBy("key").agg(F.min(F.struct("offset", "at", "nth")).alias("first"),
+                                   F.bit_or(F.try_element_at("k", F.col("key"))).alias("kinds")) \
+        .orderBy("first").select("key", "kinds")
+
+
+def records_and_types(responses: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, dict[str, T.DataType]]:
+    """:func:`records_of_responses` and the type of each column: that of its JSON values, where text
+    stays text whatever it looks like; a column of NULLs alone is text."""
+    decoded = _decoded(responses)
+    _check_pages(decoded)
+    types = {r["key"]: type_of_kinds(r["kinds"], T.StringType()) for r in keys_of_records(decoded).collect()}
+    names = list(columns) if columns is not None else list(types)
+    rows = decoded.select(F.explode("records").alias("r"))
+    return rows.select(*[F.try_element_at("r.texts", F.lit(c)).alias(c) for c in names]), types
 
-    ``order`` numbers the records from 0 without gaps; bodies are JSON arrays of one page.
-    """
-    total = records.count()
-    columns = [c for c in records.columns if c != order]
-    page = (F.col(order) / page_size).cast("long")
-    pages = records.groupBy(page.alias("page")).agg(
-        F.to_json(F.transform(F.array_sort(F.collect_list(F.struct(order, F.struct(*columns).alias("r")))),
-                              lambda x: x["r"])).alias("body"), F.count(F.lit(1)).alias("n"))
-    offset = F.col("page") * page_size
-    return pages.select(
-        offset.alias("offset"),
-        F.concat(offset.cast("string"), F.lit("-"), (offset + F.col("n") - 1).cast("string"), F.lit("/"),
-                 F.lit(str(total))).alias("content_range"), "body")
-
-
-def records_of_responses(responses: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The records of landed answers (offset, content_range, body) as text columns.
+
+def records_of_responses(responses: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """The records of landed answers (offset, content_range, body) as text columns: those
+    named, or the union of all records' keys.
 
     A key missing from a record is NULL, every value is kept as its text.  Raises
-    :class:`MissingPages` when fewer records came than announced, or a body is
+    :class:`MissingPages` when announced records did not come, or a body is
     no JSON array; an answer without a total is one page and the whole feed.
     A page that landed twice is counted once and gives its records twice (the
-    load removes full duplicates).
+    load removes full duplicates).  The answers are decoded once, into the shared folder, when this is called.
     """
-    record = T.MapType(T.StringType(), T.StringType())
-    decoded = responses.select("offset", "content_range", F.from_json("body", T.ArrayType(record)).alias("records"))
-    told = F.regexp_extract("content_range", r"/(\d+)", 1)
-    # Answers of one offset are the same page asked for again.
-    pages = decoded.groupBy("offset").agg(
-        F.max(F.when(told != "", told.cast("long"))).alias("total"),
-        F.max(F.size("records")).alias("n"), F.count(F.when(F.col("records").isNull(), 1)).alias("bad"))
-    found = pages.agg(F.max("total").alias("total"), F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
-    if found["bad"] or found["total"] is not None and found["n"] != found["total"]:
-        raise MissingPages(f"{found['n']} of {found['total']} announced records, {found['bad'] or 0} unreadable answers")
+    if columns is None:
+        return records_and_types(responses)[0]
+    decoded = _decoded(responses)
+    _check_pages(decoded)
     rows = decoded.select(F.explode("records").alias("r"))
-    return rows.select(*[F.col("r")[c].alias(c) for c in columns])
+    return rows.select(*[F.try_element_at("r.texts", F.lit(c)).alias(c) for c in columns])
+
+
+def json_types(spark: SparkSession, path: str, arrays: bool = False) -> dict[str, T.DataType]:
+    """Keys of landed record files and the types of their values: truth values, integers and
+    doubles; anything else, also mixed kinds and integers over 64 bits, is text."""
+    found = spark.read.option("multiLine", arrays).option("mode", "FAILFAST").json(path).schema
+    plain = (T.BooleanType, T.LongType, T.DoubleType)
+    return {f.name: f.dataType if isinstance(f.dataType, plain) else T.StringType() for f in found.fields}
 
 
 def read_json_records(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
