@@ -117,6 +117,18 @@ def test_pages_asked_for_twice(spark):
     assert text.count() == 25
 
 
+def test_profile_shows_the_first_delivered_value(spark, scratch):
+    from wellnote.operators.ingest import delivered_profile, with_file_places
+    path = os.path.join(scratch, "t.csv")
+    with open(path, "w") as f:
+        f.write("id,a,b\n9,,\n" + "5,,x%s\n" % ("y" * 200) + "1,z,w\n2,a,v\n")
+    profile = {r.column_name: r.sample_value for r in delivered_profile(
+        with_file_places(spark.read.option("header", True).csv(path))).collect()}
+    assert profile == {"id": "9", "a": "z", "b": "x" + "y" * 99}
+    text, _ = records_and_types(answers(spark, [(2, [{"k": "late"}]), (0, [{"k": None}, {"k": "first"}])], 3), places=True)
+    assert rows(delivered_profile(text)) == [("k", "first")]
+
+
 # ---------------------------------------------------------------- swap ----
 
 class Lost(Exception):

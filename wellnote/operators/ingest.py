@@ -167,3 +167,17 @@ def column_profile(df: DataFrame, order: str | Sequence[str], width: int = 100,
                      F.when(F.col(c).isNotNull(), key)).alias(f"c{i}") for i, c in enumerate(cols)]
     stack = ", ".join(f"'{c}', c{i}" for i, c in enumerate(cols))
     return df.agg(*aggs).select(F.expr(f"stack({len(cols)}, {stack}) as (column_name, sample_value)"))
+
+
+def with_file_places(df: DataFrame) -> DataFrame:
+    """Rows read from files with ``__file``, ``__split`` and ``__at``: the order in which the files hold them.
+    To be asked of the read itself; ``__at`` orders the rows of one split."""
+    return df.select("*", F.col("_metadata.file_path").alias("__file"), F.col("_metadata.file_block_start").alias("__split"),
+                     F.monotonically_increasing_id().alias("__at"))
+
+
+def delivered_profile(df: DataFrame, width: int = 100) -> DataFrame:
+    """:func:`column_profile` of a feed with its places (:func:`with_file_places`, or those of landed
+    answers): the first value delivered in each column."""
+    places = [c for c in ("__offset", "__file", "__split", "__at") if c in df.columns]
+    return column_profile(df, places, width, [c for c in df.columns if c not in places])

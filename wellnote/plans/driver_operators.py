@@ -405,6 +405,16 @@ def q_running_participants(spark, sf_dir):
     return rows.select("note_id", "place", "n_earlier", F.array_join(F.array_sort(past), ",").alias("participants"))
 
 
+@register("running_lists", with_note_ctes("""select note_id, note_timestamp, author_user_id,
+    ifnull(array_to_string((select list(b.author_handle order by b.place) from spoken b
+      where b.event_uuid is not distinct from a.event_uuid and b.place < a.place), ','), '') as earlier
+    from spoken a"""))
+def q_running_lists(spark, sf_dir):
+    pointers, pieces = N.earlier_participants(notes(spark, sf_dir))
+    lists = W.expanded_lists(pointers, written_once(pieces), "event_uuid", "earlier")
+    return lists.select("note_id", "note_timestamp", "author_user_id", F.array_join("earlier", ",").alias("earlier"))
+
+
 @register("array_except_chain", with_note_ctes("""select note_id, note_timestamp,
     array_to_string(list_sort(implicit_tagged_users), ',') as implicit_tagged_users
     from note_relationships"""))

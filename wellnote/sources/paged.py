@@ -175,15 +175,18 @@ def keys_of_records(decoded: DataFrame) -> DataFrame:
         .orderBy("first").select("key", "kinds")
 
 
-def records_and_types(responses: DataFrame, columns: Sequence[str] | None = None) -> tuple[DataFrame, dict[str, T.DataType]]:
+def records_and_types(responses: DataFrame, columns: Sequence[str] | None = None,
+                      places: bool = False) -> tuple[DataFrame, dict[str, T.DataType]]:
     """:func:`records_of_responses` and the type of each column: that of its JSON values, where text
-    stays text whatever it looks like; a column of NULLs alone is text."""
+    stays text whatever it looks like; a column of NULLs alone is text.  With ``places`` the records also
+    have ``__offset`` and ``__at``, their page and place in it: the order in which they were delivered."""
     decoded = _decoded(responses)
     _check_pages(decoded)
     types = {r["key"]: type_of_kinds(r["kinds"], T.StringType()) for r in keys_of_records(decoded).collect()}
     names = list(columns) if columns is not None else list(types)
-    rows = decoded.select(F.explode("records").alias("r"))
-    return rows.select(*[F.try_element_at("r.texts", F.lit(c)).alias(c) for c in names]), types
+    rows = decoded.select(F.col("offset").alias("__offset"), F.posexplode("records").alias("__at", "r"))
+    return rows.select(*[F.try_element_at("r.texts", F.lit(c)).alias(c) for c in names],
+                       *(["__offset", "__at"] if places else [])), types
 
 
 def records_of_responses(responses: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
