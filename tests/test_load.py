@@ -187,3 +187,29 @@ def test_a_table_from_elsewhere_becomes_a_version(spark):
     spark.range(3).toDF("v").write.saveAsTable(f"{db}.t")
     write_table(spark.range(5).toDF("v"), db, "t")
     assert spark.table(f"{db}.t").count() == 5
+
+
+def test_bucketed_staging_needs_no_exchange(spark):
+    from conftest import plan_text
+    from wellnote.plans.inputs import NoteTables, driver_note_tables
+    from wellnote.plans.notes import note_base
+    from wellnote.sources.tables import TableSpec, bucketed
+    n = driver_note_tables(spark, "/root/testdata/sf0.001")
+    db = f"stg_{uuid.uuid4().hex[:8]}"
+    specs = bucketed([TableSpec("wiserock_note", lambda s: n.note, "keep"), TableSpec("wiserock_user", lambda s: n.user, "keep"),
+                      TableSpec("plain", lambda s: n.user, "keep")], 4)
+    assert [s.bucket_by for s in specs] == [(4, ["user_id"]), (4, ["user_id"]), None]
+    assert {r.status for r in load_all(spark, specs, db).collect()} == {"loaded"}
+    staged = NoteTables(spark.table(f"{db}.wiserock_note"), spark.table(f"{db}.wiserock_user"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = note_base(staged)
+        assert "Exchange" not in plan_text(joined) and "SortMergeJoin" in plan_text(joined)
+        assert "Exchange" in plan_text(note_base(n))
+        counts = staged.note.groupBy("user_id").count()
+        assert "Exchange" not in plan_text(counts)
+        assert rows(counts) == rows(n.note.groupBy("user_id").count())
+        assert joined.count() == note_base(n).count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -1,10 +1,12 @@
 """Command line: load landed data into staging, then compute the answers.
 
-    python -m wellnote load --csv-dir DIR [--pages-dir DIR] [--db stg] [--flag-duplicates] [--profile]
+    python -m wellnote load --csv-dir DIR [--pages-dir DIR] [--db stg] [--flag-duplicates] [--buckets N] [--profile]
+    python -m wellnote views [--db stg] [--namespace analytics] [--year-a 2022] [--year-b 2023]
     python -m wellnote answers [--db stg] [--out DIR] [--year-a 2022] [--year-b 2023] [--field "Field 1"]
 
 ``--pages-dir`` holds one folder per record table (named as in ``schemas.API_TABLES``)
-with its landed JSON page files.  ``answers`` prints each answer whole, or writes
+with its landed JSON page files.  ``views`` creates the five derived views over staging as permanent views
+of the catalog.  ``answers`` prints each answer whole, or writes
 it as Parquet under ``--out`` (a shared folder on a cluster).
 """
 
@@ -71,7 +73,13 @@ def main(argv=None) -> int:
     ld.add_argument("--pages-dir")
     ld.add_argument("--db", default="stg")
     ld.add_argument("--flag-duplicates", action="store_true")
+    ld.add_argument("--buckets", type=int, default=0, help="deal notes, users, daily rows and completions into so many buckets")
     ld.add_argument("--profile", action="store_true", help="show a sample value per column")
+    vw = sub.add_parser("views")
+    vw.add_argument("--db", default="stg")
+    vw.add_argument("--namespace", default="analytics")
+    vw.add_argument("--year-a", type=int, default=2022)
+    vw.add_argument("--year-b", type=int, default=2023)
     an = sub.add_parser("answers")
     an.add_argument("--db", default="stg")
     an.add_argument("--out")
@@ -84,14 +92,20 @@ def main(argv=None) -> int:
     from wellnote.session import get_spark
     spark = get_spark()
     if args.cmd == "load":
-        from wellnote.sources.tables import load_all, profile_tables
+        from wellnote.sources.tables import bucketed, load_all, profile_tables
         mode = "flag" if args.flag_duplicates else "dedupe"
-        report = load_all(spark, load_specs(spark, args.csv_dir, args.pages_dir, mode), args.db)
+        specs = load_specs(spark, args.csv_dir, args.pages_dir, mode)
+        report = load_all(spark, bucketed(specs, args.buckets) if args.buckets else specs, args.db)
         show_all(report)
         if args.profile:
             loaded = [r.table for r in report.where("status = 'loaded'").select("table").collect()]
             show_all(profile_tables(spark, loaded, args.db))
         return 0
+    if args.cmd == "views":
+        from wellnote.plans.catalog_views import create_views
+        for name in create_views(spark, args.db, args.namespace, args.year_a, args.year_b):
+            print(f"{args.namespace}.{name}")
+        return 0
     for name, df in answers(spark, args.db, args.year_a, args.year_b, args.field, args.materialize).items():
         if args.out:
             df.write.mode("overwrite").parquet(os.path.join(args.out, name))

@@ -102,6 +102,12 @@ NA_TOKENS = [
 # --- fixed value: the one text that the load of a JSON feed turns into NULL
 EMPTY_TEXT = [""]
 
+# Columns by which large staging tables are dealt and sorted where asked for: the keys of their first joins.
+BUCKETED = {
+    "wiserock_note": ["user_id"], "wiserock_user": ["user_id"], "procount_completiondailytb": ["merrickid"],
+    "completiontb": ["merrickid"],
+}
+
 # The note and user feeds (staging table names, fixed values).
 NOTE_TABLE = "wiserock_note"
 USER_TABLE = "wiserock_user"
