@@ -53,6 +53,13 @@ def test_water_filling_clamps_in_rounds(spark):
     assert got["a"] == 30 and got["b"] == 300 and got["d"] == 0 and abs(got["c"] - 780) < 1e-9
 
 
+def test_rows_without_words_stay(spark):
+    docs = spark.createDataFrame([(1, "a", "some words here"), (2, "a", ""), (3, "a", None), (4, "a", "and a few more"),
+                                  (5, "empty", " "), (6, "empty", None)], "doc_id long, source string, text string")
+    got = sorted(r.doc_id for r in mixing.mix(docs).collect())
+    assert set(got) == {1, 2, 3, 4, 5, 6} and got.count(5) == got.count(6) == 1
+
+
 def test_rows_come_as_often_as_taken_with_their_own_columns(spark, odd_docs, no_docs):
     reps = mixing.with_repetitions(odd_docs.drop("size"))
     expect = sum(r.repetitions for r in reps.collect())

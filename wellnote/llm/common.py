@@ -104,15 +104,19 @@ def text_id(text: str = "text") -> Column:
     return F.xxhash64(F.col(text))
 
 
-def bounded_sample(texts: DataFrame, labelled: DataFrame, per_label: int) -> list[tuple[str, object]]:
+def bounded_sample(texts: DataFrame, labelled: DataFrame, per_label: int,
+                   max_bytes: int | None = None) -> list[tuple[str, object]]:
     """At most ``per_label`` different texts of each label, as (text, label) on the driver.
 
     ``labelled`` has ``tid`` (:func:`text_id`) and ``label``; rows without a label are left out.  The
     choice is by a hash of the text, so it is the same whatever the order or the number of tasks;
-    it is made on ids alone, and only the chosen texts are then fetched from ``texts`` (``text``).
+    it is made on ids alone, and only the chosen texts are then fetched from ``texts`` (``text``), whole.
+    With ``max_bytes`` (and a column ``bytes``) a label's texts end with the one that reaches so many bytes.
     """
     spot = F.pmod(F.xxhash64("tid", F.lit("sample")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    known = labelled.select("tid", "label").filter("label is not null").distinct().withColumn("spot", spot)
+    size = F.col("bytes") if max_bytes is not None else F.lit(0)
+    known = labelled.select("tid", "label", size.cast("long").alias("bytes")).filter("label is not null").distinct() \
+        .withColumn("spot", spot)
     known = cut(known)
     counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not counts:
@@ -120,7 +124,9 @@ def bounded_sample(texts: DataFrame, labelled: DataFrame, per_label: int) -> lis
     shares = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, 4.0 * per_label / n)])
     first = Window.partitionBy("label").orderBy("spot", "tid")
     picked = cut(known.filter(F.col("spot") < F.try_element_at(shares, F.col("label")))
-                 .withColumn("at", F.row_number().over(first)).filter(F.col("at") <= per_label).drop("at"))
+                 .withColumn("at", F.row_number().over(first)).filter(F.col("at") <= per_label)
+                 .withColumn("before", F.sum("bytes").over(first.rowsBetween(Window.unboundedPreceding, -1)))
+                 .filter(F.coalesce("before", F.lit(0)) < (max_bytes or 1)).drop("at", "before", "bytes"))
     # At most per_label rows for each label, so this side may be broadcast.
     wanted = F.broadcast(picked.select("tid").distinct())
     found = texts.select("text", text_id().alias("tid")).filter("text is not null") \

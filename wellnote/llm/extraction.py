@@ -36,8 +36,10 @@ EPOCHS, RATE = 12, 0.15
 BLOCKS = frozenset("""address article aside blockquote body center dd details dialog dir div dl dt fieldset
 figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup html legend li main menu nav ol p pre section
 summary table tbody td tfoot th thead tr ul""".split())
-UNSEEN = frozenset("""script style head title noscript template svg math iframe object canvas audio video select
+UNSEEN = frozenset("""script style head title noscript template svg iframe object canvas audio video select
 textarea button datalist map""".split())
+#: Of these, the ones that an unclosed block around them ends.
+INSIDE_BLOCKS = frozenset("noscript iframe object canvas audio video select button datalist map".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 CLOSES_P = BLOCKS - {"html", "body", "td", "th", "tr", "tbody", "thead", "tfoot", "li", "dt", "dd"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
@@ -123,7 +125,10 @@ class Tree(HTMLParser):
             if tag in self.hidden:
                 while self.hidden.pop() != tag:
                     pass
-            return
+                return
+            if self.hidden[0] not in INSIDE_BLOCKS or all(t != tag for t, _ in self.open):
+                return
+            self.hidden = []
         if tag == "a":
             self.links = max(0, self.links - 1)
         elif tag in BLOCKS:
@@ -326,17 +331,21 @@ def variant(paragraphs: list[str], rng: random.Random) -> str:
         inner.insert(0, f"<h1>{short()}</h1>")
     kind = rng.random()
     name = rng.choice(CONTENT_NAMES).replace(" ", rng.choice((" ", "-", "_")))
-    if kind < 0.4:
+    if kind < 0.36:
         body = f'<article data-mark="1">{"".join(inner)}</article>'
-    elif kind < 0.55:
+    elif kind < 0.5:
         body = f'<main data-mark="1">{"".join(inner)}</main>'
+    elif kind < 0.66:
+        # Pages of plain blocks, whose parts have no names.
+        body = "".join(inner) if kind < 0.55 else f'<div data-mark="1">{"".join(inner)}</div>'
     else:
         body = f'<div class="{name}" data-mark="1">{"".join(inner)}</div>'
-    if rng.random() < 0.4:
+    if kind >= 0.66 and rng.random() < 0.4 or rng.random() < 0.3:
         body = f'<div class="{rng.choice(("container", "wrapper", "page", "row", "col"))}">{body}</div>'
     before = [aside(k) for k in ("header", "nav", "div", "aside", "form") if rng.random() < 0.5]
     after = [aside(k) for k in ("section", "aside", "div", "form", "footer") if rng.random() < 0.55]
-    return f"<html><body>{''.join(before)}{body}{''.join(after)}</body></html>"
+    mark = ' data-mark="1"' if 0.5 <= kind < 0.55 else ""
+    return f"<html><body{mark}>{''.join(before)}{body}{''.join(after)}</body></html>"
 
 
 def train(pages: DataFrame) -> TreeModel:

@@ -2,9 +2,9 @@
 
 A text is read in windows of ``WINDOW`` bytes, all of them.  A forward and a backward recurrent
 network of ``HIDDEN`` units label every position; a document's probabilities are the means over
-all its positions.  The network is trained in numpy by backpropagation through time on at most
-``PER_LANGUAGE`` texts of each language outside the held-out fold (from each up to ``FIT_WINDOWS``
-windows, evenly spread), and applied on the executors.
+all its positions.  The network is trained in numpy by backpropagation through time on the windows, all of
+them, of at most ``PER_LANGUAGE`` texts and about ``FIT_BYTES`` bytes of each language outside the
+held-out fold, and applied on the executors.
 
 Defined results: texts that are null or have no letter are ``und`` with score 0; without training
 rows every text is ``und``; an empty table gives no rows.
@@ -21,7 +21,7 @@ from wellnote.llm.common import Adam, bounded_sample, is_held_out, text_id
 WINDOW = 64
 HIDDEN = 8
 PER_LANGUAGE = 150
-FIT_WINDOWS = 8
+FIT_BYTES = 8 << 20
 STEPS, BATCH, RATE = 240, 128, 0.02
 #: Windows that go through the network at once.
 BLOCK = 2048
@@ -188,16 +188,14 @@ class BiGRU:
 def train(docs: DataFrame) -> BiGRU | None:
     """A network fitted on text and lang of documents outside the held-out fold; None without rows."""
     labelled = docs.filter(~is_held_out(F.col("doc_id"))).filter("text <> ''") \
-        .select(text_id().alias("tid"), F.col("lang").alias("label"))
-    sample = bounded_sample(docs, labelled, PER_LANGUAGE)
+        .select(text_id().alias("tid"), F.col("lang").alias("label"), F.octet_length("text").alias("bytes"))
+    sample = bounded_sample(docs, labelled, PER_LANGUAGE, FIT_BYTES)
     languages = sorted({k for _, k in sample})
     if not languages:
         return None
     parts, labels = [], []
     for text, lang in sample:
         own, _ = windows([text.encode("utf-8", "surrogatepass")])
-        if len(own) > FIT_WINDOWS:
-            own = own[np.linspace(0, len(own) - 1, FIT_WINDOWS).astype(int)]
         parts.append(own)
         labels += [languages.index(lang)] * len(own)
     return BiGRU(languages).fit(np.concatenate(parts), np.array(labels))

@@ -11,6 +11,7 @@ whole source.  Built-in functions only.
 
 Defined results: a null text has size 0; a null source is a source of its own, last; a source
 without words has target 0; an empty table gives no rows; repeated rows count as often as they stand.
+A row without words is taken as often as a row at its place in the order; all those of a source without words once.
 """
 
 from __future__ import annotations
@@ -113,8 +114,7 @@ def with_repetitions(docs: DataFrame, text: str = "text", doc_id: str = "doc_id"
     once_more = (at + F.col("size") / 2 <= F.col("rest")).cast("long")
     return placed.withColumn("running", running).select(
         "row.*", "size", "source_size", "target",
-        F.when(F.col("size") > 0, F.least(F.lit(max_epochs), F.col("whole") + once_more))
-        .otherwise(F.lit(0)).cast("long").alias("repetitions"))
+        F.least(F.lit(max_epochs), F.col("whole") + once_more).cast("long").alias("repetitions"))
 
 
 def mix(docs: DataFrame, **options) -> DataFrame:
@@ -173,6 +173,5 @@ r AS (
   FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
        CAST(size * repetitions AS BIGINT) AS taken, repetitions
-FROM (SELECT *, CASE WHEN size > 0 THEN CAST(least(3, whole + CASE WHEN start + size / 2.0 <= rest THEN 1 ELSE 0 END)
-                                             AS BIGINT) ELSE 0 END AS repetitions FROM r)
+FROM (SELECT *, CAST(least(3, whole + CASE WHEN start + size / 2.0 <= rest THEN 1 ELSE 0 END) AS BIGINT) AS repetitions FROM r)
 """

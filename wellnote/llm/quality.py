@@ -4,9 +4,9 @@ A text is a bag of passages of ``PASSAGE`` bytes.  Each passage is encoded from
 trigrams; gated attention, learned from document labels alone, weighs the passages; the score is a
 logistic function of the weighted sum.  Every passage of a text takes part in its score.
 
-The model is fitted in numpy on at most ``PER_LABEL`` labelled texts of each label (a bounded
-sample chosen by text hash; from a text of more than ``FIT_PASSAGES`` passages that many, evenly
-spread) and scores all rows on the executors.
+The model is fitted in numpy on at most ``PER_LABEL`` labelled texts of each label and about
+``FIT_BYTES`` bytes of them, a sample of rows chosen by text hash; of these every passage takes part.
+It scores all rows on the executors.
 
 Defined results: a null or empty text is one passage without trigrams; without labelled rows all
 scores are 0.5, with one label only that label's rate; an empty table gives no rows.
@@ -24,7 +24,7 @@ PASSAGE = 512
 BUCKETS = 512
 HIDDEN, ATTENTION = 16, 8
 PER_LABEL = 1200
-FIT_PASSAGES = 24
+FIT_BYTES = 32 << 20
 STEPS, BATCH, RATE = 500, 64, 0.01
 
 
@@ -73,7 +73,8 @@ class AttentionModel:
         score = _sigmoid((z @ p["o"])[:, 0] + p["c"][0])
         return score, (sizes, h, v, u, attention, z)
 
-    def fit(self, bags: list[np.ndarray], labels: np.ndarray, seed: int = 12) -> "AttentionModel":
+    def fit(self, texts: list, labels: np.ndarray, seed: int = 12, encode=passages) -> "AttentionModel":
+        """``texts`` are encoded as batches need them: their tables take far more memory than they do."""
         if len(labels) == 0 or labels.min() == labels.max():
             self.constant = float(labels.mean()) if len(labels) else 0.5
             return self
@@ -82,8 +83,9 @@ class AttentionModel:
         for step in range(STEPS):
             # Half of each batch from either label: labels may be very uneven.
             chosen = np.concatenate([rng.choice(g, BATCH // 2) for g in groups])
-            x = np.concatenate([bags[i] for i in chosen])
-            sizes = np.array([len(bags[i]) for i in chosen])
+            bags = [encode(texts[i]) for i in chosen]
+            x = np.concatenate(bags)
+            sizes = np.array([len(b) for b in bags])
             starts = np.concatenate(([0], np.cumsum(sizes)[:-1]))
             score, (sizes, h, v, u, att, z) = self.forward(x, starts)
             d = ((score - labels[chosen]) / len(chosen)).astype(np.float32)[:, None]
@@ -124,16 +126,10 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality") -> Attenti
     """A model fitted on labelled documents outside the held-out fold."""
     marked = labels.filter(~is_held_out(F.col("doc_id")) & F.col(label).isNotNull()) \
         .select("doc_id", F.col(label).alias("_label")).distinct()
-    labelled = docs.filter("text is not null").select("doc_id", text_id().alias("tid")) \
-        .join(marked, "doc_id").select("tid", F.col("_label").alias("label"))
-    sample = bounded_sample(docs, labelled, PER_LABEL)
-
-    def some(bag: np.ndarray) -> np.ndarray:
-        return bag if len(bag) <= FIT_PASSAGES else \
-            bag[np.linspace(0, len(bag) - 1, FIT_PASSAGES).astype(int)]
-
-    return AttentionModel().fit([some(passages(t)) for t, _ in sample],
-                                np.array([int(k) for _, k in sample], np.float32))
+    labelled = docs.filter("text is not null").select("doc_id", text_id().alias("tid"), F.octet_length("text").alias("bytes")) \
+        .join(marked, "doc_id").select("tid", F.col("_label").alias("label"), "bytes")
+    sample = bounded_sample(docs, labelled, PER_LABEL, FIT_BYTES)
+    return AttentionModel().fit([t for t, _ in sample], np.array([int(k) for _, k in sample], np.float32))
 
 
 def score_column(model: AttentionModel, text: str = "text") -> Column:
