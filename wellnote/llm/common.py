@@ -22,11 +22,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's ``spark.checkpoint.dir``; a folder of our own only where it is unset (tests)."""
+    """The cluster's ``spark.checkpoint.dir``; a local session without it gets a folder of its own (tests)."""
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None)
-                            or tempfile.mkdtemp(prefix="wellnote-checkpoints-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if named is None and not sc.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir is not set; it must name a shared folder")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="wellnote-checkpoints-"))
     return sc.getCheckpointDir()
 
 
