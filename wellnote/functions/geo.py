@@ -3,8 +3,8 @@
 Points are pairs of double columns.  Geographic coordinates are degrees
 (lon, lat) on WGS84.  Distances between nearby geographic segments are
 measured in a local tangent plane scaled by the WGS84 meridional (M) and
-prime-vertical (N) radii at the pair's mean latitude, which agrees with the
-ellipsoidal geodesic to about 1e-7 relative over a few kilometres.
+prime-vertical (N) radii at the pair's mean latitude, which the tests hold
+against the ellipsoidal geodesic (within 2e-6 relative over a few kilometres).
 """
 
 from __future__ import annotations
