@@ -4,13 +4,14 @@ Every assistant turn becomes an example of its own: all turns before it are cont
 is trainable.  A formatted turn is ``<|im_start|>role\\ntext<|im_end|>\\n``; control strings inside
 roles and texts are escaped reversibly, so the marks of the template stand only where it put them.
 
-Examples are kept as prefixes: the example of a turn stores what it adds to the example before it
-(``new_text``) and where its context begins (``context_chars``), so storage grows with the
-conversation, not with its square.  ``example_texts`` writes examples out in full.
+Examples are written out in full, so their size grows with a conversation's turns times its text: the
+price of the method, whose context is every turn before the reply.  A task holds one conversation
+and a few megabytes of finished examples.
 
 Defined results: null text and null role count as empty; turns are ordered by (turn, role, text),
-null turns first; rows with a null conv_id form one conversation; turns behind the last assistant
-turn form a last row without a target; an empty table gives no rows.
+null turns first; rows with a null conv_id form one conversation; if turns stand behind the
+last assistant turn, a last row without a target holds the whole conversation; an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -45,37 +46,34 @@ def unescape(text: str) -> str:
     return _ESCAPED.sub(lambda m: _PLAIN[m[1]], text)
 
 
-_SCHEMA = pa.schema([("conv_id", pa.int64()), ("example", pa.int64()), ("new_text", pa.large_string()),
-                     ("context_chars", pa.int64()), ("loss_start", pa.int64()), ("loss_end", pa.int64())])
-EXAMPLES = ("conv_id long, example long, new_text string, context_chars long, "
-            "loss_start long, loss_end long")
+_SCHEMA = pa.schema([("conv_id", pa.int64()), ("example", pa.int64()), ("text", pa.large_string()),
+                     ("loss_start", pa.int64()), ("loss_end", pa.int64())])
+EXAMPLES = "conv_id long, example long, text string, loss_start long, loss_end long"
 
 
 def format_examples(turns: DataFrame) -> DataFrame:
-    """One row per assistant turn: conv_id, example (from 0), new_text, context_chars, loss_start, loss_end.
+    """One row per assistant turn: conv_id, example (from 0), text, loss_start, loss_end.
 
-    The full text of an example is the ``new_text`` of this row and all rows before it; only
-    code points [loss_start, loss_end) of the full text are trainable.  Conversations are read in
-    turn order as a stream; no more than the turns of one example is held.
+    ``text`` holds all turns up to and with the reply; only its code points [loss_start, loss_end),
+    the reply, are trainable.  Both are null in the row of a conversation that ends without a reply.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def examples() -> Iterator[tuple]:
-            conv, seen, number, chars, parts = None, False, 0, 0, []
+            conv, seen, number, context, parts = None, False, 0, "", []
             for conv_id, role, text in rows_of(batches):
                 if not seen or conv_id != conv:
                     if parts:
-                        yield conv, number, "".join(parts), chars, None, None
-                    conv, seen, number, chars, parts = conv_id, True, 0, 0, []
-                head = f"{START}{escape(role, line=True)}\n"
+                        yield conv, number, context + "".join(parts), None, None
+                    conv, seen, number, context, parts = conv_id, True, 0, "", []
                 body = escape(text)
-                parts.append(f"{head}{body}{END}")
+                parts.append(f"{START}{escape(role, line=True)}\n{body}{END}")
                 if role == "assistant":
-                    new_text = "".join(parts)
-                    end = chars + len(new_text) - len(END)
-                    yield conv, number, new_text, chars, end - len(body), end
-                    number, chars, parts = number + 1, chars + len(new_text), []
+                    context += "".join(parts)
+                    end = len(context) - len(END)
+                    yield conv, number, context, end - len(body), end
+                    number, parts = number + 1, []
             if parts:
-                yield conv, number, "".join(parts), chars, None, None
+                yield conv, number, context + "".join(parts), None, None
 
         yield from batches_of(examples(), _SCHEMA)
 
@@ -86,18 +84,30 @@ def format_examples(turns: DataFrame) -> DataFrame:
             .select("conv_id", "role", "text").mapInArrow(run, EXAMPLES))
 
 
-def example_texts(examples: DataFrame) -> DataFrame:
-    """Examples written out: conv_id, example, text, loss_start, loss_end (rows without a target left out).
+_READ = pa.schema([("conv_id", pa.int64()), ("example", pa.int64()), ("n_turns", pa.int64()),
+                   ("turns_sha256", pa.string()), ("reply", pa.large_string()), ("chars", pa.int64())])
+READ = "conv_id long, example long, n_turns long, turns_sha256 string, reply string, chars long"
 
-    Grows with the square of the number of turns; meant for conversations of bounded length.
+
+def read_examples(examples: DataFrame) -> DataFrame:
+    """Each example read on its own: its turns' number and digest, the text under its mask, its length.
+
+    ``reply`` is unescaped, and null in a row without a target.
     """
-    before = examples.select("conv_id", F.col("example").alias("_part"), "new_text")
-    kept = examples.filter("loss_end is not null").select("conv_id", "example", "loss_start", "loss_end")
-    joined = kept.join(before, kept["conv_id"].eqNullSafe(before["conv_id"])
-                       & (before["_part"] <= kept["example"])).drop(before["conv_id"])
-    parts = F.sort_array(F.collect_list(F.struct("_part", "new_text")))
-    return joined.groupBy("conv_id", "example", "loss_start", "loss_end").agg(
-        F.concat_ws("", F.transform(parts, lambda p: p["new_text"])).alias("text"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def read() -> Iterator[tuple]:
+            for conv_id, example, text, start, end in rows_of(batches):
+                digest, count = hashlib.sha256(), 0
+                for turn in _TURN.finditer(text):
+                    said = f"{unescape(turn[1])}\n{unescape(turn[2])}\n"
+                    digest.update(said.encode("utf-8", "surrogatepass"))
+                    count += 1
+                reply = None if end is None else unescape(text[start:end])
+                yield conv_id, example, count, digest.hexdigest(), reply, len(text)
+
+        yield from batches_of(read(), _READ)
+
+    return examples.select("conv_id", "example", "text", "loss_start", "loss_end").mapInArrow(run, READ)
 
 
 _DIGESTS = pa.schema([("conv_id", pa.int64()), ("n_turns", pa.int64()), ("turns_sha256", pa.string()),
@@ -110,33 +120,28 @@ DIGESTS = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, lo
 def read_back(examples: DataFrame) -> DataFrame:
     """Per conversation, read from the examples alone: turns, digests of turns and of trainable text.
 
-    turns_sha256 covers role, line break, text, line break of each turn; loss_sha256 the unescaped
-    text under the loss masks.  The digests run over the rows as a stream.
+    turns_sha256 covers role, line break, text, line break of each turn, as the conversation's longest
+    row has them; loss_sha256 the unescaped text under the loss masks of its examples, in order;
+    formatted_chars the code points of all its rows.  Only the replies are shuffled, and the digests
+    run over them as a stream.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def digests() -> Iterator[tuple]:
-            conv, state = None, None
-            for conv_id, _, new_text, context, start, end in rows_of(batches):
-                if state is None or conv_id != conv:
-                    if state is not None:
-                        yield finish(conv, state)
-                    conv, state = conv_id, [0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-                for role, text in _TURN.findall(new_text):
-                    state[0] += 1
-                    state[1].update(f"{unescape(role)}\n{unescape(text)}\n".encode("utf-8", "surrogatepass"))
-                state[4] += len(new_text)
-                if end is not None:
-                    reply = unescape(new_text[start - context: end - context])
-                    state[2] += len(reply)
-                    state[3].update(reply.encode("utf-8", "surrogatepass"))
-                    state[5] += 1
-            if state is not None:
-                yield finish(conv, state)
-
-        def finish(conv, s) -> tuple:
-            return conv, s[0], s[1].hexdigest(), s[2], s[3].hexdigest(), s[4], s[5]
+            conv, last, loss, loss_chars, chars, count = None, None, None, 0, 0, 0
+            for conv_id, _, turns, digest, reply, length in rows_of(batches):
+                if last is None or conv_id != conv:
+                    if last is not None:
+                        yield conv, *last, loss_chars, loss.hexdigest(), chars, count
+                    conv, loss, loss_chars, chars, count = conv_id, hashlib.sha256(), 0, 0, 0
+                last = turns, digest
+                chars += length
+                if reply is not None:
+                    loss.update(reply.encode("utf-8", "surrogatepass"))
+                    loss_chars, count = loss_chars + len(reply), count + 1
+            if last is not None:
+                yield conv, *last, loss_chars, loss.hexdigest(), chars, count
 
         yield from batches_of(digests(), _DIGESTS)
 
-    return (examples.repartition("conv_id").sortWithinPartitions("conv_id", "example")
+    return (read_examples(examples).repartition("conv_id").sortWithinPartitions("conv_id", "example")
             .mapInArrow(run, DIGESTS))
