@@ -15,8 +15,11 @@ values give the same result.
 
 Links inside large groups of copies are not expanded into all pairs.  Equal sets are one class.
 A first round verifies, in each list, every class against the list's first (or previous) class, and
-what is left against a few classes of the list's largest component; the last round verifies every
-pair of one list whose classes are still in different components.
+what is left against a few classes of the list's largest component.  Short lists whose classes are
+still in different components then have every such pair verified.  In long ones the tokens that all
+share say nothing, so a set is described by its difference from the tokens most sets of its group
+have: pairs that need no common token in their differences are linked through the set next to those, all
+others share a token of short prefixes of them, which make new and shorter lists (:func:`difference_keys`).
 Pairs inside one component cannot change it, all others are checked, so components are exact.
 """
 
@@ -32,6 +35,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wellnote.llm.common import Powers, U64, batches_of, cut, mix64, rows_of
+from wellnote.llm.search import arrow_rows
 
 SHINGLE = 5
 THRESHOLD = 75
@@ -41,8 +45,10 @@ SKETCH = 1 << 17
 FILTER_BITS = 1 << 23
 #: Parts into which the list of a token pair is split before its heads meet.
 SALTS = 32
-#: Trial partners per list, for lists of so many rows; both only save work.
-TRIALS, TRIAL_LIST = 8, 16
+#: Trial partners per list, and the rows beyond which a list is long; both only save work.
+TRIALS, LONG_LIST = 8, 16
+#: Times that long lists are split by differences from references before all that is left is compared.
+SPLITS = 2
 #: Classes remembered by a task so that copies it meets again are not indexed twice.
 REMEMBERED = 1 << 18
 
@@ -381,7 +387,7 @@ def trial_pairs(apart: DataFrame, labels: DataFrame, threshold: int) -> DataFram
     sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
     known = cut(apart.join(sizes, "label", "left").withColumn("size", F.coalesce("size", F.lit(1))))
     top = known.groupBy("sig").agg(F.count("*").alias("rows"), F.max(F.struct("size", "label")).alias("top")) \
-        .filter(F.col("rows") >= TRIAL_LIST).select("sig", F.col("top.label").alias("top"))
+        .filter(F.col("rows") >= LONG_LIST).select("sig", F.col("top.label").alias("top"))
     members = known.join(top, "sig")
     seeds = [F.min(F.struct(F.xxhash64("cid", F.lit(i)), F.col("cid").alias("to"), F.col("n").alias("to_n")))
              .alias(f"p{i}") for i in range(TRIALS)]
@@ -392,6 +398,120 @@ def trial_pairs(apart: DataFrame, labels: DataFrame, threshold: int) -> DataFram
         F.least("cid", "p.to").alias("a"), F.greatest("cid", "p.to").alias("b")).distinct()
 
 
+def difference_keys(ref: int, size: int, fresh: np.ndarray, missing: np.ndarray, counters: np.ndarray,
+                    threshold: int = THRESHOLD) -> np.ndarray:
+    """Keys of a set of ``size`` tokens, given by those it has beyond its reference and those it lacks.
+
+    Let A and B be the differences of two sets of sizes a and b from one reference, t the threshold and
+    W(A) = (100 + t) |A| - (100 - t) a.  The sets reach the threshold when A and B have at least
+    (W(A) + W(B)) / (2 (100 + t)) tokens in common.  If that is not above 0, both sets surely match the set of
+    least W (:func:`stars`).  Otherwise prefixes of A and B, as long as this overlap allows, share a
+    token.  The overlap depends on the partner, so there is a prefix for each band of W the partner can be in,
+    and the key names both bands.  Fresh tokens, rare ones first, stand before missing ones.
+    """
+    plus, minus = 100 + threshold, 100 - threshold
+    count = [counters[(x % U64(len(counters))).astype(np.int64)] for x in (fresh, missing)]
+    tokens = np.concatenate([x[np.lexsort((x, c))] for x, c in zip((fresh, missing), count)])
+    own = plus * len(tokens) - minus * size
+
+    def width(level: int) -> int:
+        return max(1, minus * (1 << level) // 4)
+
+    mine = (size.bit_length(), own // width(size.bit_length()))
+    low, high = (threshold * size + 99) // 100, 100 * size // threshold
+    found = [np.empty(0, U64)]
+    for level in range(low.bit_length(), high.bit_length() + 1):
+        largest = min(high, (1 << level) - 1)
+        reach = 200 * minus * (size + largest) // plus + 1
+        step = width(level)
+        for band in range(max(own - reach, -minus * largest) // step, (own + reach) // step + 1):
+            if own + (band + 1) * step - 1 <= 0:
+                continue
+            need = max(1, -(-(own + band * step) // (2 * plus)))
+            if need > len(tokens):
+                break
+            key = hash((ref, *sorted((mine, (level, band))))) & (1 << 64) - 1
+            with np.errstate(over="ignore"):
+                found.append(mix64(tokens[: len(tokens) - need + 1] + mix64(np.array([key], U64))))
+    return np.concatenate(found)
+
+
+def differences(docs: DataFrame, classes: DataFrame, members: DataFrame, threshold: int) -> DataFrame:
+    """(ref, cid, n, weight, fresh, missing) of the pairs (ref, cid) of a group and its set.
+
+    A group's reference holds the tokens that more than half of its sets have; ``weight`` is W of
+    :func:`difference_keys`.
+    """
+    ends = members.select("cid").distinct()
+    sets = cut(token_sets(docs, classes.join(ends, "cid").select("tid")).join(ends, "cid", "left_semi")
+               .select("cid", "tokens"))
+    both = members.join(sets, "cid")
+    sizes = members.groupBy("ref").agg(F.count("*").alias("members"))
+    common = both.select("ref", F.explode("tokens").alias("token")).groupBy("ref", "token").count() \
+        .join(sizes, "ref").filter(2 * F.col("count") > F.col("members")) \
+        .groupBy("ref").agg(F.collect_list("token").alias("of_ref"))
+    refs = sizes.join(cut(common), "ref", "left").select(
+        "ref", F.coalesce("of_ref", F.array().cast("array<long>")).alias("of_ref"),
+        # A group may have very many sets: they are dealt in salted parts.
+        F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    dealt = both.withColumn("salt", F.pmod(F.xxhash64("cid"), F.lit(SALTS)).cast("int")).join(refs, ["ref", "salt"])
+    found = dealt.select("ref", "cid", F.size("tokens").alias("n"), F.array_except("tokens", "of_ref").alias("fresh"),
+                         F.array_except("of_ref", "tokens").alias("missing"))
+    return cut(found.withColumn("weight", (100 + threshold) * (F.size("fresh") + F.size("missing")).cast("long")
+                                - (100 - threshold) * F.col("n")))
+
+
+def stars(found: DataFrame) -> DataFrame:
+    """Links (a, b) of each group's set of least weight and all sets that surely match it."""
+    least = found.groupBy("ref").agg(F.min(F.struct("weight", "cid")).alias("least"))
+    return found.join(least, "ref").filter((F.col("weight") + F.col("least.weight") <= 0)
+                                           & (F.col("cid") != F.col("least.cid"))) \
+        .select(F.col("least.cid").alias("a"), F.col("cid").alias("b"))
+
+
+_KEYS = pa.schema([("sig", pa.int64()), ("cid", pa.int64()), ("n", pa.int32())])
+
+
+def difference_lists(found: DataFrame, counters: np.ndarray, threshold: int) -> DataFrame:
+    """(sig, cid, n): lists of the sets of one group that share a key of their differences."""
+    shared = found.sparkSession.sparkContext.broadcast(counters)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ref, cid, n, fresh, missing in rows_of(batches):
+            keys = difference_keys(ref, n, np.array(fresh, np.int64).view(U64),
+                                   np.array(missing, np.int64).view(U64), shared.value, threshold)
+            for start in range(0, len(keys), 1 << 16):
+                part = keys[start: start + (1 << 16)].view(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part), pa.array(np.full(len(part), cid, np.int64)),
+                     pa.array(np.full(len(part), n, np.int32))], schema=_KEYS)
+
+    rows = found.select("ref", "cid", "n", "fresh", "missing")
+    with arrow_rows(found.sparkSession, 256):
+        return cut(rows.mapInArrow(run, "sig long, cid long, n int"))
+
+
+def references(apart: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """(sig, ref) of long lists and their groups: one for each largest component, later by the least hash of a class."""
+    if turn:
+        chosen = F.min_by("cid", F.xxhash64("cid", F.lit(turn)))
+    else:
+        sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+        apart = apart.join(sizes, "label", "left")
+        chosen = F.max_by("label", F.struct(F.coalesce("size", F.lit(1)), F.col("label")))
+    return apart.groupBy("sig").agg(F.count("*").alias("rows"), chosen.alias("ref")) \
+        .filter(F.col("rows") > LONG_LIST).select("sig", "ref")
+
+
+def pairs_across(apart: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a, b) of one list whose classes are in different components and of sizes that fit."""
+    left = apart.select("sig", F.col("cid").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("a_label"))
+    right = apart.select("sig", F.col("cid").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"))
+    return left.join(right, "sig").filter(
+        (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label")) & _fits("a_n", "b_n", threshold)) \
+        .select("a", "b").distinct()
+
+
 def linked_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, tid (hash of the text), label, n_shingles, component_id.
 
@@ -438,11 +558,22 @@ def linked_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     if not tried.isEmpty():
         labels = merged(labels, cut(verified(docs, classes, tried, threshold)))
         apart = rows_apart(apart.select("sig", "cid", "n"), labels)
-    left = apart.select("sig", F.col("cid").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("a_label"))
-    right = apart.select("sig", F.col("cid").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"))
-    rest = left.join(right, "sig").filter(
-        (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label")) & _fits("a_n", "b_n", threshold)) \
-        .select("a", "b").distinct()
+    short = []
+    for turn in range(SPLITS):
+        chosen = cut(references(apart, labels, turn))
+        if chosen.isEmpty():
+            break
+        short.append(apart.join(chosen, "sig", "left_anti"))
+        members = cut(apart.join(chosen, "sig").select("ref", "cid").distinct())
+        found = differences(docs, classes, members, threshold)
+        sure = cut(stars(found))
+        if not sure.isEmpty():
+            labels = merged(labels, sure)
+        apart = rows_apart(difference_lists(found, counters, threshold), labels)
+    lists = apart.select("sig", "cid", "n")
+    for rows_of_short in short:
+        lists = lists.union(rows_of_short.select("sig", "cid", "n"))
+    rest = pairs_across(rows_apart(lists, labels) if short else apart, threshold)
     rest = cut(rest.join(pairs.union(tried), ["a", "b"], "left_anti"))
     if not rest.isEmpty():
         labels = merged(labels, cut(verified(docs, classes, rest, threshold)))
