@@ -140,49 +140,6 @@ def test_copies_of_which_only_some_pairs_match(spark):
     check(spark, rows)
 
 
-@pytest.mark.parametrize("threshold", [50, 75, 90])
-def test_differences_of_matching_sets_share_a_key_or_are_sure(threshold):
-    rng = np.random.default_rng(threshold)
-    counters = rng.integers(0, 9, 1 << 10)
-    met = 0
-    for n in (3, 20, 64, 150, 1000):
-        base = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
-        pool = rng.integers(0, 1 << 63, n).astype(np.uint64)
-        for ref in (base, np.empty(0, np.uint64), np.unique(np.concatenate((base[n // 3:], pool[: n // 5])))):
-            sets = [np.unique(np.concatenate((rng.permutation(base)[int(rng.integers(0, n // 2 + 1)):],
-                                              rng.permutation(pool)[: int(rng.integers(0, n // 3 + 1))])))
-                    for _ in range(40)]
-            sets = [x for x in sets if len(x)]
-            parts = [(np.setdiff1d(x, ref), np.setdiff1d(ref, x)) for x in sets]
-            weight = [(100 + threshold) * (len(f) + len(m)) - (100 - threshold) * len(x)
-                      for x, (f, m) in zip(sets, parts)]
-            keys = [set(jc.difference_keys(7, len(x), f, m, counters, threshold).tolist())
-                    for x, (f, m) in zip(sets, parts)]
-            for i, a in enumerate(sets):
-                for j in range(i):
-                    both = len(np.intersect1d(a, sets[j]))
-                    if weight[i] + weight[j] <= 0 or keys[i] & keys[j]:
-                        assert weight[i] + weight[j] > 0 or 100 * both >= threshold * (len(a) + len(sets[j]) - both)
-                    else:
-                        assert 100 * both < threshold * (len(a) + len(sets[j]) - both)
-                    met += 100 * both >= threshold * (len(a) + len(sets[j]) - both)
-    assert met > 100
-
-
-@pytest.mark.parametrize("long_list", [2, 16])
-def test_large_groups_of_which_most_pairs_miss_the_threshold(spark, monkeypatch, long_list):
-    monkeypatch.setattr(jc, "LONG_LIST", long_list)
-    rng = random.Random(long_list)
-    base = words(rng, 110).split()
-    rows = []
-    for i in range(1000):
-        copy = list(base)
-        for at in rng.sample(range(110), rng.choice((1, 3, 5, 6, 7))):
-            copy[at] = f"edit{i}" if i % 9 else f"edit{at}"
-        rows.append((i, " ".join(copy)))
-    check(spark, rows)
-
-
 def test_odd_rows(spark, odd_docs, no_docs):
     rows = [(r.doc_id, r.text) for r in odd_docs.select("doc_id", "text").collect()]
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in jc.linked_components(odd_docs).collect()]
