@@ -78,3 +78,19 @@ def test_candidates_carry_keys_only(spark):
     cand = S.candidate_segments(seg, 250.0, 1800.0)
     assert cand.columns == [c + i for i in ("_1", "_2") for c in S.SEGMENT]
     assert cand.count() == cand.distinct().count()
+
+
+def test_geometry_travels_with_the_cells(spark):
+    # No side of the cell join is a broadcast, however small the planner takes it for, and pairs of
+    # segments are not dealt a second time.
+    from conftest import plan_text
+    pairs = S.well_pairs(_wells(spark))
+    plan = plan_text(pairs)
+    assert "BroadcastHashJoin" not in plan and "BroadcastExchange" not in plan
+    assert not any("seg_no_1" in line for line in plan.splitlines() if "Exchange" in line)
+    seg = S.trajectories(_wells(spark))[1]
+    met = S.met_segments(seg, 250.0, 1800.0, ["lon_a"])
+    keys = [c + i for i in ("_1", "_2") for c in S.SEGMENT]
+    assert sorted(met.select(keys).distinct().collect()) == sorted(S.candidate_segments(seg, 250.0, 1800.0).collect())
+    place = {(r.well_id, r.seg_no): r.lon_a for r in seg.collect()}
+    assert all(place[r.well_id_1, r.seg_no_1] == r.lon_a_1 and place[r.well_id_2, r.seg_no_2] == r.lon_a_2 for r in met.collect())

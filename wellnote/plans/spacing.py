@@ -10,12 +10,14 @@ The distance join never compares every well with every other one: lateral
 segments are sampled at most ``step_m`` apart into an earth-centred grid of
 ``cell_m`` cells; two laterals within ``radius_m`` have sample points in
 neighbouring cells (radius + step < cell), so candidate segment pairs come
-from an equi-join on the cell id.  The exact distance of a well pair is the
-smallest segment-to-segment distance among its candidates.
+from an equi-join on the cell id, to which both segments bring their ends.  The exact
+distance of a well pair is the smallest segment-to-segment distance among its candidates.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,7 +38,8 @@ def lateral_points(w: WellTables, min_incl: float = 80.0) -> DataFrame:
     s = w.survey.select("well_id", F.col("measured_depth_ft").alias("md"),
                         F.col("inclination_deg").alias("incl"), F.col("easting_offset_ft").alias("e"),
                         F.col("northing_offset_ft").alias("n"), F.col("tvd_offset_ft").alias("tvd"))
-    pts = s.join(h, F.col("well_id") == F.col("h_idwell")).drop("h_idwell")
+    # A merge: neither table is small, whatever the planner makes of their sizes.
+    pts = s.join(h.hint("merge"), F.col("well_id") == F.col("h_idwell")).drop("h_idwell")
     lateral = F.coalesce(F.col("incl") > F.lit(float(min_incl)), F.lit(False))
     point_ok = F.col("e").isNotNull() & F.col("n").isNotNull() & F.col("tvd").isNotNull()
     return pts.withColumn("is_lateral", lateral).withColumn("is_lat_pt", lateral & point_ok)
@@ -82,7 +85,7 @@ def trajectories(w: WellTables, min_incl: float = 80.0) -> tuple[DataFrame, Data
         F.sum(ln).alias("tl"),
         F.sum(ln * ((F.col("ea") + F.col("eb")) / 2)).alias("sx"),
         F.sum(ln * ((F.col("na") + F.col("nb")) / 2)).alias("sy"))
-    traj = stats.join(cent, ENTITY).select(
+    traj = stats.join(cent.hint("merge"), ENTITY).select(
         *ENTITY, "avg_lateral_tvd",
         F.when(F.col("tl") > 0, F.col("sx") / F.col("tl")).otherwise(F.col("me")).alias("cx"),
         F.when(F.col("tl") > 0, F.col("sy") / F.col("tl")).otherwise(F.col("mn")).alias("cy"))
@@ -93,8 +96,8 @@ def trajectories(w: WellTables, min_incl: float = 80.0) -> tuple[DataFrame, Data
     return traj, geo_seg
 
 
-def segment_cells(geo_seg: DataFrame, step_m: float, cell_m: float) -> DataFrame:
-    """Each segment's key with the distinct grid cells of its sample points."""
+def segment_cells(geo_seg: DataFrame, step_m: float, cell_m: float, carry: Sequence[str] = ()) -> DataFrame:
+    """Each segment's key (and the columns ``carry``) with ``cells``, the distinct grid cells of its sample points."""
     x, y = geo.local_xy(F.col("lon_b"), F.col("lat_b"), F.col("lon_a"), F.col("lat_a"))
     k = F.greatest(F.lit(1), F.ceil(F.sqrt(x * x + y * y) / F.lit(float(step_m))).cast("int"))
     t = F.transform(F.sequence(F.lit(0), k), lambda i: i / k)
@@ -102,17 +105,28 @@ def segment_cells(geo_seg: DataFrame, step_m: float, cell_m: float) -> DataFrame
     cells = F.array_distinct(F.transform(t, lambda u: geo.ecef_cell(
         F.col("lon_a") + u * d_lon,
         F.col("lat_a") + u * (F.col("lat_b") - F.col("lat_a")), cell_m)))
-    return geo_seg.select(*SEGMENT, F.explode(cells).alias("cell"))
+    return geo_seg.select(*SEGMENT, *carry, cells.alias("cells"))
+
+
+def met_segments(geo_seg: DataFrame, step_m: float, cell_m: float, carry: Sequence[str] = ()) -> DataFrame:
+    """Segment pairs of different wells (``well_id_1 < well_id_2``) with sample points in neighbouring
+    cells, with the columns ``carry`` of both; a pair may come once for each cell of its first segment.
+
+    The columns travel with the cells, a fixed number of copies a segment, so that no pair of segments is
+    dealt again for them.  The join is a merge: copies are far larger than the planner takes them for, and
+    as a broadcast they would pass through the driver.
+    """
+    sc = segment_cells(geo_seg, step_m, cell_m, carry)
+    around = F.array_distinct(F.flatten(F.transform("cells", geo.neighbour_cells)))
+    left, right = (sc.select(*[F.col(c).alias(c + i) for c in [*SEGMENT, *carry]], F.explode(cells).alias("cell" + i))
+                   for i, cells in (("_1", F.col("cells")), ("_2", around)))
+    return (left.join(right.hint("merge"), (F.col("cell_1") == F.col("cell_2")) & (F.col("well_id_1") < F.col("well_id_2")))
+            .drop("cell_1", "cell_2"))
 
 
 def candidate_segments(geo_seg: DataFrame, step_m: float, cell_m: float) -> DataFrame:
-    """Keys of segment pairs of different wells (``well_id_1 < well_id_2``) with sample points in
-    neighbouring cells, each once.  Only keys and cells are copied and shuffled."""
-    sc = segment_cells(geo_seg, step_m, cell_m)
-    left = sc.select(*[F.col(c).alias(c + "_1") for c in SEGMENT], F.col("cell").alias("cell_1"))
-    right = sc.select(*[F.col(c).alias(c + "_2") for c in SEGMENT],
-                      F.explode(geo.neighbour_cells(F.col("cell"))).alias("cell_2"))
-    return (left.join(right, (F.col("cell_1") == F.col("cell_2")) & (F.col("well_id_1") < F.col("well_id_2")))
+    """Keys of the pairs of :func:`met_segments`, each once."""
+    return (met_segments(geo_seg, step_m, cell_m)
             .select(*[c + i for i in ("_1", "_2") for c in SEGMENT]).distinct())
 
 
@@ -120,13 +134,12 @@ def near_pairs(geo_seg: DataFrame, radius_m: float = 1500.0,
                step_m: float = 250.0, cell_m: float = 1800.0) -> DataFrame:
     """V4c geometry: unordered entity pairs of different wells whose laterals
     come within ``radius_m`` metres, with that distance (``well_id_1 <
-    well_id_2``).  The geometry joins the distinct candidates once per end."""
+    well_id_2``).  Distances are taken where segments meet: what is dealt after that
+    is the smallest of each entity pair in each task."""
     if radius_m + step_m >= cell_m:
         raise ValueError("cell_m must exceed radius_m + step_m")
-    cand = candidate_segments(geo_seg, step_m, cell_m)
     ends = ["lon_a", "lat_a", "lon_b", "lat_b"]
-    for i in ("_1", "_2"):
-        cand = cand.join(geo_seg.select(*[F.col(c).alias(c + i) for c in SEGMENT + ends]), [c + i for c in SEGMENT])
+    cand = met_segments(geo_seg, step_m, cell_m, ends)
     keys = [c + "_1" for c in ENTITY] + [c + "_2" for c in ENTITY]
     coords = [f"{c}_{i}" for i in (1, 2) for c in ends]
     # Staged projections keep each expression small (and inside codegen).
@@ -162,8 +175,8 @@ def well_pairs(w: WellTables, min_incl: float = 80.0, radius_m: float = 1500.0,
     traj, geo_seg = written_once(traj), written_once(geo_seg)
     pairs = near_pairs(geo_seg, radius_m, step_m, cell_m)
     for i in ("_1", "_2"):
-        pairs = pairs.join(traj.select(*[F.col(c).alias(c + i) for c in [*ENTITY, "avg_lateral_tvd", "cx", "cy"]]),
-                           [c + i for c in ENTITY])
+        pairs = pairs.join(traj.select(*[F.col(c).alias(c + i) for c in [*ENTITY, "avg_lateral_tvd", "cx", "cy"]])
+                           .hint("merge"), [c + i for c in ENTITY])
     end = lambda i: F.struct(F.col("well_id" + i).alias("id"), F.col("avg_lateral_tvd" + i).alias("tvd"),
                              F.col("cx" + i).alias("cx"), F.col("cy" + i).alias("cy"))
     both = pairs.select("d_m", F.explode(F.array(
