@@ -71,3 +71,11 @@ def test_columns_that_no_feed_delivered_are_null(spark):
     create_views(spark, f"stg_{key}", f"an_{key}", **YEARS)
     got = spark.table(f"an_{key}.daily_series")
     assert dict(got.dtypes)["choke_size"] == "double" and got.where("choke_size is not null").count() == 0
+
+
+def test_live_spacing_deals_no_pairs_of_segments(spark, published):
+    _, views, _, _ = published
+    plan = spark.table(f"{views}.well_spacing")._jdf.queryExecution().executedPlan().toString()
+    cells = [line for line in plan.splitlines() if "ix#" in line and "Join" in line]
+    assert cells and all("SortMergeJoin" in line for line in cells)
+    assert not any("HashAggregate(keys=[w1" in line and "s1#" in line for line in plan.splitlines())
