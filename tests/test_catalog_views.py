@@ -79,3 +79,10 @@ def test_live_spacing_deals_no_pairs_of_segments(spark, published):
     cells = [line for line in plan.splitlines() if "ix#" in line and "Join" in line]
     assert cells and all("SortMergeJoin" in line for line in cells)
     assert not any("HashAggregate(keys=[w1" in line and "s1#" in line for line in plan.splitlines())
+
+
+def test_live_histories_are_cut_after_the_last_join(spark, published):
+    _, views, _, _ = published
+    lines = spark.table(f"{views}.note_relationships")._jdf.queryExecution().executedPlan().toString().splitlines()
+    cut = [i for i, line in enumerate(lines) if "slice(" in line]
+    assert cut and max(cut) < min(i for i, line in enumerate(lines) if "Join" in line)
