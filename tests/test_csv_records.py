@@ -102,3 +102,13 @@ def test_an_open_quote_at_the_end_is_one_record(spark, scratch):
     with open(path, "w") as f:
         f.write('a,b\n1,"x\ny\n')
     assert whole_records(spark, path).where("number = 1").first().record == '1,"x\ny'
+
+
+def test_records_are_put_together_once(spark, scratch):
+    from conftest import plan_text
+    path = os.path.join(scratch, "t.csv")
+    with open(path, "w") as f:
+        f.write('id,note\n1,"a\nb"\n\n2,c\n')
+    read = read_csv_text(spark, path, line_breaks=True)
+    assert "Exchange" not in plan_text(read)
+    assert rows(read) == [("1", "a\nb"), ("2", "c")]

@@ -27,12 +27,14 @@ def read_csv_text(spark: SparkSession, path: str, line_breaks: bool = False) ->
     """One CSV file (or folder of parts, each with the header) with every column as text.
 
     A large file is read in splits.  ``line_breaks`` allows quoted line breaks inside values;
-    the lines are then written once to the shared folder, as they are looked at twice.
+    the lines are then written once to the shared folder, as they are looked at twice, and so are the records.
     """
     columns = spark.read.options(header=True, multiLine=True, quote='"', escape='"').csv(path).columns
     schema = ", ".join(f"`{c.replace('`', '``')}` string" for c in [*columns, "__odd"])
     if line_breaks:
-        rows = whole_records(spark, path).where("trim(record) <> ''") \
+        # A load reads a table several times: the records are dealt and put together once.
+        # What is asked of them is asked afterwards: below the join it would keep its two readers from sharing a shuffle.
+        rows = written_once(whole_records(spark, path).select("number", "record")).where("trim(record) <> ''") \
             .select("number", F.from_csv("record", schema, _FORMAT).alias("r")).select("number", "r.*")
         named = F.lit(True)
         for c in columns:
