@@ -94,3 +94,27 @@ def test_geometry_travels_with_the_cells(spark):
     assert sorted(met.select(keys).distinct().collect()) == sorted(S.candidate_segments(seg, 250.0, 1800.0).collect())
     place = {(r.well_id, r.seg_no): r.lon_a for r in seg.collect()}
     assert all(place[r.well_id_1, r.seg_no_1] == r.lon_a_1 and place[r.well_id_2, r.seg_no_2] == r.lon_a_2 for r in met.collect())
+
+
+def test_county_spacing_broadcasts_no_wells(spark):
+    # Headers, attributes and properties grow with the wells: none of them is a broadcast through the driver.
+    from conftest import plan_text
+    from wellnote.plans.production import well_attributes
+    w = _wells(spark)
+    w.completion = spark.createDataFrame(
+        [(i, n, 1, 1, None if n in "AB" else f"P{n}", None, None if n == "F" else n) for i, n in enumerate("ABCDEF")],
+        "merrickid long, wellname string, areaid long, batteryid long, apiwellnumber string, ariesid string, wellviewid string")
+    w.prop = spark.createDataFrame([("R1", None), ("R2", "PC"), ("R3", "PC"), ("R4", "\0" + "17")], "propnum string, apinum string")
+    w.area = spark.createDataFrame([(1, "a")], "areamerrickid long, areaname string")
+    w.battery = spark.createDataFrame([(1, "b")], "batterymerrickid long, batteryname string")
+    attrs = well_attributes(w)
+    assert sorted((r.id, r.aries_id) for r in attrs.collect() if r.aries_id) == [(2, "R2"), (2, "R3")]
+    assert sorted(r.id for r in attrs.collect()) == [0, 1, 2, 2, 3, 4, 5]
+    ws = spark.createDataFrame([("A", 10.0, None), ("B", 20.0, 40.0), ("C", None, 90.0), ("D", None, None), ("E", 7.0, 7.0)],
+                               "well_id string, east_spacing_ft double, west_spacing_ft double")
+    got = S.county_spacing(w, ws, attrs.select("id", "wellview_id"))
+    assert [(r.county, r.avg_spacing_ft) for r in got.collect()] == [("C1", (10 + 30 + 90 * 2 + 7) / 5)]
+    joins = [line for line in plan_text(got).splitlines() if "Join [" in line]
+    for key in ("[a_wellview_id", "[h_idwell", "[p_apinum"):  # keys joined on
+        assert any(key in line for line in joins)
+        assert all("SortMergeJoin" in line for line in joins if key in line)
