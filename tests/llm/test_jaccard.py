@@ -161,3 +161,28 @@ def test_components_grow_by_further_links(spark):
     step = {r.node: r.label for r in jc.merged(jc.components(frame(first)), frame(more)).collect()}
     whole = {r.node: r.label for r in jc.components(frame(first + more)).collect()}
     assert step == whole
+
+
+def test_long_lists_go_by_differences(spark, monkeypatch):
+    """Groups of near copies of which few pairs match: right components, and far fewer pairs than a group has."""
+    tried = []
+    whole = jc.verified
+    monkeypatch.setattr(jc, "verified", lambda docs, classes, pairs, *t: (tried.append(pairs.count()), whole(docs, classes, pairs, *t))[1])
+    monkeypatch.setattr(jc, "token_counters", lambda profile: (np.full(jc.SKETCH, 1000), 10.0))
+    monkeypatch.setattr(jc, "LONG_LIST", 16)
+    rng = random.Random(12)
+    rows = []
+    for group in range(2):
+        base = words(rng, 120).split()
+        for i in range(200):
+            copy = list(base)
+            for at in rng.sample(range(120), rng.choice((0, 1, 2, 4, 5, 6, 7))):
+                copy[at] = f"edit{group}x{i}x{at}"
+            rows.append((1000 * group + i, " ".join(copy)))
+            if i % 20 == 0:  # chains: further copies of a changed copy
+                for k in range(3):
+                    copy[rng.randrange(120)] = f"more{group}x{i}x{k}"
+                    rows.append((1000 * group + 300 + 3 * i + k, " ".join(copy)))
+    rng.shuffle(rows)
+    check(spark, rows)
+    assert tried[-1] < 2 * 230 * 230 / 2 / 8

@@ -16,7 +16,9 @@ values give the same result.
 Links inside large groups of copies are not expanded into all pairs.  Equal sets are one class.
 A first round verifies, in each list, every class against the list's first (or previous) class, and
 what is left against a few classes of the list's largest component; the last round verifies every
-pair of one list whose classes are still in different components.
+pair of one short list whose classes are still in different components.  Long lists of one group of near
+copies go by the classes' differences from one set, the group's centre: |x ^ y| = |Dx ^ Dy|, so what links two
+classes apart is shared differences, and those are rare where whole texts are alike.
 Pairs inside one component cannot change it, all others are checked, so components are exact.
 """
 
@@ -43,6 +45,8 @@ FILTER_BITS = 1 << 23
 SALTS = 32
 #: Trial partners per list, for lists of so many rows; both only save work.
 TRIALS, TRIAL_LIST = 8, 16
+#: Rows from which a list goes by differences; any value gives the same result.
+LONG_LIST = 64
 #: Classes remembered by a task so that copies it meets again are not indexed twice.
 REMEMBERED = 1 << 18
 
@@ -392,6 +396,78 @@ def trial_pairs(apart: DataFrame, labels: DataFrame, threshold: int) -> DataFram
         F.least("cid", "p.to").alias("a"), F.greatest("cid", "p.to").alias("b")).distinct()
 
 
+def group_differences(docs: DataFrame, classes: DataFrame, apart: DataFrame, labels: DataFrame,
+                      threshold: int = THRESHOLD) -> DataFrame:
+    """(top, cid, n, label, excess, low, low_cid, diff): classes of long lists by their differences from its centre.
+
+    Long lists whose largest component is the same are one group, named by it (``top``); a class
+    stands in a group once, in however many of its lists it is.  ``diff`` are the tokens that only one of
+    the class and the group's centre has.  The centre is the class of the largest component in most lists,
+    for few changes leave most frequent words, without what it alone changed; any would do.  ``excess`` is (100 + t) * |diff| - (100 - t) * n, ``low`` the group's
+    least, of ``low_cid``: two classes link exactly when they share (excess + excess) / 2 / (100 + t) differences.
+    """
+    sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
+    known = apart.join(sizes, "label", "left").withColumn("size", F.coalesce("size", F.lit(1)))
+    tops = known.groupBy("sig").agg(F.count("*").alias("rows"), F.max(F.struct("size", "label")).alias("top")) \
+        .filter(F.col("rows") >= LONG_LIST).select("sig", F.col("top.label").alias("top"))
+    members = cut(apart.join(tops, "sig").groupBy("top", "cid", "n", "label").agg(F.count("*").alias("lists")))
+    cids = members.select("cid").distinct()
+    sets = cut(token_sets(docs, classes.join(cids, "cid").select("tid")).join(cids, "cid", "left_semi")
+               .select("cid", "tokens"))
+    centres = members.filter("label = top").groupBy("top").agg(F.max(F.struct("lists", "cid")).getField("cid").alias("cid")) \
+        .join(sets, "cid").select("top", F.col("tokens").alias("centre"))
+    dealt = members.join(sets, "cid").withColumn("salt", F.pmod("cid", F.lit(SALTS)).cast("int"))
+    changed = cut(_differing(dealt, centres, "tokens"))
+    # What most classes have changed are the centre's own changes: they are taken back.
+    sizes = changed.groupBy("top").agg(F.count("*").alias("size"))
+    usual = changed.select("top", F.explode("tokens").alias("token")).groupBy("top", "token").agg(F.count("*").alias("df")) \
+        .join(sizes, "top").filter(2 * F.col("df") > F.col("size")).groupBy("top").agg(F.collect_list("token").alias("centre"))
+    none = F.array().cast("array<long>")
+    usual = sizes.join(usual, "top", "left").select("top", F.coalesce("centre", none).alias("centre"))
+    excess = (100 + threshold) * F.size("tokens").cast("long") - (100 - threshold) * F.col("n")
+    apart_by = cut(_differing(changed, usual, "tokens").select("top", "cid", "n", "label", excess.alias("excess"),
+                                                               F.col("tokens").alias("diff")))
+    low = apart_by.groupBy("top").agg(F.min(F.struct("excess", "cid")).alias("least")) \
+        .select("top", F.col("least.excess").alias("low"), F.col("least.cid").alias("low_cid"))
+    return cut(apart_by.join(low, "top"))
+
+
+def _differing(members: DataFrame, centres: DataFrame, tokens: str) -> DataFrame:
+    """``members`` with the tokens that only one of them and their group's centre has.  Centres stand in
+    salted copies, so that a large group is compared in many tasks."""
+    copies = centres.select("top", "centre", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    differing = F.concat(F.array_except(tokens, "centre"), F.array_except("centre", tokens))
+    return members.join(copies, ["top", "salt"]).withColumn(tokens, differing).drop("centre")
+
+
+def difference_pairs(members: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (a, b) of different components of a group (:func:`group_differences`) that may reach the threshold.
+
+    Classes whose excess and the least one are not above 0 together link with the class of the least,
+    whatever they share.  Any link of another class needs ``o`` > 0 shared differences, so with all in one order, rare
+    ones first, the first shared one is among the |diff| - o + 1 first of both.  ``o`` grows with the other's
+    excess: a place in the order is met by classes up to the excess ``reach``.
+    """
+    step = 2 * (100 + threshold)
+    tokens = members.select("top", "cid", "n", "label", "excess", F.size("diff").alias("d"),
+                            (F.col("excess") + F.col("low") > 0).alias("outer"), F.explode("diff").alias("token"))
+    stats = tokens.groupBy("top", "token").agg(F.count("*").alias("df"), F.min("excess").alias("nearest"))
+    place = F.row_number().over(W.partitionBy("top", "cid").orderBy("df", "token"))
+    placed = cut(tokens.join(stats, ["top", "token"]).withColumn("place", place)
+                 .withColumn("reach", step * (F.col("d") - F.col("place") + 1) - F.col("excess"))
+                 .filter("df > 1 and nearest <= reach").drop("d", "df", "nearest", "place"))
+
+    def end(name: str) -> DataFrame:
+        return placed.select("top", "token", F.col("cid").alias(name), *[
+            F.col(c).alias(f"{name}_{c}") for c in ("n", "label", "excess", "reach", "outer")])
+
+    return end("a").filter("a_outer").join(end("b"), ["top", "token"]).filter(
+        (F.col("a_label") != F.col("b_label")) & (F.col("b_excess") <= F.col("a_reach"))
+        & (F.col("a_excess") <= F.col("b_reach")) & (~F.col("b_outer") | (F.col("a") < F.col("b")))
+        & _fits("a_n", "b_n", threshold)) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
 def linked_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Per row of ``docs``: doc_id, tid (hash of the text), label, n_shingles, component_id.
 
@@ -438,14 +514,20 @@ def linked_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     if not tried.isEmpty():
         labels = merged(labels, cut(verified(docs, classes, tried, threshold)))
         apart = rows_apart(apart.select("sig", "cid", "n"), labels)
+    members = group_differences(docs, classes, apart, labels, threshold)
+    sure = members.filter("excess + low <= 0 and cid <> low_cid").select(
+        F.least("cid", "low_cid").alias("a"), F.greatest("cid", "low_cid").alias("b")).distinct()
+    short = apart.groupBy("sig").agg(F.count("*").alias("rows")).filter(F.col("rows") < LONG_LIST).select("sig")
+    apart = apart.join(short, "sig", "left_semi")
     left = apart.select("sig", F.col("cid").alias("a"), F.col("n").alias("a_n"), F.col("label").alias("a_label"))
     right = apart.select("sig", F.col("cid").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"))
     rest = left.join(right, "sig").filter(
         (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label")) & _fits("a_n", "b_n", threshold)) \
-        .select("a", "b").distinct()
+        .select("a", "b").union(difference_pairs(members, threshold)).distinct()
     rest = cut(rest.join(pairs.union(tried), ["a", "b"], "left_anti"))
-    if not rest.isEmpty():
-        labels = merged(labels, cut(verified(docs, classes, rest, threshold)))
+    links = cut(verified(docs, classes, rest, threshold).union(sure))
+    if not links.isEmpty():
+        labels = merged(labels, links)
 
     # A row without words is alone; its own id names it.
     owned = rows.join(labels.withColumnRenamed("node", "cid"), "cid", "left") \
