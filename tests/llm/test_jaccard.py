@@ -186,3 +186,64 @@ def test_long_lists_go_by_differences(spark, monkeypatch):
     rng.shuffle(rows)
     check(spark, rows)
     assert tried[-1] < 2 * 230 * 230 / 2 / 8
+
+
+def test_long_texts_around_a_passage_are_paired_within_their_lists(spark, monkeypatch):
+    """Long texts that share a passage are no near copies: their tokens are not spread out, and no link is lost."""
+    rng = random.Random(13)
+    passage = words(rng, 5)
+    spread, found = [], []
+    by_differences, in_lists = jc.difference_pairs, jc.far_pairs
+
+    def counted(members, *rest):
+        spread.append(members.selectExpr("coalesce(sum(size(diff)), 0) s").first().s)
+        return by_differences(members, *rest)
+
+    def kept(*args):
+        pairs = in_lists(*args)
+        found.append(pairs.count())
+        return pairs
+
+    counters = np.full(jc.SKETCH, 1000)
+    counters[(jc.Shingler()(passage) % np.uint64(jc.SKETCH)).astype(np.int64)] = 0  # the passage stands first in each order
+    monkeypatch.setattr(jc, "token_counters", lambda profile: (counters, 10.0))
+    monkeypatch.setattr(jc, "LONG_LIST", 16)
+    monkeypatch.setattr(jc, "difference_pairs", counted)
+    monkeypatch.setattr(jc, "far_pairs", kept)
+    rows = [(i, f"{passage} {' '.join(f'own{i}x{k}' for k in range(200 + i % 30))}") for i in range(60)]
+    for i in range(0, 60, 6):  # of some texts further copies, changed now and then
+        copy = rows[i][1].split()
+        for k in range(3):
+            copy[40 + 50 * k] = f"more{i}x{k}"
+            rows.append((100 + 3 * i + k, " ".join(copy)))
+    base = f"{passage} {words(rng, 120)}".split()
+    for i in range(40):
+        copy = list(base)
+        for at in rng.sample(range(5, 125), rng.choice((0, 2, 4, 6))):
+            copy[at] = f"edit{i}x{at}"
+        rows.append((1000 + i, " ".join(copy)))
+    rng.shuffle(rows)
+    check(spark, rows)
+    assert 0 < found[0] and spread[0] < 60 * 200
+
+
+def test_far_pairs_are_all_that_may_link(spark):
+    """Pairs of a list with a far class: none that links is missing, whatever the sizes of the differences."""
+    rng = np.random.default_rng(14)
+    centre = set(range(100))
+    sets, rows, changed = {}, [], []
+    for cid in range(40):
+        own = {int(x) for x in rng.integers(1000 * (cid // 4), 1000 * (cid // 4) + 60, 90)} if cid < 24 else set()
+        sets[cid] = own | set(list(centre)[: 100 if cid >= 24 else 6 * (cid % 4)]) - {int(x) for x in rng.integers(0, 100, cid % 9)}
+        d = len(sets[cid] ^ centre)
+        changed.append((7, cid, len(sets[cid]), cid % 39, [0], d, d > 40))
+        rows += [(sig, cid, len(sets[cid]), cid % 39, 40, 7) for sig in (1, 2) if sig == 1 or cid % 2]
+    lists = spark.createDataFrame(rows, "sig long, cid long, n int, label long, rows long, top long")
+    found = jc.far_pairs(lists, spark.createDataFrame(
+        changed, "top long, cid long, n int, label long, tokens array<long>, d int, far boolean"))
+    got = [(r.a, r.b) for r in found.collect()]
+    far = {c[1] for c in changed if c[6]}
+    links = {(a, b) for a in sets for b in sets if a < b and a % 39 != b % 39 and far & {a, b}
+             and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
+    assert len(got) == len(set(got)) and links and links <= set(got)
+    assert all(far & {a, b} for a, b in got) and len(got) < 40 * 39 / 2 / 3

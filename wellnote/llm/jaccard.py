@@ -18,7 +18,8 @@ A first round verifies, in each list, every class against the list's first (or p
 what is left against a few classes of the list's largest component; the last round verifies every
 pair of one short list whose classes are still in different components.  Long lists of one group of near
 copies go by the classes' differences from one set, the group's centre: |x ^ y| = |Dx ^ Dy|, so what links two
-classes apart is shared differences, and those are rare where whole texts are alike.
+classes apart is shared differences, and those are rare where whole texts are alike.  Classes that have more of
+them than their lists have rows share a passage, not a text; they are paired within their lists, the cheaper way.
 Pairs inside one component cannot change it, all others are checked, so components are exact.
 """
 
@@ -396,37 +397,69 @@ def trial_pairs(apart: DataFrame, labels: DataFrame, threshold: int) -> DataFram
         F.least("cid", "p.to").alias("a"), F.greatest("cid", "p.to").alias("b")).distinct()
 
 
-def group_differences(docs: DataFrame, classes: DataFrame, apart: DataFrame, labels: DataFrame,
-                      threshold: int = THRESHOLD) -> DataFrame:
-    """(top, cid, n, label, excess, low, low_cid, diff): classes of long lists by their differences from its centre.
-
-    Long lists whose largest component is the same are one group, named by it (``top``); a class
-    stands in a group once, in however many of its lists it is.  ``diff`` are the tokens that only one of
-    the class and the group's centre has.  The centre is the class of the largest component in most lists,
-    for few changes leave most frequent words, without what it alone changed; any would do.  ``excess`` is (100 + t) * |diff| - (100 - t) * n, ``low`` the group's
-    least, of ``low_cid``: two classes link exactly when they share (excess + excess) / 2 / (100 + t) differences.
-    """
+def long_lists(apart: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sig, cid, n, label, rows, top): the lists of ``LONG_LIST`` rows or more, with their rows and largest component."""
     sizes = labels.groupBy("label").agg(F.count("*").alias("size"))
     known = apart.join(sizes, "label", "left").withColumn("size", F.coalesce("size", F.lit(1)))
     tops = known.groupBy("sig").agg(F.count("*").alias("rows"), F.max(F.struct("size", "label")).alias("top")) \
-        .filter(F.col("rows") >= LONG_LIST).select("sig", F.col("top.label").alias("top"))
-    members = cut(apart.join(tops, "sig").groupBy("top", "cid", "n", "label").agg(F.count("*").alias("lists")))
+        .filter(F.col("rows") >= LONG_LIST).select("sig", "rows", F.col("top.label").alias("top"))
+    return cut(apart.join(tops, "sig"))
+
+
+def centre_differences(docs: DataFrame, classes: DataFrame, lists: DataFrame) -> DataFrame:
+    """(top, cid, n, label, tokens, d, far): classes of long lists with the ``d`` tokens that only one of them and their centre has.
+
+    Long lists whose largest component is the same are one group, named by it (``top``); a class stands in a group
+    once, in however many of its lists it is.  The centre is the class of the largest component in most lists, for few
+    changes leave most frequent words, without what it alone changed; any would do.  A class with more differences than
+    its lists have rows is ``far``: it shares some passage with the others, and pairs are fewer than its differences.
+    """
+    members = cut(lists.groupBy("top", "cid", "n", "label").agg(F.count("*").alias("lists"), F.sum("rows").alias("met")))
     cids = members.select("cid").distinct()
     sets = cut(token_sets(docs, classes.join(cids, "cid").select("tid")).join(cids, "cid", "left_semi")
                .select("cid", "tokens"))
     centres = members.filter("label = top").groupBy("top").agg(F.max(F.struct("lists", "cid")).getField("cid").alias("cid")) \
         .join(sets, "cid").select("top", F.col("tokens").alias("centre"))
     dealt = members.join(sets, "cid").withColumn("salt", F.pmod("cid", F.lit(SALTS)).cast("int"))
-    changed = cut(_differing(dealt, centres, "tokens"))
+    size = F.size("tokens")
+    return cut(_differing(dealt, centres, "tokens").select(
+        "top", "cid", "n", "label", "salt", "tokens", size.alias("d"), (size > F.col("met")).alias("far")))
+
+
+def far_pairs(lists: DataFrame, changed: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (a, b) of different components in one long list, at least one of them far from the centre.
+
+    |x ^ y| is at least the difference of |Dx| and |Dy|, which rules out most pairs of a far and a near class.
+    """
+    rows = lists.join(changed.select("top", "cid", "d", "far"), ["top", "cid"])
+
+    def end(name: str) -> DataFrame:
+        return rows.select("sig", F.col("cid").alias(name), *[
+            F.col(c).alias(f"{name}_{c}") for c in ("n", "label", "d", "far")])
+
+    apart = (100 + threshold) * F.abs(F.col("a_d") - F.col("b_d")) <= (100 - threshold) * (F.col("a_n") + F.col("b_n"))
+    return end("a").filter("a_far").join(end("b"), "sig").filter(
+        (F.col("a_label") != F.col("b_label")) & (~F.col("b_far") | (F.col("a") < F.col("b"))) & apart
+        & _fits("a_n", "b_n", threshold)) \
+        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def group_differences(changed: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """(top, cid, n, label, excess, low, low_cid, diff): the classes that are not far by their differences from their centre.
+
+    ``changed`` is from :func:`centre_differences`.  ``excess`` is (100 + t) * |diff| - (100 - t) * n, ``low`` the group's
+    least, of ``low_cid``: two classes link exactly when they share (excess + excess) / 2 / (100 + t) differences.
+    """
+    near = changed.filter("not far").drop("d", "far")
     # What most classes have changed are the centre's own changes: they are taken back.
-    sizes = changed.groupBy("top").agg(F.count("*").alias("size"))
-    usual = changed.select("top", F.explode("tokens").alias("token")).groupBy("top", "token").agg(F.count("*").alias("df")) \
+    sizes = near.groupBy("top").agg(F.count("*").alias("size"))
+    usual = near.select("top", F.explode("tokens").alias("token")).groupBy("top", "token").agg(F.count("*").alias("df")) \
         .join(sizes, "top").filter(2 * F.col("df") > F.col("size")).groupBy("top").agg(F.collect_list("token").alias("centre"))
     none = F.array().cast("array<long>")
     usual = sizes.join(usual, "top", "left").select("top", F.coalesce("centre", none).alias("centre"))
     excess = (100 + threshold) * F.size("tokens").cast("long") - (100 - threshold) * F.col("n")
-    apart_by = cut(_differing(changed, usual, "tokens").select("top", "cid", "n", "label", excess.alias("excess"),
-                                                               F.col("tokens").alias("diff")))
+    apart_by = cut(_differing(near, usual, "tokens").select("top", "cid", "n", "label", excess.alias("excess"),
+                                                            F.col("tokens").alias("diff")))
     low = apart_by.groupBy("top").agg(F.min(F.struct("excess", "cid")).alias("least")) \
         .select("top", F.col("least.excess").alias("low"), F.col("least.cid").alias("low_cid"))
     return cut(apart_by.join(low, "top"))
@@ -514,7 +547,9 @@ def linked_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     if not tried.isEmpty():
         labels = merged(labels, cut(verified(docs, classes, tried, threshold)))
         apart = rows_apart(apart.select("sig", "cid", "n"), labels)
-    members = group_differences(docs, classes, apart, labels, threshold)
+    lists = long_lists(apart, labels)
+    changed = centre_differences(docs, classes, lists)
+    members = group_differences(changed, threshold)
     sure = members.filter("excess + low <= 0 and cid <> low_cid").select(
         F.least("cid", "low_cid").alias("a"), F.greatest("cid", "low_cid").alias("b")).distinct()
     short = apart.groupBy("sig").agg(F.count("*").alias("rows")).filter(F.col("rows") < LONG_LIST).select("sig")
@@ -523,7 +558,7 @@ def linked_components(docs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     right = apart.select("sig", F.col("cid").alias("b"), F.col("n").alias("b_n"), F.col("label").alias("b_label"))
     rest = left.join(right, "sig").filter(
         (F.col("a") < F.col("b")) & (F.col("a_label") != F.col("b_label")) & _fits("a_n", "b_n", threshold)) \
-        .select("a", "b").union(difference_pairs(members, threshold)).distinct()
+        .select("a", "b").union(difference_pairs(members, threshold)).union(far_pairs(lists, changed, threshold)).distinct()
     rest = cut(rest.join(pairs.union(tried), ["a", "b"], "left_anti"))
     links = cut(verified(docs, classes, rest, threshold).union(sure))
     if not links.isEmpty():
