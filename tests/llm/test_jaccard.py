@@ -247,3 +247,41 @@ def test_far_pairs_are_all_that_may_link(spark):
              and 100 * len(sets[a] & sets[b]) >= 75 * len(sets[a] | sets[b])}
     assert len(got) == len(set(got)) and links and links <= set(got)
     assert all(far & {a, b} for a, b in got) and len(got) < 40 * 39 / 2 / 3
+
+
+def test_sets_of_texts_around_passages_do_not_travel(spark, monkeypatch):
+    """Long texts that share passages with many groups: neither their sets nor their differences are stored for each group."""
+    rng = random.Random(15)
+    passages = [words(rng, 5) for _ in range(6)]
+    stored, asked = [], []
+    differences, whole_sets = jc.centre_differences, jc.token_sets
+
+    def kept(*args):
+        changed = differences(*args)
+        stored.append(changed.selectExpr("count(*) n", "count(distinct top) t", "coalesce(sum(size(tokens)), 0) s").first())
+        return changed
+
+    def sets(docs, tids):
+        asked.append(tids.distinct().count())
+        return whole_sets(docs, tids)
+
+    counters = np.full(jc.SKETCH, 1000)
+    for passage in passages:
+        counters[(jc.Shingler()(passage) % np.uint64(jc.SKETCH)).astype(np.int64)] = 0
+    monkeypatch.setattr(jc, "token_counters", lambda profile: (counters, 10.0))
+    monkeypatch.setattr(jc, "LONG_LIST", 8)
+    monkeypatch.setattr(jc, "centre_differences", kept)
+    monkeypatch.setattr(jc, "token_sets", sets)
+    rows = []
+    for i in range(60):
+        own = [f"own{i}x{k}" for k in range(200 + i % 30)]
+        for k in range(3):
+            own.insert(60 * k, passages[(i + k * (1 + i % 2)) % 6])
+        rows.append((i, " ".join(own)))
+    for i in range(0, 60, 6):
+        copy = rows[i][1].split()
+        copy[30] = f"more{i}"
+        rows.append((100 + i, " ".join(copy)))
+    check(spark, rows)
+    assert stored[0].t > 1 and stored[0].n > 100 and stored[0].s < 60 * 200
+    assert asked[-2] < 20  # the centres' round asks for hardly any of the 70 texts

@@ -48,6 +48,8 @@ SALTS = 32
 TRIALS, TRIAL_LIST = 8, 16
 #: Rows from which a list goes by differences; any value gives the same result.
 LONG_LIST = 64
+#: Classes of one group that share a copy of its centre.
+GROUP_PART = 256
 #: Classes remembered by a task so that copies it meets again are not indexed twice.
 REMEMBERED = 1 << 18
 
@@ -294,20 +296,25 @@ def token_sets(docs: DataFrame, tids: DataFrame) -> DataFrame:
     return _texts(docs).mapInArrow(run, SETS).dropDuplicates(["cid", "rest"])
 
 
-def possible(classes: DataFrame, pairs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
-    """Pairs (a, b) that the parity bits do not rule out."""
+def _fewest(a: str, b: str) -> F.Column:
+    """:func:`fewest_differences` of two columns of parity bits."""
     @F.pandas_udf("long")
     def differences(a, b):
         import pandas as pd
         return pd.Series([fewest_differences(x, y) for x, y in zip(a, b)], dtype="int64")
 
+    return differences(a, b)
+
+
+def possible(classes: DataFrame, pairs: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
+    """Pairs (a, b) that the parity bits do not rule out."""
     def end(name: str) -> DataFrame:
         return classes.select(F.col("cid").alias(name), F.col("n").alias(f"n_{name}"),
                               F.col("bits").alias(f"bits_{name}"))
 
     both = pairs.join(end("a"), "a").join(end("b"), "b")
     sizes = F.col("n_a") + F.col("n_b")
-    return both.filter((100 + threshold) * (sizes - differences("bits_a", "bits_b")) >= 2 * threshold * sizes) \
+    return both.filter((100 + threshold) * (sizes - _fewest("bits_a", "bits_b")) >= 2 * threshold * sizes) \
         .select("a", "b").distinct()
 
 
@@ -407,37 +414,61 @@ def long_lists(apart: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def centre_differences(docs: DataFrame, classes: DataFrame, lists: DataFrame) -> DataFrame:
-    """(top, cid, n, label, tokens, d, far): classes of long lists with the ``d`` tokens that only one of them and their centre has.
+    """(top, cid, n, label, tokens, d, most, far): classes of long lists and the tokens that only one of them and their
+    centre has; there are ``d`` of these, or ``d`` to ``most`` where that is enough to know.
 
     Long lists whose largest component is the same are one group, named by it (``top``); a class stands in a group
     once, in however many of its lists it is.  The centre is the class of the largest component in most lists, for few
     changes leave most frequent words, without what it alone changed; any would do.  A class with more differences than
     its lists have rows is ``far``: it shares some passage with the others, and pairs are fewer than its differences.
+
+    Whole sets travel only for classes that do not look far by their parity bits (of ``d`` tokens thrown into B bits about
+    B / 2 * (1 - exp(-2d / B)) are left odd), and differences are kept only of classes that are not far (``tokens`` is null
+    for others): a text may share passages with many groups, and each time its differences would be the text and the centre.
     """
     members = cut(lists.groupBy("top", "cid", "n", "label").agg(F.count("*").alias("lists"), F.sum("rows").alias("met")))
-    cids = members.select("cid").distinct()
+    centres = members.filter("label = top").groupBy("top").agg(F.max(F.struct("lists", "cid", "n")).alias("first")) \
+        .select("top", F.col("first.cid").alias("centre_cid"), F.col("first.n").alias("centre_n"))
+    bits = classes.select("cid", "bits")
+    beside = _beside_centre(members.drop("lists").join(bits, "cid"), centres.join(
+        bits.select(F.col("cid").alias("centre_cid"), F.col("bits").alias("centre_bits")), "centre_cid"))
+    most = (F.col("n") + F.col("centre_n")).cast("long")
+    counted = cut(beside.select(
+        "top", "cid", "n", "label", "met", most.alias("most"), F.abs(F.col("n") - F.col("centre_n")).cast("long").alias("apart"),
+        _fewest("bits", "centre_bits").alias("odd"),
+        (F.least(F.octet_length("bits"), F.octet_length("centre_bits")) * F.lit(8.0)).alias("places")))
+    full = 2 * F.col("odd") >= F.col("places")
+    likely = F.when(full, F.col("most")).otherwise(-F.col("places") / 2 * F.log(1 - 2 * F.col("odd") / F.col("places")))
+    bounded = counted.withColumn("close", F.greatest(likely, "apart") <= F.col("met")).withColumn("d", F.greatest("apart", "odd"))
+    close = bounded.filter("close")
+    used = centres.join(close.select("top").distinct(), "top", "left_semi")
+    cids = cut(close.select("cid").union(used.select("centre_cid")).distinct())
     sets = cut(token_sets(docs, classes.join(cids, "cid").select("tid")).join(cids, "cid", "left_semi")
                .select("cid", "tokens"))
-    centres = members.filter("label = top").groupBy("top").agg(F.max(F.struct("lists", "cid")).getField("cid").alias("cid")) \
-        .join(sets, "cid").select("top", F.col("tokens").alias("centre"))
-    dealt = members.join(sets, "cid").withColumn("salt", F.pmod("cid", F.lit(SALTS)).cast("int"))
-    size = F.size("tokens")
-    return cut(_differing(dealt, centres, "tokens").select(
-        "top", "cid", "n", "label", "salt", "tokens", size.alias("d"), (size > F.col("met")).alias("far")))
+    whole = used.join(sets.select(F.col("cid").alias("centre_cid"), F.col("tokens").alias("centre")), "centre_cid")
+    size, far = F.size("tokens").cast("long"), F.size("tokens") > F.col("met")
+    known = _differing(close.join(sets, "cid"), whole.select("top", "centre"), "tokens").select(
+        "top", "cid", "n", "label", F.when(~far, F.col("tokens")).alias("tokens"), size.alias("d"), size.alias("most"),
+        far.alias("far"))
+    return cut(known.union(bounded.filter("not close").select(
+        "top", "cid", "n", "label", F.lit(None).cast("array<long>"), "d", "most", F.lit(True))))
 
 
 def far_pairs(lists: DataFrame, changed: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
     """Pairs (a, b) of different components in one long list, at least one of them far from the centre.
 
-    |x ^ y| is at least the difference of |Dx| and |Dy|, which rules out most pairs of a far and a near class.
+    |x ^ y| is at least |Dx| - |Dy|, which rules out most pairs of a far and a near class.  |Dx| is ``d``, or lies between
+    ``d`` and ``most`` if there is such a column.
     """
-    rows = lists.join(changed.select("top", "cid", "d", "far"), ["top", "cid"])
+    most = F.col("most" if "most" in changed.columns else "d").alias("most")
+    rows = lists.join(changed.select("top", "cid", "d", most, "far"), ["top", "cid"])
 
     def end(name: str) -> DataFrame:
         return rows.select("sig", F.col("cid").alias(name), *[
-            F.col(c).alias(f"{name}_{c}") for c in ("n", "label", "d", "far")])
+            F.col(c).alias(f"{name}_{c}") for c in ("n", "label", "d", "most", "far")])
 
-    apart = (100 + threshold) * F.abs(F.col("a_d") - F.col("b_d")) <= (100 - threshold) * (F.col("a_n") + F.col("b_n"))
+    fewest = F.greatest(F.col("a_d") - F.col("b_most"), F.col("b_d") - F.col("a_most"))
+    apart = (100 + threshold) * fewest <= (100 - threshold) * (F.col("a_n") + F.col("b_n"))
     return end("a").filter("a_far").join(end("b"), "sig").filter(
         (F.col("a_label") != F.col("b_label")) & (~F.col("b_far") | (F.col("a") < F.col("b"))) & apart
         & _fits("a_n", "b_n", threshold)) \
@@ -450,7 +481,7 @@ def group_differences(changed: DataFrame, threshold: int = THRESHOLD) -> DataFra
     ``changed`` is from :func:`centre_differences`.  ``excess`` is (100 + t) * |diff| - (100 - t) * n, ``low`` the group's
     least, of ``low_cid``: two classes link exactly when they share (excess + excess) / 2 / (100 + t) differences.
     """
-    near = changed.filter("not far").drop("d", "far")
+    near = changed.filter("not far").drop("d", "most", "far")
     # What most classes have changed are the centre's own changes: they are taken back.
     sizes = near.groupBy("top").agg(F.count("*").alias("size"))
     usual = near.select("top", F.explode("tokens").alias("token")).groupBy("top", "token").agg(F.count("*").alias("df")) \
@@ -465,12 +496,19 @@ def group_differences(changed: DataFrame, threshold: int = THRESHOLD) -> DataFra
     return cut(apart_by.join(low, "top"))
 
 
+def _beside_centre(members: DataFrame, centres: DataFrame) -> DataFrame:
+    """``members`` with the columns of their group's row in ``centres``.  A row of a large group stands in copies, one for
+    about ``GROUP_PART`` members, so that the group is compared in many tasks; a small group has one."""
+    parts = members.groupBy("top").agg(F.ceil(F.count("*") / GROUP_PART).alias("parts"))
+    copies = centres.join(parts, "top").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    dealt = members.join(parts, "top").withColumn("salt", F.pmod("cid", "parts"))
+    return dealt.drop("parts").join(copies.drop("parts"), ["top", "salt"]).drop("salt")
+
+
 def _differing(members: DataFrame, centres: DataFrame, tokens: str) -> DataFrame:
-    """``members`` with the tokens that only one of them and their group's centre has.  Centres stand in
-    salted copies, so that a large group is compared in many tasks."""
-    copies = centres.select("top", "centre", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    """``members`` with the tokens that only one of them and their group's centre has."""
     differing = F.concat(F.array_except(tokens, "centre"), F.array_except("centre", tokens))
-    return members.join(copies, ["top", "salt"]).withColumn(tokens, differing).drop("centre")
+    return _beside_centre(members, centres).withColumn(tokens, differing).drop("centre")
 
 
 def difference_pairs(members: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
